@@ -1,23 +1,24 @@
-from goldleaf.functions.numbers import money, plain_number, rate_of_true
+from goldleaf.functions.numbers import grouped_number, money, plain_number, share
 from goldleaf.functions.text import (
     blank_to_empty,
     contains_any,
     first_json_object,
     long_words,
     normal_key,
+    strip_chars,
     strip_space,
-    words,
 )
 
 __all__ = [
     "blank_to_empty",
     "contains_any",
     "first_json_object",
+    "grouped_number",
     "long_words",
     "money",
     "normal_key",
     "plain_number",
-    "rate_of_true",
+    "share",
+    "strip_chars",
     "strip_space",
-    "words",
 ]

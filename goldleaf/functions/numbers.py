@@ -6,16 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def rate_of_true(flag: str) -> Column:
-    """Share of rows whose text flag is exactly 'true', to four decimals.
-
-    NULL and any other text stay in the denominator.  The literals are decimals,
-    so the average is decimal too and rounds the same way on every run.
-    """
-    hit = F.when(F.col(flag) == "true", F.lit(1.0).cast("decimal(2,1)")).otherwise(
-        F.lit(0.0).cast("decimal(2,1)")
-    )
-    return F.round(F.avg(hit), 4).cast("decimal(6,4)")
+def share(part: Column, whole: Column) -> Column:
+    """part / whole as decimal(6,4), by way of five decimals as a decimal average has."""
+    exact = part.cast("decimal(18,0)") / whole.cast("decimal(18,0)")
+    return F.round(exact.cast("decimal(6,5)"), 4).cast("decimal(6,4)")
 
 
 def money(amount: Column | str) -> Column:

@@ -24,6 +24,7 @@ TOPIC_WORDS = [
     "destination", "revenue", "booking", "trend", "month", "property", "payment", "pay", "travel",
     "trip", "earn", "money", "popular", "top", "growth", "growing", "country", "hotel", "guest",
 ]
+TOKEN_EDGES = ".,:%$()"
 REASON_OK = "ok"
 REASON_EMPTY_QUESTION = "Empty question."
 REASON_TOO_LONG = "Question too long (over 500 characters)."

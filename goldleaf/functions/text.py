@@ -8,9 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+SPACE = " \t\n\x0b\f\r"
+
+
+def strip_chars(text: Column, chars: str) -> Column:
+    """Drop any of the characters at both ends, in one linear pass."""
+    return F.btrim(text, F.lit(chars))
+
+
 def strip_space(text: Column) -> Column:
-    """Drop blanks, tabs and line breaks at both ends (trim drops blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Drop blanks, tabs and line breaks at both ends (plain trim drops blanks only)."""
+    return strip_chars(text, SPACE)
 
 
 def blank_to_empty(text: Column) -> Column:
@@ -27,11 +35,6 @@ def contains_any(text: Column, phrases: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in phrases])
 
 
-def words(text: Column) -> Column:
-    """Whitespace-separated tokens, without empty ones."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
-
-
 def long_words(text: Column, longer_than: int) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: F.length(w) > longer_than)
 

@@ -21,8 +21,14 @@ def meets_all(constraints: Constraints) -> Column:
 
 
 def apply_expectations(df: DataFrame, constraints: Constraints) -> DataFrame:
-    """Rows that meet every constraint.  Conditions name the columns of ``df``."""
-    return df.filter(meets_all(constraints))
+    """Rows that meet every constraint.  Conditions name the columns of ``df``.
+
+    A filter drops NULL conditions by itself; the bare conditions can be pushed
+    down to the scan, one by one.
+    """
+    for condition in constraints.values():
+        df = df.filter(condition)
+    return df
 
 
 def _tallies(constraints: Constraints) -> list[Column]:

@@ -81,14 +81,13 @@ def exact_cuts(features: DataFrame, column: str = "total_spend", accuracy: int =
 def with_spend_tier(features: DataFrame, cuts: DataFrame, column: str = "total_spend") -> DataFrame:
     """Tier 0 up to the low cut, 1 up to the high cut, 2 above.
 
-    The cuts are one row and enter the plan as two scalar values.
+    The cuts are one row and enter the plan as one scalar value.
     """
     value = F.col(column)
+    both = cuts.select(F.struct("low_cut", "high_cut")).scalar()
     return features.withColumn(
         "spend_tier",
-        F.when(value <= cuts.select("low_cut").scalar(), 0)
-        .when(value <= cuts.select("high_cut").scalar(), 1)
-        .otherwise(2),
+        F.when(value <= both["low_cut"], 0).when(value <= both["high_cut"], 1).otherwise(2),
     )
 
 
@@ -103,20 +102,25 @@ def stratified_split(
     only the counts per prefix are accumulated per label.
     """
     digest = F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}")))
-    keyed = rows.withColumn("_order", digest).withColumn("_prefix", F.substring("_order", 1, digits))
-    sizes = keyed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    in_label = Window.partitionBy(label)
+    keyed = rows.withColumns(
+        {
+            # NULL labels are a group of their own; a plain key keeps one partitioning for all steps
+            "_label": F.coalesce(F.col(label).cast("string"), F.lit("")),
+            "_order": digest,
+        }
+    ).withColumn("_prefix", F.substring("_order", 1, digits))
+    sizes = keyed.groupBy("_label", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    in_label = Window.partitionBy("_label")
     before = F.sum("_n").over(in_label.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select(
-        F.col(label).alias("_label"),
-        F.col("_prefix").alias("_of"),
+        "_label",
+        "_prefix",
         F.coalesce(before, F.lit(0)).alias("_before"),
         F.ceil(F.sum("_n").over(in_label) * F.lit(test_share)).alias("_wanted"),
     )
-    within = Window.partitionBy(label, "_prefix").orderBy("_order", id_column)
+    within = Window.partitionBy("_label", "_prefix").orderBy("_order", id_column)
     numbered = keyed.withColumn("_place", F.row_number().over(within))
-    same = numbered[label].eqNullSafe(starts["_label"]) & (F.col("_prefix") == F.col("_of"))
-    return numbered.join(starts, same).select(
+    return numbered.join(starts, ["_label", "_prefix"]).select(
         *rows.columns,
         F.when(F.col("_before") + F.col("_place") <= F.col("_wanted"), "test").otherwise("train").alias("split"),
     )

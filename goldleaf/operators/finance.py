@@ -5,36 +5,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldleaf.functions.numbers import rate_of_true
+from goldleaf.functions.numbers import share
 from goldleaf.functions.phrases import ENOUGH_EVIDENCE, LOW_EVIDENCE, MIN_EVIDENCE_LINES
 
 
+FLAGS = {
+    "on_time_rate": "VendorOnTimeDelivery",
+    "in_full_rate": "VendorInFullDelivery",
+    "otif_rate": "VendorOnTimeInFullDelivery",
+    "invoice_accuracy_rate": "VendorInvoiceAccuracy",
+    "rejection_rate": "IsRejected",
+}
+
+
 def gold_vendor_performance(lines: DataFrame) -> DataFrame:
     """One scorecard row per vendor.
 
-    A flag that is neither 'true' nor 'false' lowers the rate but is not counted
-    as a failure, so the failure count is not ``1 - rate``.
+    A rate counts flags that are exactly 'true' among all lines, so a flag that
+    is neither 'true' nor 'false' lowers the rate but is no counted failure; the
+    failure count is not ``1 - rate``.
+
+    The lines are first summed per vendor and its text attributes.  Those sums
+    are numbers, so they run as a hash aggregate with a map-side combine; taking
+    the greatest text straight from the lines would sort all of them.
     """
-    value = F.col("NetOrderValueinTargetCurrency_NETWR")
-    return (
+    days, value = F.col("VendorCycleTimeInDays"), F.col("NetOrderValueinTargetCurrency_NETWR")
+    summed = (
         lines.filter(F.col("VendorAccountNumber_LIFNR").isNotNull())
-        .groupBy(F.col("VendorAccountNumber_LIFNR").alias("vendor_id"))
+        .groupBy(
+            F.col("VendorAccountNumber_LIFNR").alias("vendor_id"),
+            F.col("NAME1").alias("vendor_name"),
+            F.col("CountryKey_LAND1").alias("country"),
+            F.col("TargetCurrency_TCURR").alias("currency"),
+        )
         .agg(
-            F.max("NAME1").alias("vendor_name"),
-            F.max("CountryKey_LAND1").alias("country"),
-            F.count(F.lit(1)).alias("total_po_lines"),
-            rate_of_true("VendorOnTimeDelivery").alias("on_time_rate"),
-            rate_of_true("VendorInFullDelivery").alias("in_full_rate"),
-            rate_of_true("VendorOnTimeInFullDelivery").alias("otif_rate"),
-            rate_of_true("VendorInvoiceAccuracy").alias("invoice_accuracy_rate"),
-            rate_of_true("IsRejected").alias("rejection_rate"),
-            F.round(F.avg("VendorCycleTimeInDays"), 2).alias("avg_cycle_time_days"),
-            F.max("VendorCycleTimeInDays").alias("max_cycle_time_days"),
-            F.count_if(F.col("VendorOnTimeInFullDelivery") == "false").alias("otif_fail_count"),
-            F.round(F.sum(value), 2).alias("total_order_value"),
-            F.max("TargetCurrency_TCURR").alias("currency"),
+            F.count(F.lit(1)).alias("lines"),
+            *[F.count_if(F.col(flag) == "true").alias(name) for name, flag in FLAGS.items()],
+            F.sum(days).alias("days"),
+            F.count(days).alias("timed"),
+            F.max(days).alias("longest"),
+            F.count_if(F.col("VendorOnTimeInFullDelivery") == "false").alias("failed"),
+            F.sum(value).alias("value"),
         )
     )
+    lines_total = F.sum("lines")
+    return summed.groupBy("vendor_id").agg(
+        F.max("vendor_name").alias("vendor_name"),
+        F.max("country").alias("country"),
+        lines_total.alias("total_po_lines"),
+        *[share(F.sum(name), lines_total).alias(name) for name in FLAGS],
+        F.round(F.try_divide(F.sum("days"), F.sum("timed")), 2).alias("avg_cycle_time_days"),
+        F.max("longest").alias("max_cycle_time_days"),
+        F.sum("failed").alias("otif_fail_count"),
+        F.round(F.sum("value"), 2).alias("total_order_value"),
+        F.max("currency").alias("currency"),
+    )
 
 
 def evidence(lines: Column | str = "total_po_lines") -> Column:
@@ -175,13 +200,16 @@ def key_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str
     Keys of both sides are counted in one grouping, so a key with a third of all
     rows is combined on the map side and no join is needed.
     """
-    tagged = left.select(F.col(left_key).cast("string").alias("key"), F.lit("l").alias("side")).unionByName(
-        right.select(F.col(right_key).cast("string").alias("key"), F.lit("r").alias("side"))
+    one, other = left.schema[left_key].dataType, right.schema[right_key].dataType
+    # keys of different types are compared as text
+    as_key = [F.col(k) if one == other else F.col(k).cast("string") for k in (left_key, right_key)]
+    tagged = left.select(as_key[0].alias("key"), F.lit(True).alias("is_left")).unionByName(
+        right.select(as_key[1].alias("key"), F.lit(False).alias("is_left"))
     )
     per_key = (
         tagged.filter(F.col("key").isNotNull())
         .groupBy("key")
-        .agg(F.count_if(F.col("side") == "l").alias("l"), F.count_if(F.col("side") == "r").alias("r"))
+        .agg(F.count_if("is_left").alias("l"), F.count_if(~F.col("is_left")).alias("r"))
     )
     in_left, in_right = F.col("l") > 0, F.col("r") > 0
     return per_key.agg(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions.numbers import plain_number
 from goldleaf.functions.text import first_json_object, normal_key
-from goldleaf.operators.retrieval import best_chunks, chunks
+from goldleaf.operators.retrieval import with_context
 from goldleaf.operators.skew import lookup_join
 
 PROPERTIES_SHOWN = 6
@@ -221,13 +221,19 @@ def destination_cards(
 ) -> DataFrame:
     """Per destination: name, country, cheapest properties and retrieved context."""
     question = F.concat(F.lit(context_question), "destination")
-    context = F.when(
-        F.coalesce("description", F.lit("")) == "",
-        F.concat(F.lit("(No description text available for "), "destination", F.lit(".)")),
-    ).otherwise(best_chunks(chunks(F.col("description")), question))
-    return destinations.select(
-        "destination_id", "destination", F.col("country").alias("destination_country"), context.alias("context")
-    ).join(cheapest_properties(properties), "destination_id", "left")
+    description = F.coalesce("description", F.lit(""))
+    described = with_context(destinations, description, question).select(
+        "destination_id",
+        "destination",
+        F.col("country").alias("destination_country"),
+        F.when(
+            description == "",
+            F.concat(F.lit("(No description text available for "), "destination", F.lit(".)")),
+        )
+        .otherwise(F.col("context"))
+        .alias("context"),
+    )
+    return described.join(cheapest_properties(properties), "destination_id", "left")
 
 
 def _first_names(names: DataFrame, group: str | None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.functions import phrases as P
-from goldleaf.functions.text import blank_to_empty, contains_any, first_json_object, strip_space
+from goldleaf.functions.text import blank_to_empty, contains_any, first_json_object, strip_chars, strip_space
 
 TOOL_NAMES = list(P.TOOL_HEADINGS)
 
@@ -47,7 +47,7 @@ def _grounding_tokens(text: Column) -> Column:
     """
     return F.transform(
         F.filter(F.split(text, r"\s+"), lambda w: F.length(w) > 4),
-        lambda w: F.lower(F.regexp_replace(w, r"^[.,:%$()]+|[.,:%$()]+$", "")),
+        lambda w: F.lower(strip_chars(w, P.TOKEN_EDGES)),
     )
 
 

@@ -15,25 +15,32 @@ def chunks(text: Column) -> Column:
     return F.filter(sections, lambda c: F.length(c) > P.MIN_CHUNK_CHARS)
 
 
-def best_chunks(parts: Column, question: Column) -> Column:
-    """The retrieved context of one question over one text, as one expression.
+def with_context(rows: DataFrame, text: Column, question: Column, into: str = "context") -> DataFrame:
+    """Adds the retrieved context of one question over one text, row by row.
 
     A chunk scores the number of distinct question words (longer than three,
     lowered, punctuation kept) among its own words.  The best two chunks with a
     score are joined by a blank line, earlier chunks first on ties; without any,
     the opening chunk is taken.  A text without chunks gives empty text.
+
+    The steps are separate columns because each is used more than once; Spark
+    keeps them apart, so a text is split and scored once.
     """
     asked = F.array_distinct(long_words(F.lower(blank_to_empty(question)), P.MIN_QUESTION_WORD_CHARS))
 
     def scored(part: Column, place: Column) -> Column:
-        hits = F.size(F.array_intersect(asked, F.split(F.lower(part), r"\s+")))
+        hits = F.size(F.array_intersect(F.col("_asked"), F.split(F.lower(part), r"\s+")))
         return F.struct((-hits).alias("rank"), place.alias("place"), part.alias("part"))
 
-    best = F.slice(F.array_sort(F.transform(parts, scored)), 1, P.CHUNKS_KEPT)
+    best = F.slice(F.array_sort(F.transform("_parts", scored)), 1, P.CHUNKS_KEPT)
     relevant = F.transform(F.filter(best, lambda c: c["rank"] < 0), lambda c: c["part"])
-    opening = F.slice(parts, 1, 1)
-    kept = F.when(F.size(relevant) > 0, relevant).otherwise(opening)
-    return F.substring(F.array_join(kept, "\n\n"), 1, P.CONTEXT_CHARS)
+    kept = F.when(F.size("_relevant") > 0, F.col("_relevant")).otherwise(F.slice("_parts", 1, 1))
+    return (
+        rows.withColumns({"_parts": chunks(text), "_asked": asked})
+        .withColumn("_relevant", relevant)
+        .withColumn(into, F.substring(F.array_join(kept, "\n\n"), 1, P.CONTEXT_CHARS))
+        .drop("_parts", "_asked", "_relevant")
+    )
 
 
 def document_lengths(texts: DataFrame, preview_chars: int = 1200) -> DataFrame:
@@ -69,11 +76,9 @@ def retrieve_chunks(requests: DataFrame, texts: DataFrame, missing: Column | Non
     many questions ask for.  ``missing`` is the context where there is no text
     (empty by default).
     """
-    description = F.col("description")
+    description = blank_to_empty(F.col("description"))
     no_text = F.lit("") if missing is None else missing
-    return requests.join(texts.select("guide_id", "description"), "guide_id", "left").select(
-        *requests.columns,
-        F.when(blank_to_empty(description) == "", no_text)
-        .otherwise(best_chunks(chunks(description), F.col("question")))
-        .alias("context"),
+    joined = requests.join(texts.select("guide_id", "description"), "guide_id", "left")
+    return with_context(joined, description, F.col("question")).select(
+        *requests.columns, F.when(description == "", no_text).otherwise(F.col("context")).alias("context")
     )

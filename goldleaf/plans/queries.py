@@ -68,7 +68,7 @@ def rounded(df: DataFrame, *names: str, to: int = 2) -> DataFrame:
 
 # ---- shared steps -----------------------------------------------------------
 def silver_travel(t: Testbed) -> DataFrame:
-    return V.silver_bookings(t.bookings, t.properties, t.destinations)
+    return V.silver_bookings(t.bookings, t.properties, t.places)
 
 
 def vendor_gold(t: Testbed) -> DataFrame:
@@ -80,7 +80,9 @@ def cash_gold(t: Testbed) -> DataFrame:
 
 
 def tools(t: Testbed) -> DataFrame:
-    silver = silver_travel(t)
+    """Tool texts over the stored silver layer, which four gold tables read."""
+    used = ["booking_id", "destination", "country", "booking_month", "property_type", "nights", "total_amount"]
+    silver = materialize(silver_travel(t).select(*used), "silver_bookings")
     return D.tool_texts(
         V.gold_revenue_by_destination(silver),
         V.gold_monthly_revenue(silver),
@@ -151,17 +153,17 @@ def gold_payment_methods(t: Testbed) -> DataFrame:
 
 @query
 def destinations_per_country(t: Testbed) -> DataFrame:
-    return V.destinations_per_country(t.destinations)
+    return V.destinations_per_country(t.places)
 
 
 @query
 def destination_price_stats(t: Testbed) -> DataFrame:
-    return V.destination_price_stats(t.destinations, t.properties)
+    return V.destination_price_stats(t.places, t.properties)
 
 
 @query
 def travel_layer_counts(t: Testbed) -> DataFrame:
-    return V.travel_layer_counts(t.bookings, t.properties, t.destinations)
+    return V.travel_layer_counts(t.bookings, t.properties, t.places)
 
 
 # ---- dashboards and reports -------------------------------------------------
@@ -387,7 +389,7 @@ def table_profile(t: Testbed) -> DataFrame:
 # ---- planner ----------------------------------------------------------------
 @query
 def resolve_destination(t: Testbed) -> DataFrame:
-    return L.resolve_destination(t.trip_requests, t.destinations)
+    return L.resolve_destination(t.trip_requests, t.places)
 
 
 @query
@@ -424,7 +426,7 @@ def plan_texts(t: Testbed) -> DataFrame:
 
 @query
 def request_slots(t: Testbed) -> DataFrame:
-    return L.missing_slots(L.request_slots(t.trip_messages, t.destinations))
+    return L.missing_slots(L.request_slots(t.trip_messages, t.places))
 
 
 @query

@@ -59,11 +59,12 @@ VIEWS = {
         SELECT doc_id AS guide_id,
                '# Guide ' || doc_id || chr(10) || replace(text, chr(10), chr(10) || '## ') AS description
         FROM documents""",
-    "destinations": """
+    "places": """
         SELECT CAST(n_nationkey AS BIGINT) AS destination_id, n_name AS destination,
                CASE WHEN n_nationkey = 22 THEN 'LONELY ' || r_name ELSE r_name END AS country,
-               'Province of ' || n_name AS state_or_province, description
-        FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN @guides ON guide_id = n_nationkey""",
+               'Province of ' || n_name AS state_or_province
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "destinations": "SELECT p.*, description FROM @places p LEFT JOIN @guides ON guide_id = destination_id",
     "properties": """
         SELECT p_partkey AS property_id, p_partkey % 23 AS destination_id, p_name || ' #' || p_partkey AS title,
                p_type AS property_type, CAST(p_size * 10 AS DOUBLE) AS base_price, 1 + p_size % 5 AS bedrooms, 2 + p_size % 7 AS max_guests
@@ -95,7 +96,7 @@ VIEWS = {
         JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
     "customer_places": """
         SELECT c_custkey, c_acctbal, destination AS city, country
-        FROM customer JOIN @destinations ON c_nationkey = destination_id""",
+        FROM customer JOIN @places ON c_nationkey = destination_id""",
     "questions": """
         SELECT 't' || conv_id || '-' || turn AS question_id, text AS question FROM conversations WHERE role = 'user'
         UNION ALL
@@ -177,7 +178,7 @@ VIEWS = {
                state_or_province, check_in, check_out, date_diff('day', check_in, check_out) AS nights,
                CAST(guests_count AS BIGINT) AS guests_count, total_amount, status,
                CAST(date_trunc('month', check_in) AS DATE) AS booking_month
-        FROM @bookings JOIN @properties USING (property_id) JOIN @destinations USING (destination_id)
+        FROM @bookings JOIN @properties USING (property_id) JOIN @places USING (destination_id)
         WHERE total_amount > 0 AND check_out > check_in""",
     "by_destination": """
         SELECT destination, country, COUNT(*) AS total_bookings, ROUND(SUM(total_amount), 2) AS total_revenue,
@@ -267,7 +268,7 @@ VIEWS = {
                        SUM(CASE WHEN lower(country) = key THEN 1 ELSE 0 END)::BIGINT AS n,
                        MIN(CASE WHEN lower(country) = key THEN destination_id END) AS only_id,
                        MIN(CASE WHEN contains(lower(destination), key) OR contains(key, lower(destination)) THEN destination_id END) AS loose
-                FROM (SELECT DISTINCT lower({strip('destination_text')}) AS key FROM @trip_requests) CROSS JOIN @destinations
+                FROM (SELECT DISTINCT lower({strip('destination_text')}) AS key FROM @trip_requests) CROSS JOIN @places
                 GROUP BY key)
         ) k ON k.key = lower({strip('r.destination_text')})""",
     "chunks": r"""
@@ -309,7 +310,7 @@ VIEWS = {
             SELECT m.message_id, n.kind, n.name, n.padded, strpos(m.padded, n.padded) AS start
             FROM (SELECT message_id, ' ' || regexp_replace(lower(message), '[^\p{L}\p{N}_''-]+', ' ', 'g') || ' ' AS padded FROM @trip_messages) m
             JOIN (SELECT DISTINCT kind, name, ' ' || regexp_replace(lower(name), '[^\p{L}\p{N}_''-]+', ' ', 'g') || ' ' AS padded
-                  FROM (SELECT 0 AS kind, destination AS name FROM @destinations UNION ALL SELECT 1, country FROM @destinations)) n
+                  FROM (SELECT 0 AS kind, destination AS name FROM @places UNION ALL SELECT 1, country FROM @places)) n
                  ON contains(m.padded, n.padded))
         GROUP BY message_id""",
     "slots": r"""
@@ -437,13 +438,13 @@ twin(
 twin(
     "destinations_per_country",
     """SELECT country, COUNT(*) AS destination_count, string_agg(destination, ', ' ORDER BY destination) AS destinations
-       FROM @destinations GROUP BY country""",
+       FROM @places GROUP BY country""",
 )
 twin(
     "destination_price_stats",
     """SELECT d.destination, d.country, COUNT(p.property_id) AS property_count, ROUND(MIN(base_price), 0) AS min_price,
               ROUND(AVG(base_price), 0) AS avg_price, ROUND(MAX(base_price), 0) AS max_price
-       FROM @destinations d LEFT JOIN @properties p USING (destination_id) GROUP BY d.destination, d.country""",
+       FROM @places d LEFT JOIN @properties p USING (destination_id) GROUP BY d.destination, d.country""",
 )
 twin(
     "travel_layer_counts",
@@ -452,7 +453,7 @@ twin(
            WHERE NOT coalesce(total_amount > 0 AND check_out > check_in, false)
        UNION ALL SELECT 'lost_unmatched', COUNT(*) FROM @bookings b
            WHERE total_amount > 0 AND check_out > check_in AND NOT EXISTS (
-               SELECT 1 FROM @properties p JOIN @destinations d USING (destination_id) WHERE p.property_id = b.property_id)
+               SELECT 1 FROM @properties p JOIN @places d USING (destination_id) WHERE p.property_id = b.property_id)
        UNION ALL SELECT 'silver_bookings', COUNT(*) FROM @silver_bookings""",
 )
 
