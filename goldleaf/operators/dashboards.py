@@ -118,26 +118,49 @@ def tool_texts(
     gold_payments: DataFrame,
     limit: int = 5,
     months: int = 6,
+    most: int = 0,
 ) -> DataFrame:
-    """One row per tool: its heading and report lines as one text (four rows)."""
-    sort_by = {
-        "top_destinations": F.struct(-F.col("total_revenue"), F.col("destination"), F.col("country")),
-        "monthly_trend": F.struct("booking_month"),
-        "revenue_by_property_type": F.struct(-F.col("total_revenue"), F.col("property_type")),
-        "payment_methods": F.struct(-F.col("total_paid"), F.col("payment_method")),
-    }
+    """One row per tool (four rows): tool, heading, lines, tool_text.
+
+    ``tool_text`` is the answer with the default number of rows.  ``lines`` are the
+    report lines, best or latest first, for answers with another number of rows;
+    the two limited tools hold up to ``most`` of them.
+    """
     reports = {
-        "top_destinations": top_destinations(gold_destinations, limit),
-        "monthly_trend": monthly_trend(gold_monthly, months),
-        "revenue_by_property_type": property_type_report(gold_types),
-        "payment_methods": payment_report(gold_payments),
+        "top_destinations": (
+            top_destinations(gold_destinations, max(limit, most)),
+            F.struct(-F.col("total_revenue"), F.col("destination"), F.col("country")),
+            limit,
+        ),
+        "monthly_trend": (
+            monthly_trend(gold_monthly, max(months, most)),
+            F.struct(-F.datediff("booking_month", F.lit("1970-01-01"))),
+            months,
+        ),
+        "revenue_by_property_type": (
+            property_type_report(gold_types),
+            F.struct(-F.col("total_revenue"), F.col("property_type")),
+            None,
+        ),
+        "payment_methods": (
+            payment_report(gold_payments),
+            F.struct(-F.col("total_paid"), F.col("payment_method")),
+            None,
+        ),
     }
     texts = None
-    for tool, report in reports.items():
-        lines = F.array_sort(F.collect_list(F.struct(sort_by[tool].alias("place"), F.col("line"))))
-        one = report.agg(F.transform(lines, lambda row: row["line"]).alias("lines")).select(
-            F.lit(tool).alias("tool"),
-            F.concat(F.lit(TOOL_HEADINGS[tool] + "\n"), F.array_join("lines", "\n")).alias("tool_text"),
+    for tool, (report, place, rows) in reports.items():
+        ordered = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.col("line"))))
+        one = report.agg(F.transform(ordered, lambda row: row["line"]).alias("lines")).select(
+            F.lit(tool).alias("tool"), F.lit(TOOL_HEADINGS[tool]).alias("heading"), "lines"
         )
+        one = one.withColumn("tool_text", tool_text(F.lit(rows).cast("int")))
         texts = one if texts is None else texts.unionByName(one)
     return texts
+
+
+def tool_text(rows: Column) -> Column:
+    """Heading and the first ``rows`` lines (all if NULL); the trend runs oldest first."""
+    shown = F.slice("lines", F.lit(1), F.coalesce(rows, F.size("lines")))
+    in_order = F.when(F.col("tool") == "monthly_trend", F.reverse(shown)).otherwise(shown)
+    return F.concat("heading", F.lit("\n"), F.array_join(in_order, "\n"))

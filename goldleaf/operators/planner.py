@@ -1,7 +1,7 @@
 """Trip planning for batches of requests: resolve, find, check, describe, reply.
 
-The reference flow for one request becomes one joined plan for all of them.  All
-that depends on a destination alone (its cheapest properties, its retrieved
+The flow for one request becomes one joined plan for all of them.  All that
+depends on a destination alone (its cheapest properties, its retrieved
 text) is computed once per destination; requests only look it up.
 """
 

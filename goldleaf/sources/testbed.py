@@ -285,8 +285,9 @@ class Testbed:
 
     @cached_property
     def model_replies(self) -> DataFrame:
-        """Raw routing replies: JSON inside prose, plain JSON, no JSON, broken JSON."""
-        which = F.length(F.coalesce("question", F.lit(""))) % 5
+        """Raw routing replies: JSON inside prose, plain JSON, no JSON, broken JSON,
+        an unknown tool, and arguments that fit or do not fit."""
+        which = F.length(F.coalesce("question", F.lit(""))) % 7
         return self.questions.select(
             "question_id",
             "question",
@@ -294,7 +295,9 @@ class Testbed:
             .when(which == 1, '{"tool": "payment_methods", "args": {}}')
             .when(which == 2, "I would use the payments tool")
             .when(which == 3, '{"tool": top_destinations}')
-            .otherwise('{"tool": "flight_search", "args": {"limit": 2}}')
+            .when(which == 4, '{"tool": "flight_search", "args": {"limit": 2}}')
+            .when(which == 5, '{"tool": "top_destinations", "args": {"limit": 8}}')
+            .otherwise('{"tool": "top_destinations", "args": {"limit": 2, "city": "x"}}')
             .alias("reply"),
         )
 

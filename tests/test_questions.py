@@ -96,20 +96,28 @@ def test_output_guardrail_matches_python(spark):
 
 
 def tools(spark):
+    texts = {
+        "top_destinations": ("Top destinations by revenue:", ["Paris", "Rome", "Oslo"]),
+        "monthly_trend": ("a", ["b", "c"]),
+        "revenue_by_property_type": ("Revenue by property type:", ["house"]),
+        "payment_methods": ("Payment methods", []),
+    }
     return spark.createDataFrame(
-        [("top_destinations", "Top destinations by revenue:\nParis"), ("monthly_trend", "a b"),
-         ("revenue_by_property_type", "Revenue by property type:\nhouse"), ("payment_methods", "Payment methods")],
-        "tool string, tool_text string",
+        [(t, h, lines, "\n".join([h, *lines])) for t, (h, lines) in texts.items()],
+        "tool string, heading string, lines array<string>, tool_text string",
     )
 
 
+TOP = "Top destinations by revenue:\nParis\nRome\nOslo"
+
+
 def test_guarded_answers(spark):
     df = spark.createDataFrame(
         [(1, "top places"), (2, None), (3, "hack the trip"), (4, "monthly money")], "question_id long, question string"
     )
     replies = {r.question_id: r.reply for r in Q.guarded_answers(df, tools(spark)).collect()}
     assert replies == {
-        1: "AGENT: Top destinations by revenue:\nParis",
+        1: "AGENT: " + TOP,
         2: "AGENT: I can't help with that. Empty question.",
         3: "AGENT: I can't help with that. Question contains blocked content.",
         4: P.NO_RELIABLE_ANSWER,  # no token of the data is longer than four
@@ -125,33 +133,40 @@ def test_guarded_answers_check_worded_answers(spark):
     assert replies == {
         1: "AGENT: The destinations are fine",
         2: P.NO_RELIABLE_ANSWER,
-        3: "AGENT: Top destinations by revenue:\nParis",
+        3: "AGENT: " + TOP,
     }
 
 
 def test_tool_choices_from_replies(spark):
     replies = {
-        1: 'Sure: {"tool": "monthly_trend", "args": {"months": 3}} ok?',
-        2: '{"tool": "payment_methods"}',
-        3: '{"tool": broken}',
-        4: "no json",
-        5: '{"tool": "flights", "args": {"limit": "x"}}',
-        6: '{"args": {}}',
-        7: None,
+        1: ('Sure: {"tool": "monthly_trend", "args": {"months": 1}} ok?', "monthly_trend", 1, True),
+        2: ('{"tool": "payment_methods"}', "payment_methods", None, True),
+        3: ('{"tool": broken}', "payment_methods", None, True),
+        4: ("no json", "payment_methods", None, True),
+        5: ('{"tool": "flights", "args": {"limit": 2}}', "flights", None, False),
+        6: ('{"args": {}}', None, None, False),
+        7: (None, "payment_methods", None, True),
+        8: ('{"tool": "top_destinations", "args": {"limit": "2"}}', "top_destinations", 2, True),
+        9: ('{"tool": "top_destinations", "args": {"limit": 2, "x": 1}}', "top_destinations", None, True),
+        10: ('{"tool": "top_destinations", "args": {"months": 2}}', "top_destinations", None, True),
+        11: ('{"tool": "top_destinations", "args": null}', "top_destinations", None, True),
+        12: ('{"tool": "top_destinations", "args": {"limit": -1}}', "top_destinations", None, True),
+        13: ('{"tool": "monthly_trend", "args": {"months": 2.9}}', "monthly_trend", 2, True),
+        14: ('{"tool": "top_destinations", "args": {"limit": 99}}', "top_destinations", 99, True),
     }
     df = spark.createDataFrame(
-        [(k, "what do they pay", v) for k, v in replies.items()], "question_id long, question string, reply string"
+        [(k, "what do they pay", v[0]) for k, v in replies.items()], "question_id long, question string, reply string"
     )
-    got = {r.question_id: (r.tool, r.arg_months, r.arg_limit, r.known) for r in Q.parse_tool_choices(df).collect()}
-    assert got == {
-        1: ("monthly_trend", 3, None, True),
-        2: ("payment_methods", None, None, True),
-        3: ("payment_methods", None, None, True),
-        4: ("payment_methods", None, None, True),
-        5: ("flights", None, None, False),
-        6: (None, None, None, False),
-        7: ("payment_methods", None, None, True),
-    }
-    answers = {r.question_id: r.answer for r in Q.agent_answers(df, tools(spark), Q.parse_tool_choices(df)).collect()}
+    choices = Q.parse_tool_choices(df)
+    got = {r.question_id: (r.tool, r.rows_wanted, r.known) for r in choices.collect()}
+    assert got == {k: v[1:] for k, v in replies.items()}
+    assert Q.most_rows_wanted(choices) == 99
+    answers = {r.question_id: r.answer for r in Q.agent_answers(df, tools(spark), choices).collect()}
     assert answers[5] == answers[6] == P.NO_TOOL_OPEN
-    assert answers[2] == "AGENT (raw tool data):\nPayment methods"
+    assert answers[1] == "AGENT (raw tool data):\na\nb"
+    assert answers[8] == "AGENT (raw tool data):\nTop destinations by revenue:\nParis\nRome"
+    assert answers[9] == answers[14] == "AGENT (raw tool data):\n" + TOP
+    assert answers[13] == "AGENT (raw tool data):\na\nc\nb"  # the trend runs oldest first
+    guarded = {r.question_id: r.reply for r in Q.guarded_answers(df, tools(spark), choices).collect()}
+    assert guarded[5] == guarded[6] == P.NO_TOOL_GUARDED
+    assert guarded[8] == "AGENT: Top destinations by revenue:\nParis\nRome"
