@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from uuid import uuid4
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.functions import phrases as P
 from goldleaf.functions.text import contains_any, strip_space
 
-BODY = (
-    "output array<struct<type: string, name: string, arguments: string, "
+ITEMS = (
+    "array<struct<type: string, name: string, arguments: string, "
     "content: array<struct<type: string, text: string>>>>"
 )
 
@@ -22,7 +24,7 @@ def parse_responses(raw: DataFrame) -> DataFrame:
     empty answer and no tools.  A body that cannot be read has no answer.
     """
     ok = F.coalesce(F.col("status_code") == 200, F.lit(False))
-    items = F.coalesce(F.col("items"), F.array().cast("array<struct<type:string,name:string,arguments:string,content:array<struct<type:string,text:string>>>>"))
+    items = F.coalesce(F.col("items"), F.array().cast(ITEMS))
     texts = F.flatten(
         F.transform(
             F.filter(items, lambda i: (i["type"] == "message") & i["content"].isNotNull()),
@@ -45,7 +47,7 @@ def parse_responses(raw: DataFrame) -> DataFrame:
                 F.substring("body", 1, P.ERROR_BODY_CHARS),
             ),
         ).alias("error"),
-        F.when(ok, F.from_json("body", BODY)["output"]).alias("items"),
+        F.when(ok, F.from_json("body", f"output {ITEMS}")["output"]).alias("items"),
     ).select(
         "case_id",
         "ok",
@@ -174,6 +176,11 @@ def evaluation_run(
     )
 
 
+def new_run_id() -> str:
+    """A short random id, drawn once by the caller of a run."""
+    return uuid4().hex[:8]
+
+
 def evaluation_summary(history: DataFrame) -> DataFrame:
     """Total, passed and percent per run."""
     return history.groupBy("run_id").agg(
@@ -183,7 +190,7 @@ def evaluation_summary(history: DataFrame) -> DataFrame:
     )
 
 
-def golden_cases(spark, rows: list[tuple]) -> DataFrame:
+def golden_cases(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """A golden set from literal rows, with the schema stated."""
     return spark.createDataFrame(
         rows,

@@ -236,26 +236,32 @@ def destination_cards(
     return described.join(cheapest_properties(properties), "destination_id", "left")
 
 
-def _first_names(names: DataFrame, group: str | None) -> DataFrame:
-    """The first names in sorted order, joined: at most NAMES_LISTED per group."""
-    if group is None:
-        few = names.select("destination").orderBy("destination").limit(NAMES_LISTED)
-        return few.agg(F.array_join(F.array_sort(F.collect_list("destination")), ", ").alias("names"))
-    # the rank of the dimension is cut on the map side, so no group is collected whole
-    ranked = Window.partitionBy(group).orderBy("destination_id")
+def _first_names(destinations: DataFrame) -> DataFrame:
+    """One row: the first NAMES_LISTED place names in sorted order, as one text."""
+    few = destinations.select("destination").orderBy("destination").limit(NAMES_LISTED)
+    return few.agg(F.array_join(F.array_sort(F.collect_list("destination")), ", ").alias("names"))
+
+
+def _first_names_by_country(destinations: DataFrame) -> DataFrame:
+    """Per country key: its first NAMES_LISTED places by id, as one text.
+
+    The rank is cut on the map side, so no country is collected whole.
+    """
+    by_id = Window.partitionBy("_key").orderBy("destination_id", "destination")
     return (
-        names.withColumn("place", F.row_number().over(ranked))
+        destinations.select(F.lower("country").alias("_key"), "destination_id", "destination")
+        .withColumn("place", F.row_number().over(by_id))
         .filter(F.col("place") <= NAMES_LISTED)
-        .groupBy(group)
+        .groupBy("_key")
         .agg(F.array_sort(F.collect_list(F.struct("place", "destination"))).alias("few"))
-        .select(group, F.array_join(F.transform("few", lambda c: c["destination"]), ", ").alias("names"))
+        .select("_key", F.array_join(F.transform("few", lambda c: c["destination"]), ", ").alias("names"))
     )
 
 
-def _ordered_names(destinations: DataFrame) -> DataFrame:
-    return _first_names(
-        destinations.select(F.lower("country").alias("_key"), "destination_id", "destination"), "_key"
-    )
+def _and_more(names: Column, count: Column) -> Column:
+    """Names, followed by how many are not listed."""
+    more = F.concat(F.lit(" and "), (count - NAMES_LISTED).cast("string"), F.lit(" more"))
+    return F.concat(names, F.when(count > NAMES_LISTED, more).otherwise(""))
 
 
 def _planned(
@@ -346,16 +352,16 @@ def plan_texts(
         F.lit("For "), "destination", say["nothing_1"], plain_number(budget), F.lit(" over "), nights_text,
         say["nothing_2"], plain_number(F.col("ceiling")), say["nothing_3"],
     )
-    # one-row values; the list of names is cut at NAMES_LISTED, the count is whole
-    n_places = destinations.agg(F.count(F.lit(1))).scalar().cast("string")
-    place_names = _first_names(destinations, None).scalar()
+    n_places = destinations.agg(F.count(F.lit(1))).scalar()
     text = F.coalesce("destination_text", F.lit(""))
     unknown = F.concat(
-        F.lit("I can only plan for these "), n_places, say["unknown_1"], place_names, say["unknown_2"],
+        F.lit("I can only plan for these "), n_places.cast("string"), say["unknown_1"],
+        _and_more(_first_names(destinations).scalar(), n_places), say["unknown_2"],
         text, F.lit("' is not one of them."),
     )
     ask_city = F.concat(
-        F.initcap(text), say["several"], F.col("names"), F.lit(". Please ask for one of them.")
+        F.initcap(text), say["several"], _and_more(F.col("names"), F.col("n_cities")),
+        F.lit(". Please ask for one of them."),
     )
     reply = (
         F.when(F.col("plan_status") == "unknown", unknown)
@@ -367,7 +373,7 @@ def plan_texts(
     keyed = planned.withColumn(
         "_key", F.when(F.col("plan_status") == "ask_city", normal_key(F.col("destination_text")))
     )
-    return lookup_join(keyed, _ordered_names(destinations), "_key", spread_by="request_id").select(
+    return lookup_join(keyed, _first_names_by_country(destinations), "_key", spread_by="request_id").select(
         "request_id", "plan_status", reply.alias("reply"), *keep
     )
 

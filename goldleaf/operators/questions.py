@@ -1,7 +1,7 @@
 """Question routing, guardrails and guarded answers, as batch jobs.
 
 All checks are column expressions on the question row, so a batch of questions
-needs no shuffle; only the four-row tool table is joined in.
+needs no shuffle; only the four-row table of tool texts is looked up.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from goldleaf.functions import phrases as P
 from goldleaf.functions.text import blank_to_empty, contains_any, first_json_object, strip_chars, strip_space
 from goldleaf.operators.dashboards import tool_text
+from goldleaf.operators.skew import lookup_join
 
 TOOL_NAMES = list(P.TOOL_HEADINGS)
 
@@ -136,9 +137,12 @@ def most_rows_wanted(choices: DataFrame) -> int:
 
 
 def _with_tool(asked: DataFrame, tool_texts: DataFrame) -> DataFrame:
-    """Adds ``data``, the tool's text with the wanted number of rows; NULL if unknown."""
-    # four rows, one per tool, whatever the data size
-    joined = asked.join(F.broadcast(tool_texts), "tool", "left")
+    """Adds ``data``, the tool's text with the wanted number of rows; NULL if unknown.
+
+    There are four tools, so each is a hot key; the lookup spreads their questions
+    where Spark finds the texts too large to broadcast.
+    """
+    joined = lookup_join(asked, tool_texts, "tool", spread_by="question_id", salts=32)
     if "rows_wanted" not in asked.columns:
         return joined.withColumn("data", F.col("tool_text"))
     return joined.withColumn(

@@ -18,18 +18,20 @@ def valid_booking() -> Column:
 def silver_bookings(bookings: DataFrame, properties: DataFrame, destinations: DataFrame) -> DataFrame:
     """One enriched row per valid booking.
 
-    The two dimensions are joined first, so the bookings are shuffled at most
-    once.  Both inputs of that join are plain exchanges, which lets adaptive
-    execution split a property that holds a large share of the bookings, or
-    broadcast the dimensions when their measured size allows it.
+    The dimensions are joined one after the other, so that Spark judges each by its
+    own size (a join of the two is estimated far too large): with small ones the
+    bookings are not shuffled at all.  Where properties are too many to broadcast,
+    both inputs of that join are plain exchanges, which lets adaptive execution
+    split a property that holds a large share of the bookings.
     """
-    places = destinations.select("destination_id", "destination", "country", "state_or_province")
     offers = properties.select(
         "property_id", "destination_id", F.col("title").alias("property_title"), "property_type"
-    ).join(places, "destination_id")
+    )
+    places = destinations.select("destination_id", "destination", "country", "state_or_province")
     return (
         bookings.filter(valid_booking())
         .join(offers, "property_id")
+        .join(places, "destination_id")
         .select(
             "booking_id",
             "property_id",

@@ -72,10 +72,10 @@ VIEWS = {
     "bookings": """
         SELECT l_orderkey AS booking_id, l_partkey + 7 AS property_id, CAST(o_orderdate AS DATE) AS check_in,
                CAST(l_shipdate AS DATE) AS check_out, l_linenumber AS guests_count,
-               l_extendedprice AS total_amount, l_linestatus AS status
+               CAST(l_extendedprice AS DECIMAL(18,2)) AS total_amount, l_linestatus AS status
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "payments": """
-        SELECT o_orderkey AS booking_id, o_orderpriority AS payment_method, o_totalprice AS amount,
+        SELECT o_orderkey AS booking_id, o_orderpriority AS payment_method, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
                CASE WHEN o_orderstatus = 'F' THEN 'completed' ELSE 'pending' END AS status
         FROM orders""",
     "cashflow": f"""
@@ -145,7 +145,7 @@ VIEWS = {
         SELECT 'C' || conv_id || '-' || turn AS case_id, {pick(AGENTS, 'turn % 3')} AS agent, text AS question,
                {pick(EXPECTED_TOOLS, 'conv_id % 4')} AS expect_tool,
                CASE WHEN conv_id % 4 = 2 THEN 'caution' WHEN conv_id % 5 = 0 THEN 'V004'
-                    ELSE upper(split_part(text, ' ', 1)) END AS expect_contains,
+                    ELSE split_part(text, ' ', 1) END AS expect_contains,
                CASE WHEN conv_id % 4 = 2 THEN 'GOVERNANCE: low-confidence warning must appear'
                     ELSE 'lookup and correct figure' END AS verifies
         FROM conversations WHERE role = 'user'""",
@@ -157,7 +157,7 @@ VIEWS = {
         SELECT 'C' || q.conv_id || '-' || q.turn AS case_id, a.text IS NOT NULL AS ok,
                CASE WHEN a.text IS NULL THEN 'HTTP 503: ' || substring(repeat({text(OUTAGE)}, 20), 1, 300) END AS error,
                CASE WHEN a.text IS NULL THEN ''
-                    ELSE a.text || {pick(ANSWER_ENDINGS, 'q.conv_id % 3')} || CASE WHEN q.conv_id % 3 = 2 THEN q.text ELSE '' END
+                    ELSE a.text || {pick(ANSWER_ENDINGS, 'q.conv_id % 3')} || CASE WHEN q.conv_id % 3 = 2 THEN lower(q.text) ELSE '' END
                     END AS answer,
                CASE WHEN a.text IS NULL THEN '' WHEN q.turn % 4 = 0
                     THEN 'sa-' || {pick(EXPECTED_TOOLS, 'q.conv_id % 4')} || '-v1' ELSE 'other' END AS tool,
@@ -183,19 +183,19 @@ VIEWS = {
         FROM @bookings JOIN @properties USING (property_id) JOIN @places USING (destination_id)
         WHERE total_amount > 0 AND check_out > check_in""",
     "by_destination": """
-        SELECT destination, country, COUNT(*) AS total_bookings, ROUND(SUM(total_amount), 2) AS total_revenue,
+        SELECT destination, country, COUNT(*) AS total_bookings, CAST(SUM(total_amount) AS DOUBLE) AS total_revenue,
                ROUND(AVG(total_amount), 2) AS avg_booking_value, ROUND(AVG(nights), 1) AS avg_nights
         FROM @silver_bookings GROUP BY destination, country""",
     "by_month": """
-        SELECT booking_month, COUNT(*) AS total_bookings, ROUND(SUM(total_amount), 2) AS total_revenue,
+        SELECT booking_month, COUNT(*) AS total_bookings, CAST(SUM(total_amount) AS DOUBLE) AS total_revenue,
                ROUND(AVG(total_amount), 2) AS avg_booking_value
         FROM @silver_bookings GROUP BY booking_month""",
     "by_type": """
-        SELECT property_type, COUNT(*) AS total_bookings, ROUND(SUM(total_amount), 2) AS total_revenue,
+        SELECT property_type, COUNT(*) AS total_bookings, CAST(SUM(total_amount) AS DOUBLE) AS total_revenue,
                ROUND(AVG(total_amount), 2) AS avg_booking_value
         FROM @silver_bookings GROUP BY property_type""",
     "by_method": """
-        SELECT payment_method, COUNT(*) AS payment_count, ROUND(SUM(amount), 2) AS total_paid
+        SELECT payment_method, COUNT(*) AS payment_count, CAST(SUM(amount) AS DOUBLE) AS total_paid
         FROM @payments p JOIN @silver_bookings s USING (booking_id)
         WHERE p.status = 'completed' GROUP BY payment_method""",
     "all_destination_lines": """
@@ -421,14 +421,15 @@ def whole_view(name: str, view: str | None = None, columns: str = "*") -> None:
 
 
 # ---- travel -------------------------------------------------------------------
-whole_view("silver_bookings")
+whole_view("silver_bookings", columns="* REPLACE (CAST(total_amount AS DOUBLE) AS total_amount)")
 whole_view("gold_revenue_by_destination", "by_destination")
 whole_view("gold_monthly_revenue", "by_month")
 whole_view("gold_revenue_by_property_type", "by_type")
 whole_view("gold_payment_methods", "by_method")
 twin(
     "bronze_ingest",
-    """SELECT * REPLACE (CAST(guests_count AS BIGINT) AS guests_count), true AS _ingested_at FROM @bookings""",
+    """SELECT * REPLACE (CAST(guests_count AS BIGINT) AS guests_count, CAST(total_amount AS DOUBLE) AS total_amount),
+              true AS _ingested_at FROM @bookings""",
 )
 twin(
     "bronze_tables",
@@ -654,7 +655,7 @@ twin(
     """SELECT *, CAST(base_price AS DOUBLE) AS nightly_price, CAST(base_price * nights AS DOUBLE) AS estimated_accommodation,
               base_price * nights <= budget AS within_budget, ROUND(budget - base_price * nights, 2) AS remaining
        FROM (SELECT booking_id, CAST(guests_count AS BIGINT) AS guests_count, date_diff('day', check_in, check_out) AS nights,
-                    property_id % 500 * 10 AS base_price, total_amount AS budget
+                    property_id % 500 * 10 AS base_price, CAST(total_amount AS DOUBLE) AS budget
              FROM @bookings WHERE total_amount > 0 AND check_out > check_in)""",
 )
 twin(

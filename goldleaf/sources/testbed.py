@@ -96,6 +96,7 @@ class Testbed:
         )
 
     # ---- travel ---------------------------------------------------------
+    # Amounts are decimals here: their sums do not depend on the order of addition.
     @cached_property
     def places(self) -> DataFrame:
         """Destinations without their texts, for the queries that read no text."""
@@ -167,7 +168,7 @@ class Testbed:
                 _as_day("o_orderdate").alias("check_in"),
                 _as_day("l_shipdate").alias("check_out"),
                 F.col("l_linenumber").alias("guests_count"),
-                F.col("l_extendedprice").alias("total_amount"),
+                F.col("l_extendedprice").cast("decimal(18,2)").alias("total_amount"),
                 F.col("l_linestatus").alias("status"),
             )
         )
@@ -177,7 +178,7 @@ class Testbed:
         return self.table("orders").select(
             F.col("o_orderkey").alias("booking_id"),
             F.col("o_orderpriority").alias("payment_method"),
-            F.col("o_totalprice").alias("amount"),
+            F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
             F.when(F.col("o_orderstatus") == "F", "completed").otherwise("pending").alias("status"),
         )
 
@@ -218,12 +219,8 @@ class Testbed:
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(
-                self.table("supplier").join(
-                    self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")
-                ),
-                F.col("l_suppkey") == F.col("s_suppkey"),
-            )
+            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.concat("s_name", F.lit("/"), "p_brand").alias("VendorAccountNumber_LIFNR"),
                 F.concat("s_name", F.lit(" "), "p_brand").alias("NAME1"),
@@ -372,7 +369,7 @@ class Testbed:
                 _pick(EXPECTED_TOOLS, F.col("conv_id") % 4).alias("expect_tool"),
                 F.when(governance, "caution")
                 .when(F.col("conv_id") % 5 == 0, "V004")
-                .otherwise(F.upper(F.split_part("text", F.lit(" "), F.lit(1))))
+                .otherwise(F.split_part("text", F.lit(" "), F.lit(1)))
                 .alias("expect_contains"),
                 F.when(governance, "GOVERNANCE: low-confidence warning must appear")
                 .otherwise("lookup and correct figure")
@@ -390,7 +387,7 @@ class Testbed:
         )
         ending = _pick(ANSWER_ENDINGS, F.col("conv_id") % 3)
         answer = F.concat(
-            "told", ending, F.when(F.col("conv_id") % 3 == 2, F.col("question")).otherwise("")
+            "told", ending, F.when(F.col("conv_id") % 3 == 2, F.lower("question")).otherwise("")
         )
         tool = _pick(EXPECTED_TOOLS, F.col("conv_id") % 4)
         called = F.when(F.col("turn") % 4 == 0, F.concat(F.lit("sa-"), tool, F.lit("-v1"))).otherwise("other")

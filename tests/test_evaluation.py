@@ -120,6 +120,7 @@ def test_history_and_golden_update(spark, schema):
     told = replies(spark, [("G05", True, None, "too few orders " * 40, ["get_vendor_performance"], ["{}"])])
     history = f"{schema}.eval_results"
     when = F.lit(dt.datetime(2024, 1, 1))
+    assert len(E.new_run_id()) == 8 and E.new_run_id() != E.new_run_id()
     append_rows(E.evaluation_run(spark.table(table), told, "run1", when), history)
     marked = conditional_update(
         spark.table(table), {"expect_contains": "GOVERNANCE"}, F.col("case_id").isin("G05", "G08")

@@ -129,6 +129,20 @@ def test_plans(spark):
     assert [r.rank for r in plans if r.request_id == 2] == [None]
 
 
+def test_long_lists_say_how_many_more(spark):
+    _, df = properties(spark)
+    many = spark.range(150).selectExpr(
+        "id AS destination_id", "concat('City', lpad(id, 3, '0')) AS destination", "'Big' AS country", "'' AS description"
+    )
+    asked = spark.createDataFrame(
+        [(1, "big", 1, 1.0), (2, "zzz", 1, 1.0)], "request_id long, destination_text string, nights int, budget double"
+    )
+    texts = {r.request_id: r.reply for r in L.plan_texts(asked, many, df, wording="chat").collect()}
+    listed = ", ".join(f"City{i:03d}" for i in range(100))
+    assert texts[1] == f"Big has several destinations: {listed} and 50 more. Please ask for one of them."
+    assert texts[2] == f"I can only plan for these 150 destinations: {listed} and 50 more. 'zzz' is not one of them."
+
+
 def test_slots(spark):
     messages = {
         1: ("I want to go to Paris for 4 days with about 2000 euros", "Paris", 4, 2000.0, ""),
