@@ -38,8 +38,9 @@ from goldleaf.sources.tables import materialize
 BANDS, BAND_ROWS = 40, 4
 COORDINATES = BANDS * BAND_ROWS
 AGREEING = 0.55
+BITMAPS, BITS = 256, 1 << 15
 PERCENT = 75
-BLOCK_NODES = 256
+BLOCK_NODES = 1024
 
 U32, U64 = np.uint32, np.uint64
 
@@ -226,6 +227,32 @@ def _with_components(rows: DataFrame, named: DataFrame) -> DataFrame:
     return rows.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose node may be among the wanted ones, by a bitmap of BITMAPS x 32,768 bits.
+
+    The bitmap has one size whatever the input, so it may be broadcast; the more
+    nodes are wanted, the less it spares the following join.
+    """
+    place = F.pmod(F.xxhash64("node"), F.lit(BITMAPS * BITS))
+    bitmaps = (
+        wanted.withColumn("place", place)
+        .groupBy((F.floor(F.col("place") / BITS)).alias("part"))
+        .agg(F.bitmap_construct_agg(F.pmod("place", F.lit(BITS))).alias("bitmap"))
+    )
+    return (
+        rows.withColumn("place", place)
+        .withColumn("part", F.floor(F.col("place") / BITS))
+        .join(F.broadcast(bitmaps), "part")
+        .where(f"""
+            shiftright(
+                cast(conv(hex(substring(bitmap, cast(pmod(place, {BITS}) div 8 AS int) + 1, 1)), 16, 10) AS int),
+                cast(pmod(place, 8) AS int)
+            ) & 1 = 1
+        """)
+        .drop("place", "part", "bitmap")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of (doc_id, text).
 
@@ -241,11 +268,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "minhash",
     )
-    named = features.where("doc_id IS NOT NULL AND n_shingles > 0")
-    nodes = named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
-    # The sets that one doc_id stands for, when it comes with several texts, hang together.
-    banded = named.join(nodes, [named.doc_id == nodes.node, named.set_a == nodes.set_a, named.set_b == nodes.set_b], "left_semi")
-    rows = banded.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("band", "key")).distinct()
+    # Copies of a set have equal bands, whichever row they are taken from.
+    nodes = materialize(
+        features.where("doc_id IS NOT NULL AND n_shingles > 0")
+        .groupBy("set_a", "set_b")
+        .agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands")),
+        "nodes",
+    )
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = materialize(rows.join(hubs, "key"), "buckets")
     stars = materialize(
@@ -255,12 +285,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.withColumnRenamed("doc_id", "node").where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     sets = materialize(
         map_arrow(
-            texts.join(wanted, "node", "left_semi"), _sets, "node bigint, signature binary, shingles binary"
+            possible(texts, wanted).join(wanted.hint("merge"), "node", "left_semi"), _sets, "node bigint, signature binary, shingles binary"
         ),
         "sets",
     )
     one_set = sets.select("node", "shingles")
-    pairs = stars.join(one_set.toDF("u", "set_u"), "u").join(one_set.toDF("v", "set_v"), "v")
+    # One plan at every size: sets are dealt out by node and never follow a broadcast of the pairs.
+    pairs = one_set.toDF("u", "set_u").join(stars.hint("merge"), "u").join(one_set.toDF("v", "set_v").hint("merge"), "v")
     links = materialize(
         map_arrow(pairs.select("u", "v", "set_u", "set_v"), _check_pairs, "u bigint, v bigint"), "checked"
     )
@@ -285,16 +316,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     promising = materialize(
         map_arrow(
-            together(dealt.join(sets.select("node", "signature"), "node")),
+            together(dealt.join(sets.select("node", "signature").hint("merge"), "node")),
             _promising,
             "key bigint, i int, j int, block int, node bigint, component bigint",
         ),
         "promising",
     )
-    more = map_arrow(together(promising.join(one_set, "node")), _compare, "u bigint, v bigint")
+    more = map_arrow(together(promising.join(one_set.hint("merge"), "node")), _compare, "u bigint, v bigint")
     final = components(links.unionByName(more))
 
-    of_set = _with_components(nodes, final)
+    of_set = _with_components(nodes.drop("bands"), final)
     return (
         features.drop("bands")
         .join(of_set, ["set_a", "set_b"], "left")
