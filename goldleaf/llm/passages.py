@@ -7,7 +7,7 @@ here the texts say first where a repeat is possible:
 1. Every string of LENGTH bytes has an anchor, its least hashed run of KEY bytes,
    and equal strings have equal anchors.  Anchors of one key are counted; a key
    that occurs once can't be in a repeat.
-2. The context of an anchor holds all strings that contain it.  Contexts with
+2. The context of an anchor holds all strings whose anchor it is.  Contexts with
    equal hashes repeat as a whole, so of each only one representative goes on,
    however many documents share the passage.
 3. Keys with different contexts are compared byte by byte.  A shard is all
@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.blocks import Block, Hasher, blocks, mix, runs
+from goldleaf.llm.blocks import Hasher, blocks, mix, runs
 from goldleaf.llm.suffixes import common_prefixes, packed, remaining, suffix_array
 from goldleaf.llm.tasks import map_arrow
 from goldleaf.sources.tables import materialize
 
 LENGTH = 200
-KEY = 48
+KEY = 64
 SHARD_CONTEXTS = 4096
 SHARD_BYTES = 1 << 21
 
@@ -54,8 +54,8 @@ def _least_of(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, key: int) -> tuple[np.ndarray, ...]:
-    """Text, place in the text, key and context hash of every anchor of a block."""
-    none = np.zeros(0, I64), np.zeros(0, I64), np.zeros(0, I64), np.zeros(0, I64)
+    """Of every anchor of a block: text, begin and end of its context in the text, key and context hash."""
+    none = (np.zeros(0, I64),) * 5
     if len(data) < length:
         return none
     hashes = Hasher(data)
@@ -63,48 +63,49 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, key: int) -> tup
     keys = hashes(at, at + key)
     # The place in the block breaks ties, the first one wins.
     low = U64((1 << int(len(data)).bit_length()) - 1)
-    least = _least_of((keys & ~low) | at.astype(U64), length - key + 1)
-    text = np.searchsorted(offsets, np.arange(len(least)), side="right") - 1
-    inside = np.arange(len(least)) + length <= offsets[text + 1]
-    places = np.unique(least[inside] & low).astype(I64)
-    if not len(places):
+    least = (_least_of((keys & ~low) | at.astype(U64), length - key + 1) & low).astype(I64)
+    # Starts of strings that don't leave their text; starts of one anchor follow each other.
+    starts = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(offsets[:-1], offsets[1:])])
+    if not len(starts):
         return none
+    places = least[starts]
+    new = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+    places, begin = places[new], starts[new]
+    end = starts[np.append(new[1:], len(starts)) - 1] + length
     text = np.searchsorted(offsets, places, side="right") - 1
-    begin = np.maximum(places + key - length, offsets[text])
-    end = np.minimum(places + length, offsets[text + 1])
     context = mix(hashes(begin, end) + (places - begin).astype(U64) * U64(0xD6E8FEB86659FD93))
-    return text, places - offsets[text], keys[places].view(I64), context.view(I64)
+    base = offsets[text]
+    return text, begin - base, end - base, keys[places].view(I64), context.view(I64)
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, key: int) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
-        text, place, keys, contexts = anchors(block.data, block.offsets, length, key)
+        text, begin, end, keys, contexts = anchors(block.data, block.offsets, length, key)
         yield pa.RecordBatch.from_arrays(
-            [block.rows.column("row").take(pa.array(text)), *map(pa.array, (place.astype(np.int32), keys, contexts))],
-            ["row", "place", "key", "context"],
+            [
+                block.rows.column("row").take(pa.array(text)),
+                *map(pa.array, (begin.astype(np.int32), end.astype(np.int32), keys, contexts)),
+            ],
+            ["row", "begin", "end", "key", "context"],
         )
 
 
-def _context_rows(batches: Iterator[pa.RecordBatch], length: int, key: int) -> Iterator[pa.RecordBatch]:
-    """The bytes around the wanted anchors of every text."""
+def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the wanted contexts of every text."""
     for block in blocks(batches):
         wanted = block.rows.column("wanted")
         counts = np.diff(wanted.offsets.to_numpy())
         text = np.repeat(np.arange(len(counts)), counts)
-        first = wanted.offsets[0].as_py()
-        picked = wanted.values.slice(first, len(text))
-        places = picked.field("place").to_numpy().astype(I64)
-        begin = np.maximum(places + key - length, 0)
-        end = np.minimum(places + length, np.diff(block.offsets)[text])
-        base = block.offsets[text]
+        picked = wanted.values.slice(wanted.offsets[0].as_py(), len(text))
+        begin, end = (picked.field(n).to_numpy().astype(I64) + block.offsets[text] for n in ("begin", "end"))
         raw = block.data.tobytes()
         yield pa.RecordBatch.from_arrays(
             [
                 picked.field("key"),
                 picked.field("contexts"),
                 block.rows.column("row").take(pa.array(text)),
-                pa.array(begin.astype(np.int32)),
-                pa.array([raw[a:b] for a, b in zip((base + begin).tolist(), (base + end).tolist())], pa.binary()),
+                picked.field("begin"),
+                pa.array([raw[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()),
             ],
             ["key", "contexts", "row", "begin", "bytes"],
         )
@@ -224,26 +225,26 @@ def _merged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """row and spans, an array of (start, end), of rows (row, text) with repeated passages.
 
-    Spans may overlap and reach over the ends of the text.
+    Spans may overlap.
     """
     found = map_arrow(
-        docs, partial(_anchor_rows, length=length, key=key), "row bigint, place int, key bigint, context bigint"
+        docs, partial(_anchor_rows, length=length, key=key), "row bigint, begin int, end int, key bigint, context bigint"
     )
     often = found.groupBy("key").count().where("count > 1").select("key")
     shared = materialize(found.join(often.hint("merge"), "key"), "anchors")
     classes = materialize(
         shared.groupBy("key", "context").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "place")).alias("one")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "begin", "end")).alias("one")
         ),
         "contexts",
     )
     whole = shared.join(classes.where("n > 1").select("key", "context"), ["key", "context"]).select(
-        "row", (F.col("place") + key - length).alias("start"), (F.col("place") + length).alias("end")
+        "row", F.col("begin").alias("start"), "end"
     )
     mixed = classes.groupBy("key").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     wanted = (
         classes.join(mixed, "key")
-        .select("one.row", F.struct("key", F.col("contexts").cast("int").alias("contexts"), "one.place").alias("anchor"))
+        .select("one.row", F.struct("key", F.col("contexts").cast("int").alias("contexts"), "one.begin", "one.end").alias("anchor"))
         .groupBy("row")
         .agg(F.collect_list("anchor").alias("wanted"))
     )
@@ -251,7 +252,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_
     contexts = (
         map_arrow(
             docs.join(wanted.hint("merge"), "row"),
-            partial(_context_rows, length=length, key=key),
+            _context_rows,
             "key bigint, contexts int, row bigint, begin int, bytes binary",
         )
         .withColumn("salts", salts)
@@ -279,7 +280,7 @@ def _cut(batches: Iterator[pa.RecordBatch], text: bool) -> Iterator[pa.RecordBat
         for spans, a, b in zip(block.rows.column("spans").to_pylist(), block.offsets[:-1], block.offsets[1:]):
             raw, parts, at, removed, n = block.data[a:b].tobytes(), [], 0, 0, 0
             reach = 0
-            for start, end in sorted((max(s["start"], 0), min(s["end"], len(raw))) for s in spans or []):
+            for start, end in sorted((s["start"], s["end"]) for s in spans or []):
                 if not n or start > reach:
                     parts.append(raw[at:start])
                     n, reach, removed = n + 1, end, removed + end - start
