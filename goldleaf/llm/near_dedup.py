@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.blocks import Block, blocks, mix, runs, shingle_sets
+from goldleaf.llm.bitmaps import possible
+from goldleaf.llm.blocks import blocks, mix, runs, shingle_sets
 from goldleaf.llm.components import components
 from goldleaf.llm.tasks import map_arrow
 from goldleaf.sources.tables import materialize
@@ -38,7 +39,6 @@ from goldleaf.sources.tables import materialize
 BANDS, BAND_ROWS = 40, 4
 COORDINATES = BANDS * BAND_ROWS
 AGREEING = 0.55
-BITMAPS, BITS = 256, 1 << 15
 PERCENT = 75
 BLOCK_NODES = 1024
 
@@ -227,32 +227,6 @@ def _with_components(rows: DataFrame, named: DataFrame) -> DataFrame:
     return rows.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose node may be among the wanted ones, by a bitmap of BITMAPS x 32,768 bits.
-
-    The bitmap has one size whatever the input, so it may be broadcast; the more
-    nodes are wanted, the less it spares the following join.
-    """
-    place = F.pmod(F.xxhash64("node"), F.lit(BITMAPS * BITS))
-    bitmaps = (
-        wanted.withColumn("place", place)
-        .groupBy((F.floor(F.col("place") / BITS)).alias("part"))
-        .agg(F.bitmap_construct_agg(F.pmod("place", F.lit(BITS))).alias("bitmap"))
-    )
-    return (
-        rows.withColumn("place", place)
-        .withColumn("part", F.floor(F.col("place") / BITS))
-        .join(F.broadcast(bitmaps), "part")
-        .where(f"""
-            shiftright(
-                cast(conv(hex(substring(bitmap, cast(pmod(place, {BITS}) div 8 AS int) + 1, 1)), 16, 10) AS int),
-                cast(pmod(place, 8) AS int)
-            ) & 1 = 1
-        """)
-        .drop("place", "part", "bitmap")
-    )
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of (doc_id, text).
 
@@ -285,7 +259,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.withColumnRenamed("doc_id", "node").where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     sets = materialize(
         map_arrow(
-            possible(texts, wanted).join(wanted.hint("merge"), "node", "left_semi"), _sets, "node bigint, signature binary, shingles binary"
+            possible(texts, wanted, "node").join(wanted.hint("merge"), "node", "left_semi"), _sets, "node bigint, signature binary, shingles binary"
         ),
         "sets",
     )

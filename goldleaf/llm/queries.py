@@ -12,6 +12,7 @@ from goldleaf.llm.byte_bpe import encode_texts
 from goldleaf.llm.near_dedup import near_duplicates
 from goldleaf.llm.packing import pack_documents
 from goldleaf.llm.passages import without_repeats
+from goldleaf.llm.quality_lm import classify
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,6 +50,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op6_exact_dedup"] = exact_dedup.SQL
 
 
+@query
+def op7_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
