@@ -189,7 +189,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     plan = places(pack(counts, capacity))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
     return map_arrow(
-        numbered(pieces, int(counts.sum())), partial(_placed, plan=plan), f"{schema}, sequence_id bigint, offset bigint"
+        numbered(pieces, int(counts.sum())).select(*pieces.columns, "number"),
+        partial(_placed, plan=plan),
+        f"{schema}, sequence_id bigint, offset bigint",
     )
 
 
