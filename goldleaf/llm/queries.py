@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from goldleaf.llm import exact_dedup
+from goldleaf.llm import exact_dedup, toxicity
 from goldleaf.llm.byte_bpe import encode_texts
 from goldleaf.llm.near_dedup import near_duplicates
 from goldleaf.llm.packing import pack_documents
 from goldleaf.llm.passages import without_repeats
 from goldleaf.llm.quality_lm import classify
+from goldleaf.llm.quality_rules import apply_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(n: int) -> Column:
+    """The fold of a row: crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[function.__name__] = function
     return function
@@ -37,6 +44,13 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(remainder(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))
@@ -58,3 +72,8 @@ def op7_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
