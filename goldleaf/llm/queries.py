@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import exact_dedup, toxicity
+from goldleaf.llm import exact_dedup, language_crf, toxicity
 from goldleaf.llm.byte_bpe import encode_texts
 from goldleaf.llm.near_dedup import near_duplicates
 from goldleaf.llm.packing import pack_documents
@@ -34,6 +34,15 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_crf.train(docs.where(remainder(4) != 2))
+    return language_crf.predict(docs, model).select(
+        "doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -48,7 +57,9 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(remainder(5) != 0))
-    return toxicity.score(docs, model).select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
 
 
 @query
