@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import exact_dedup, language_crf, toxicity
+from goldleaf.llm import exact_dedup, language_crf, toxicity, url_lists
 from goldleaf.llm.byte_bpe import encode_texts
 from goldleaf.llm.near_dedup import near_duplicates
 from goldleaf.llm.packing import pack_documents
@@ -85,6 +85,15 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op9_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, events = table(spark, sf_dir, "pages"), table(spark, sf_dir, "events")
+    return url_lists.evaluate(url_lists.page_captures(pages), url_lists.list_lines(events, pages))
+
+
+ORACLES["op9_temporal_url_lists"] = url_lists.SQL
+
+
 @query
 def op10_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
