@@ -1,26 +1,71 @@
-"""The corpus pipeline: stages applied to `documents`, one after another."""
+"""The corpus pipeline: stages applied to `documents`, one after another.
+
+Quality first, then exact copies, near copies and repeated passages, and what is
+left is packed into sequences of tokens.  All stages but the last return the
+columns of `documents`; rows without doc_id pass the stages that drop documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from goldleaf.llm.bitmaps import without_keys
+from goldleaf.llm.exact_dedup import exact_duplicates
 from goldleaf.llm.near_dedup import near_duplicates
+from goldleaf.llm.packing import pack_documents
+from goldleaf.llm.passages import without_repeats
+from goldleaf.llm.quality_lm import classify
 from goldleaf.sources.tables import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _without_dropped(docs: DataFrame, judged: DataFrame, name: str) -> DataFrame:
+    """Documents of which no row was dropped."""
+    dropped = materialize(judged.where("NOT kept AND doc_id IS NOT NULL").select("doc_id"), name)
+    return without_keys(docs, dropped, "doc_id")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the Kneser-Ney model of trusted text rejects go."""
+    return _without_dropped(docs, classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "rejected")
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest doc_id stays."""
+    return _without_dropped(docs, exact_duplicates(docs), "copies")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.where("doc_id IS NULL").unionByName(docs.join(kept, "doc_id", "left_semi"))
+    return _without_dropped(docs, near_duplicates(docs), "near-copies")
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go from the texts; a document stays, even with an empty text."""
+    carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    cut = without_repeats(docs, text=True, carried=carried).withColumnRenamed("kept_text", "text")
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of tokens and their places in sequences of 4096."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("packing", packing),
+]
 
-# Near duplicates and removed passages have no SQL form.
+# The language model, near copies and passages have no SQL form.
 ORACLE_SQL: str | None = None
 
 

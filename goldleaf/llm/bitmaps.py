@@ -8,29 +8,45 @@ from pyspark.sql import functions as F
 BITMAPS, BITS = 256, 1 << 15
 
 
-def possible(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` may be among the wanted ones, by a bitmap of BITMAPS x 32,768 bits.
-
-    The bitmap has one size whatever the input, 1 MB, so it may be broadcast; the
-    more keys are wanted, the less it spares the exact join that must follow.
-    Rows without a key go.
-    """
+def _marked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows with ``may``, true if their key may be among the wanted ones; false without a key."""
     place = F.pmod(F.xxhash64(key), F.lit(BITMAPS * BITS))
     bitmaps = (
-        wanted.withColumn("place", place)
+        wanted.select(place.alias("place"))
         .groupBy(F.floor(F.col("place") / BITS).alias("part"))
         .agg(F.bitmap_construct_agg(F.pmod("place", F.lit(BITS))).alias("bitmap"))
     )
+    bit = F.expr(f"""
+        shiftright(
+            cast(conv(hex(substring(bitmap, cast(pmod(place, {BITS}) div 8 AS int) + 1, 1)), 16, 10) AS int),
+            cast(pmod(place, 8) AS int)
+        ) & 1 = 1
+    """)
     return (
-        rows.where(F.col(key).isNotNull())
-        .withColumn("place", place)
+        rows.withColumn("place", place)
         .withColumn("part", F.floor(F.col("place") / BITS))
-        .join(F.broadcast(bitmaps), "part")
-        .where(f"""
-            shiftright(
-                cast(conv(hex(substring(bitmap, cast(pmod(place, {BITS}) div 8 AS int) + 1, 1)), 16, 10) AS int),
-                cast(pmod(place, 8) AS int)
-            ) & 1 = 1
-        """)
+        .join(F.broadcast(bitmaps), "part", "left")
+        .withColumn("may", F.coalesce(bit, F.lit(False)) & F.col(key).isNotNull())
         .drop("place", "part", "bitmap")
     )
+
+
+def possible(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` may be among the wanted ones, by a bitmap of BITMAPS x 32,768 bits.
+
+    The bitmap has one size whatever the input, 1 MB, so it may be broadcast; the
+    more keys are wanted, the less it spares the exact join that must follow.
+    Rows without a key go.
+    """
+    return _marked(rows, wanted, key).where("may").drop("may")
+
+
+def without_keys(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` is not in ``gone``; rows without a key stay.
+
+    Only rows that the bitmap can't clear are dealt out for the exact join.
+    """
+    names = rows.columns
+    marked = _marked(rows, gone, key)
+    unsure = marked.where("may").join(gone.select(key).distinct().hint("merge"), key, "left_anti")
+    return marked.where("NOT may").select(*names).unionByName(unsure.select(*names))

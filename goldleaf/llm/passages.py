@@ -142,7 +142,7 @@ SPANS = "row bigint, start int, end int"
 LISTS = "key bigint, part int, parts int, shard int, hashes binary, rows binary, starts binary"
 
 
-def _refined(batches: Iterator[pa.RecordBatch], length: int, shard_contexts: int) -> Iterator[pa.RecordBatch]:
+def _refined(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Spans of repeats inside the shards, and lists of what shards of one key must look up in each other.
 
     Lists and spans share a schema; a list has parts, a span has none.
@@ -261,7 +261,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_
     refined = materialize(
         map_arrow(
             contexts.repartition("key", "salt").sortWithinPartitions("key", "salt"),
-            partial(_refined, length=length, shard_contexts=shard_contexts),
+            partial(_refined, length=length),
             f"{SPANS}, {LISTS}",
         ),
         "refined",
@@ -274,7 +274,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_
     return spans.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], text: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text: bool, carried: list[str]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
         out = []
         for spans, a, b in zip(block.rows.column("spans").to_pylist(), block.offsets[:-1], block.offsets[1:]):
@@ -297,28 +297,40 @@ def _cut(batches: Iterator[pa.RecordBatch], text: bool) -> Iterator[pa.RecordBat
                 *[pa.array(c, pa.int64()) for c in columns[:3]],
                 pa.array(columns[3], pa.string()),
                 pa.array(columns[4], pa.string()),
+                *[block.rows.column(c) for c in carried],
             ],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", *carried],
         )
 
 
 def without_repeats(
-    docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_contexts: int = SHARD_CONTEXTS, text: bool = False
+    docs: DataFrame,
+    length: int = LENGTH,
+    key: int = KEY,
+    shard_contexts: int = SHARD_CONTEXTS,
+    text: bool = False,
+    carried: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of (doc_id, text), and kept_text if wanted.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of (doc_id, text).
 
     Bytes are those of UTF-8; a null text is empty, and texts under ``length``
-    bytes keep all.  Two equal rows are two documents.  A cut may split a
-    character; ``kept_text`` leaves out the rest of it, the other columns count
-    it.  doc_id may be null; other columns are ignored.
+    bytes keep all.  Two equal rows are two documents.  With ``text`` there is
+    kept_text too; a cut may split a character, of which kept_text leaves out the
+    rest while the other columns count it.  doc_id may be null.  Columns named in
+    ``carried`` are passed on, others are ignored.
     """
+    carried = carried or []
+    kinds = dict(docs.dtypes)
     docs = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *carried,
     ).withColumn("row", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(docs.select("row", "text"), length, key, shard_contexts)
+    schema = ["doc_id bigint", "n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string"]
     out = map_arrow(
-        docs.join(spans.hint("merge"), "row", "left").select("doc_id", "text", "spans"),
-        partial(_cut, text=text),
-        "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string",
+        docs.join(spans.hint("merge"), "row", "left").select("doc_id", "text", "spans", *carried),
+        partial(_cut, text=text, carried=carried),
+        ", ".join([*schema, "kept_text string", *[f"`{c}` {kinds[c]}" for c in carried]]),
     )
     return out if text else out.drop("kept_text")
