@@ -48,8 +48,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go from the texts; a document stays, even with an empty text."""
     carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = without_repeats(docs, text=True, carried=carried).withColumnRenamed("kept_text", "text")
-    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    cut = without_repeats(docs, text=True, carried=carried)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
+    return cut.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

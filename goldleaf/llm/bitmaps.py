@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITMAPS, BITS = 256, 1 << 15
 
 
 def _marked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows with ``may``, true if their key may be among the wanted ones; false without a key."""
-    place = F.pmod(F.xxhash64(key), F.lit(BITMAPS * BITS))
+    """(row, may): the rows as structs, and whether their key may be among the wanted ones; false without a key."""
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(BITMAPS * BITS))
+
     bitmaps = (
-        wanted.select(place.alias("place"))
+        wanted.select(place(key).alias("place"))
         .groupBy(F.floor(F.col("place") / BITS).alias("part"))
         .agg(F.bitmap_construct_agg(F.pmod("place", F.lit(BITS))).alias("bitmap"))
     )
@@ -23,11 +26,11 @@ def _marked(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
         ) & 1 = 1
     """)
     return (
-        rows.withColumn("place", place)
+        rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+        .withColumn("place", place(f"row.{key}"))
         .withColumn("part", F.floor(F.col("place") / BITS))
         .join(F.broadcast(bitmaps), "part", "left")
-        .withColumn("may", F.coalesce(bit, F.lit(False)) & F.col(key).isNotNull())
-        .drop("place", "part", "bitmap")
+        .select("row", (F.coalesce(bit, F.lit(False)) & F.col(f"row.{key}").isNotNull()).alias("may"))
     )
 
 
@@ -38,7 +41,7 @@ def possible(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     more keys are wanted, the less it spares the exact join that must follow.
     Rows without a key go.
     """
-    return _marked(rows, wanted, key).where("may").drop("may")
+    return _marked(rows, wanted, key).where("may").select("row.*")
 
 
 def without_keys(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
@@ -46,7 +49,12 @@ def without_keys(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
 
     Only rows that the bitmap can't clear are dealt out for the exact join.
     """
-    names = rows.columns
     marked = _marked(rows, gone, key)
-    unsure = marked.where("may").join(gone.select(key).distinct().hint("merge"), key, "left_anti")
-    return marked.where("NOT may").select(*names).unionByName(unsure.select(*names))
+    gone = gone.select(F.col(key).alias("gone")).distinct().hint("merge")
+    unsure = marked.where("may").select("row")
+    return (
+        marked.where("NOT may")
+        .select("row")
+        .unionByName(unsure.join(gone, F.col(f"row.{key}") == gone["gone"], "left_anti"))
+        .select("row.*")
+    )

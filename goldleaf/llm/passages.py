@@ -274,7 +274,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_
     return spans.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], text: bool, carried: list[str]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text: bool) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
         out = []
         for spans, a, b in zip(block.rows.column("spans").to_pylist(), block.offsets[:-1], block.offsets[1:]):
@@ -297,9 +297,9 @@ def _cut(batches: Iterator[pa.RecordBatch], text: bool, carried: list[str]) -> I
                 *[pa.array(c, pa.int64()) for c in columns[:3]],
                 pa.array(columns[3], pa.string()),
                 pa.array(columns[4], pa.string()),
-                *[block.rows.column(c) for c in carried],
+                block.rows.column("carried"),
             ],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", *carried],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "carried"],
         )
 
 
@@ -319,18 +319,18 @@ def without_repeats(
     rest while the other columns count it.  doc_id may be null.  Columns named in
     ``carried`` are passed on, others are ignored.
     """
-    carried = carried or []
-    kinds = dict(docs.dtypes)
+    others = [F.col(f"`{c}`") for c in carried or []]
     docs = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        *carried,
+        F.struct(F.lit(None).cast("int").alias("none"), *others).alias("carried"),
     ).withColumn("row", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(docs.select("row", "text"), length, key, shard_contexts)
-    schema = ["doc_id bigint", "n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string"]
     out = map_arrow(
-        docs.join(spans.hint("merge"), "row", "left").select("doc_id", "text", "spans", *carried),
-        partial(_cut, text=text, carried=carried),
-        ", ".join([*schema, "kept_text string", *[f"`{c}` {kinds[c]}" for c in carried]]),
+        docs.join(spans.hint("merge"), "row", "left").select("doc_id", "text", "spans", "carried"),
+        partial(_cut, text=text),
+        "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string, "
+        f"carried {docs.schema['carried'].dataType.simpleString()}",
     )
-    return out if text else out.drop("kept_text")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * text]
+    return out.select(*names, *[F.col(f"carried.`{c}`") for c in carried or []])
