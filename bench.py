@@ -15,7 +15,7 @@ import statistics
 import time
 
 from goldleaf.plans.queries import REGISTRY
-from goldleaf.session import local_session
+from goldleaf.session import local_session, remove_run_dir
 
 HEADLINE = [
     "silver_bookings",
@@ -38,9 +38,12 @@ HEADLINE = [
     "find_properties",
     "plan_trips",
     "request_slots",
+    "plan_texts",
+    "chat_replies",
     "chunk_documents",
     "retrieve_chunks",
     "guarded_answers",
+    "agent_answers_from_replies",
     "eval_scores",
     "customer_features",
     "spend_tier",
@@ -79,6 +82,7 @@ def main() -> None:
             }
         )
     )
+    remove_run_dir(spark)
     spark.stop()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,47 +37,46 @@ def approximate_cuts(features: DataFrame, column: str = "total_spend") -> DataFr
     )
 
 
-def exact_cuts(features: DataFrame, column: str = "total_spend", accuracy: int = 10_000) -> DataFrame:
-    """The values at ranks ceil(p * n), found without sorting all rows in one place.
-
-    A sketch brackets each rank: the wanted value lies between the sketch values
-    at p - 2/accuracy and p + 2/accuracy.  Values outside all brackets are only
-    counted, per stretch between brackets; values inside are counted one by one.
-    What is ordered in the end is about 4/accuracy of the rows per cut, and equal
-    values are one row, however many.  Two passes over ``features``.
-    """
-    slack = 2.0 / accuracy
-    value = F.col(column).cast("double")
-    marks = [m for p in TIER_CUTS for m in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    sketch = features.agg(
-        F.struct(
-            F.percentile_approx(value, F.array(*[F.lit(m) for m in marks]), accuracy).alias("edges"),
-            F.count(value).alias("n"),
-        ).alias("s")
-    ).scalar()
+def range_counts(values: DataFrame, brackets: list[tuple[float, float]], ranges: int) -> DataFrame:
+    """(cut, range, n, low, high) of rows (v): each bracket in ``ranges`` even ranges, counted map side first."""
+    each = F.array(*[F.struct(F.lit(k).alias("cut"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b) in enumerate(brackets)])
     v = F.col("v")
-    edges = [F.col("s.edges")[k] for k in range(len(marks))]
-    inside = F.lit(False)
-    # the stretch a value falls in: 0 below the first edge, then one more per edge passed
-    stretch = F.lit(0)
-    for k in range(0, len(marks), 2):
-        inside = inside | ((v >= edges[k]) & (v <= edges[k + 1]))
-        stretch = stretch + F.when(v >= edges[k], 1).otherwise(0) + F.when(v > edges[k + 1], 1).otherwise(0)
-    counted = (
-        features.select(value.alias("v"))
-        .filter(v.isNotNull())
-        .withColumn("s", sketch)
-        .select("s.n", stretch.alias("stretch"), F.when(inside, v).alias("v"))
-        .groupBy("stretch", "v")
-        .agg(F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
+    place = F.when(F.col("b") > F.col("a"), F.floor((v / ranges - F.col("a") / ranges) / (F.col("b") / ranges - F.col("a") / ranges) * ranges))
+    return (
+        values.select("v", F.inline(each))
+        .where((v >= F.col("a")) & (v <= F.col("b")))
+        .groupBy("cut", F.least(F.coalesce(place, F.lit(0)), F.lit(ranges - 1)).alias("range"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
-    running = Window.orderBy("stretch", "v").rowsBetween(Window.unboundedPreceding, 0)
-    reached = counted.withColumn("reached", F.sum("copies").over(running)).filter(v.isNotNull())
 
-    def cut(p: float) -> Column:
-        return F.min(F.when(F.col("reached") >= F.greatest(F.ceil(F.lit(p) * F.col("n")), F.lit(1)), v))
 
-    return reached.agg(cut(TIER_CUTS[0]).alias("low_cut"), cut(TIER_CUTS[1]).alias("high_cut"))
+def exact_cuts(features: DataFrame, column: str = "total_spend", ranges: int = 1024) -> DataFrame:
+    """The values at ranks ceil(p * n), found by counting: low_cut, high_cut.
+
+    Values are counted per range, the range that holds the rank is divided again,
+    and so on until it holds one value.  No rows are sorted and none meet in one
+    task; the driver sees at most ``ranges`` counts for each cut and round, and a
+    round makes the brackets at least one value narrower, for common values about
+    ``ranges`` times.  ``features`` is read once a round; pass a stored table.
+    NULLs don't count; without values both cuts are NULL.
+    """
+    spark = features.sparkSession
+    values = features.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    n, low, high = values.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    schema = "low_cut double, high_cut double"
+    if not n:
+        return spark.createDataFrame([(None, None)], schema)
+    brackets = [(low, high)] * len(TIER_CUTS)
+    ranks = [max(math.ceil(p * n), 1) for p in TIER_CUTS]
+    while any(a < b for a, b in brackets):
+        counts = sorted(range_counts(values, brackets, ranges).collect(), key=lambda r: (r.cut, r.range))
+        for cut in range(len(brackets)):
+            for r in (r for r in counts if r.cut == cut):
+                if ranks[cut] <= r.n:
+                    brackets[cut] = (r.low, r.high)
+                    break
+                ranks[cut] -= r.n
+    return spark.createDataFrame([tuple(a for a, _ in brackets)], schema)
 
 
 def with_spend_tier(features: DataFrame, cuts: DataFrame, column: str = "total_spend") -> DataFrame:

@@ -586,7 +586,7 @@ def customer_features(t: Testbed) -> DataFrame:
 
 @query
 def spend_tier_cuts(t: Testbed) -> DataFrame:
-    return X.exact_cuts(features(t))
+    return X.exact_cuts(materialize(features(t), "customer_features"))
 
 
 @query

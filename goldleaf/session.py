@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,15 +38,41 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, app: str = "gold
     return spark
 
 
+# Only for sessions inside one local JVM; removed when Python ends.
+_own_folder: list[tempfile.TemporaryDirectory] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """The folder that all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    A cluster names it in spark.checkpoint.dir.  Only where that is unset (a
-    local test run) a temporary folder is taken.
+    Where that is unset, a session inside a single local JVM gets a folder of its
+    own; any other session must set it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="goldleaf-shared-")
+    if not _own_folder:
+        _own_folder.append(tempfile.TemporaryDirectory(prefix="goldleaf-shared-"))
+    return _own_folder[0].name
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_dir(spark).rstrip('/')}/goldleaf-{spark.sparkContext.applicationId}"
+
+
+def remove_run_dir(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; DataFrames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def run(spark: SparkSession) -> Iterator[SparkSession]:
+    """A run that owns its intermediate tables: they are gone when it ends."""
+    try:
+        yield spark
+    finally:
+        remove_run_dir(spark)

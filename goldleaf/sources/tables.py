@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.session import shared_dir
+from goldleaf.session import run_dir
 
 PROFILE_SCHEMA = "table_name string, column_name string, column_type string, n_rows bigint, n_null bigint, error string"
 
@@ -53,10 +53,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write rows that several later passes read, and read them back.
 
     The files are in the shared folder of the cluster, so they survive a lost
-    executor, and later passes do not run the joins behind them again.
+    executor, and later passes do not run the joins behind them again.  They
+    belong to the application's run folder (``session.run`` removes it).
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+    path = f"{run_dir(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 

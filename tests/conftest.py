@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from goldleaf.session import local_session  # noqa: E402
+from goldleaf.session import local_session, run  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", app="goldleaf-tests")
-    yield session
+    with run(session):
+        yield session
     session.stop()
 
 

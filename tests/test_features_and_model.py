@@ -31,7 +31,7 @@ def test_exact_cuts_match_brute_force(spark, values):
     wanted = tuple(ordered[max(math.ceil(p * len(ordered)), 1) - 1] for p in X.TIER_CUTS)
     # a coarse sketch makes wide brackets, a fine one narrow ones; the cuts are the same
     assert tuple(X.exact_cuts(df).first()) == wanted
-    assert tuple(X.exact_cuts(df, accuracy=20).first()) == wanted
+    assert tuple(X.exact_cuts(df, ranges=3).first()) == wanted
 
 
 def test_approximate_cuts_are_within_one_percent(spark):

@@ -25,8 +25,30 @@ def test_lookup_join_equals_left_join_and_spreads_the_hot_key(no_broadcast):
     plain = facts.join(lookup, "key", "left")
     assert got.columns == plain.columns
     assert sorted(got.collect(), key=str) == sorted(plain.collect(), key=str)
-    salts = facts.filter("key = 'hot'").select(F.pmod(F.xxhash64("id"), F.lit(8)).alias("salt")).distinct().count()
-    assert salts == 8
+
+
+@pytest.mark.parametrize("hot, nulls", [(0.34, 0.0), (0.01, 0.98), (0.5, 0.3)])
+def test_no_task_of_the_lookup_join_has_much_more_than_the_mean(no_broadcast, hot, nulls):
+    """Rows per task behind the join, without broadcasts of tables and without adaptive execution."""
+    spark = no_broadcast
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        facts = spark.range(0, n, numPartitions=8).select(
+            "id",
+            F.when(F.col("id") < hot * n, "hot").when(F.col("id") >= (hot + nulls) * n, F.concat(F.lit("k"), F.col("id") % 5000)).alias("key"),
+        )
+        lookup = spark.range(5000).selectExpr("concat('k', id) AS key", "id AS v").union(spark.createDataFrame([("hot", 1)], "key string, v long"))
+        joined = lookup_join(facts, lookup, "key", spread_by="id")
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == n
+        assert max(per_task) <= 5 * n / 48
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_hot_request_text_is_resolved_once(no_broadcast):
