@@ -11,17 +11,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldleaf.functions.numbers import plain_number
-from goldleaf.functions.text import first_json_object, normal_key
+from goldleaf.functions.text import first_json_object, normal_key, strip_space
 from goldleaf.operators.retrieval import with_context
 from goldleaf.operators.skew import lookup_join
+from goldleaf.sources.tables import materialize
 
 PROPERTIES_SHOWN = 6
-NAMES_LISTED = 100
+ALL_PLACES = ""  # key of the list of all places; the others are lower-case countries
 
 # Fixed texts.
 CONTEXT_QUESTION = "top tourist attractions and things to do in "
 CONTEXT_QUESTION_SHORT = "top attractions and things to do in "
 CHAT_FLIGHT_NOTE = "\n\n(Flights are not included — no flight data on this tier.)"
+WRITTEN_RULE = "\n\n" + "-" * 60 + "\nPLANNER:\n"
+WRITTEN_NOTE = "\n\n(Note: flights are not included — no flight data on this tier.)"
 # Wording of the planner on its own and behind the chat.
 WORDING = {
     "planner": {
@@ -49,6 +52,10 @@ WORDING = {
 }
 ASK_PREFIX = "ASSISTANT: I can plan that — I just need "
 ASK_EXAMPLE = ". For example: '4 nights in Paris with a budget of 2000 euros'."
+NOT_UNDERSTOOD = (
+    "ASSISTANT: Sorry, I couldn't understand that (no readable details). "
+    "Try e.g. '4 days in Paris with a budget of 2000 euros'."
+)
 ASK_DESTINATION, ASK_NIGHTS, ASK_BUDGET = "which destination", "how many nights", "your budget"
 
 
@@ -236,39 +243,46 @@ def destination_cards(
     return described.join(cheapest_properties(properties), "destination_id", "left")
 
 
-def _first_names(destinations: DataFrame) -> DataFrame:
-    """One row: the first NAMES_LISTED place names in sorted order, as one text."""
-    few = destinations.select("destination").orderBy("destination").limit(NAMES_LISTED)
-    return few.agg(F.array_join(F.array_sort(F.collect_list("destination")), ", ").alias("names"))
+def place_lists(destinations: DataFrame) -> DataFrame:
+    """Every name of every list as rows: list_key, destination_id, destination.
+
+    All places are one list, those of a country another.
+    """
+    everywhere = destinations.select(F.lit(ALL_PLACES).alias("list_key"), "destination_id", "destination")
+    countries = destinations.where(F.col("country").isNotNull() & (F.col("country") != ALL_PLACES)).select(
+        F.lower("country").alias("list_key"), "destination_id", "destination"
+    )
+    return everywhere.unionByName(countries)
 
 
-def _first_names_by_country(destinations: DataFrame) -> DataFrame:
-    """Per country key: its first NAMES_LISTED places by id, as one text.
+def list_texts(destinations: DataFrame) -> DataFrame:
+    """The complete names of each list as one text: list_key, names.
 
-    The rank is cut on the map side, so no country is collected whole.
+    All places are in the order of their names, those of a country by id.  A text
+    is made once per list, and a reply holds it whole, so it is as long as its list.
     """
-    by_id = Window.partitionBy("_key").orderBy("destination_id", "destination")
+    by = F.when(F.col("list_key") == ALL_PLACES, F.lit(None).cast("bigint")).otherwise(F.col("destination_id"))
     return (
-        destinations.select(F.lower("country").alias("_key"), "destination_id", "destination")
-        .withColumn("place", F.row_number().over(by_id))
-        .filter(F.col("place") <= NAMES_LISTED)
-        .groupBy("_key")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "destination"))).alias("few"))
-        .select("_key", F.array_join(F.transform("few", lambda c: c["destination"]), ", ").alias("names"))
+        place_lists(destinations)
+        .where(F.col("destination").isNotNull())
+        .groupBy("list_key")
+        .agg(F.array_sort(F.collect_list(F.struct(by.alias("by"), "destination"))).alias("places"))
+        .select("list_key", F.array_join(F.transform("places", lambda c: c["destination"]), ", ").alias("names"))
     )
 
 
-def _and_more(names: Column, count: Column) -> Column:
-    """Names, followed by how many are not listed."""
-    more = F.concat(F.lit(" and "), (count - NAMES_LISTED).cast("string"), F.lit(" more"))
-    return F.concat(names, F.when(count > NAMES_LISTED, more).otherwise(""))
+def title_case(text: Column) -> Column:
+    """Upper case after every character that is no letter, lower case elsewhere."""
+    parts = F.split(text, r"(?<=[^\p{L}])")
+    each = F.transform(parts, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30))))
+    return F.array_join(each, "")
 
 
 def _planned(
     requests: DataFrame, destinations: DataFrame, properties: DataFrame, context_question: str
 ) -> DataFrame:
     """Requests with status, destination card, offers within budget and message texts."""
-    resolved = resolve_destination(requests, destinations)
+    resolved = materialize(resolve_destination(materialize(requests, "requests"), destinations), "resolved")
     cards = destination_cards(destinations, properties, context_question)
     known = lookup_join(resolved, cards, "destination_id", spread_by="request_id")
     nights, budget = F.col("nights"), F.col("budget").cast("double")
@@ -328,9 +342,15 @@ def plan_texts(
     wording: str = "planner",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One reply text per request: request_id, plan_status, reply and ``keep`` columns."""
+    """One reply text per request: request_id, plan_status, reply and ``keep`` columns.
+
+    A column ``written`` in ``requests`` holds plans written elsewhere from the
+    same data; one that is not NULL follows the listed options.
+    """
     say = {name: F.lit(text) for name, text in WORDING[wording].items()}
-    planned = _planned(requests, destinations, properties, WORDING[wording]["context"])
+    planned = materialize(
+        _planned(requests, destinations, properties, WORDING[wording]["context"]).drop("context", "offers"), "planned"
+    )
     nights, budget = F.col("nights"), F.col("budget").cast("double")
     nights_text = nights.cast("string")
 
@@ -343,37 +363,48 @@ def plan_texts(
             F.lit(" = "), plain_number(cost), F.lit(", leaves "), plain_number(F.round(budget - cost, 2)),
         )
 
+    end = say["end"]
+    if "written" in requests.columns:
+        told = F.concat(F.lit(WRITTEN_RULE), strip_space(F.col("written")), F.lit(WRITTEN_NOTE))
+        end = F.coalesce(told, end)
     plan = F.concat(
         F.lit("TRIP PLAN — "), "destination", F.lit(", "), "destination_country", F.lit("\n"), nights_text,
         F.lit(" nights, budget "), plain_number(budget), F.lit("\n\nAccommodation options within budget:\n"),
-        F.array_join(F.transform("fitting", offer_line), "\n"), say["end"],
+        F.array_join(F.transform("fitting", offer_line), "\n"), end,
     )
     nothing = F.concat(
         F.lit("For "), "destination", say["nothing_1"], plain_number(budget), F.lit(" over "), nights_text,
         say["nothing_2"], plain_number(F.col("ceiling")), say["nothing_3"],
     )
+    lists = materialize(list_texts(destinations), "list_texts")
     n_places = destinations.agg(F.count(F.lit(1))).scalar()
     text = F.coalesce("destination_text", F.lit(""))
     unknown = F.concat(
         F.lit("I can only plan for these "), n_places.cast("string"), say["unknown_1"],
-        _and_more(_first_names(destinations).scalar(), n_places), say["unknown_2"],
+        lists.where(F.col("list_key") == ALL_PLACES).select("names").scalar(), say["unknown_2"],
         text, F.lit("' is not one of them."),
     )
     ask_city = F.concat(
-        F.initcap(text), say["several"], _and_more(F.col("names"), F.col("n_cities")),
-        F.lit(". Please ask for one of them."),
+        title_case(text), say["several"], "names", F.lit(". Please ask for one of them."),
     )
+    missing = F.array_compact(
+        F.array(
+            F.when(F.coalesce(nights <= 0, F.lit(True)), F.lit(ASK_NIGHTS)), F.when(budget.isNull(), F.lit(ASK_BUDGET))
+        )
+    )
+    incomplete = F.concat(F.lit(ASK_PREFIX), F.array_join(missing, ", and "), F.lit(ASK_EXAMPLE))
     reply = (
         F.when(F.col("plan_status") == "unknown", unknown)
         .when(F.col("plan_status") == "ask_city", ask_city)
         .when(F.col("plan_status") == "no_properties", nothing)
+        .when(F.col("plan_status") == "incomplete", incomplete)
         .when(F.col("plan_status") == "planned", plan)
     )
-    # the country lists are looked up only by requests that ask for a country
+    # The country lists are looked up only by requests that ask for a country; others have no key.
     keyed = planned.withColumn(
-        "_key", F.when(F.col("plan_status") == "ask_city", normal_key(F.col("destination_text")))
+        "list_key", F.when(F.col("plan_status") == "ask_city", normal_key(F.col("destination_text")))
     )
-    return lookup_join(keyed, _first_names_by_country(destinations), "_key", spread_by="request_id").select(
+    return lookup_join(keyed, lists, "list_key", spread_by="request_id").select(
         "request_id", "plan_status", reply.alias("reply"), *keep
     )
 
@@ -419,15 +450,15 @@ def stated_nights(message: Column) -> Column:
 
 
 def stated_budget(message: Column) -> Column:
-    """Amount next to a currency or after the word budget; NULL if not stated."""
+    """Amount next to a currency or after the word budget, thousands with or without commas; NULL if not stated."""
     low = F.lower(message)
-    amount = r"(\d+(?:\.\d+)?)"
+    amount = r"(\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+(?:\.\d+)?)"
     forms = [
         amount + r" ?(?:euros?|eur|dollars?|usd|pounds?|gbp|€|\$|£)",
         r"[€$£] ?" + amount,
         r"\bbudget(?: of)?(?: about| around)? ?:? ?" + amount,
     ]
-    return F.coalesce(*[F.regexp_extract(low, form, 1).try_cast("double") for form in forms])
+    return F.coalesce(*[F.replace(F.regexp_extract(low, form, 1), F.lit(",")).try_cast("double") for form in forms])
 
 
 def request_slots(messages: DataFrame, destinations: DataFrame) -> DataFrame:
@@ -495,9 +526,8 @@ def missing_slots(slots: DataFrame) -> DataFrame:
     )
 
 
-def chat_replies(messages: DataFrame, destinations: DataFrame, properties: DataFrame) -> DataFrame:
-    """Free text in, trip plan or a question back out: message_id, reply."""
-    slots = missing_slots(request_slots(messages, destinations))
+def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame) -> DataFrame:
+    """Replies to (message_id, destination, nights, budget, question_back) rows."""
     requests = slots.select(
         F.col("message_id").alias("request_id"),
         F.when(F.col("question_back").isNull(), F.col("destination")).alias("destination_text"),
@@ -512,3 +542,22 @@ def chat_replies(messages: DataFrame, destinations: DataFrame, properties: DataF
             "question_back", F.concat(F.lit("ASSISTANT:\n"), "reply", F.lit(CHAT_FLIGHT_NOTE))
         ).alias("reply"),
     )
+
+
+def chat_replies(messages: DataFrame, destinations: DataFrame, properties: DataFrame) -> DataFrame:
+    """Free text in, trip plan or a question back out: message_id, reply."""
+    return _chat(missing_slots(request_slots(messages, destinations)), destinations, properties)
+
+
+def chat_replies_from_replies(replies: DataFrame, destinations: DataFrame, properties: DataFrame) -> DataFrame:
+    """As chat_replies, with the slots in raw extraction replies (message_id, reply).
+
+    A reply without a readable object is answered with a request to say it
+    differently.
+    """
+    parsed = parse_slot_replies(replies)
+    slots = missing_slots(parsed.drop("readable")).join(parsed.select("message_id", "readable"), "message_id")
+    asked = slots.withColumn(
+        "question_back", F.when(F.col("readable"), F.col("question_back")).otherwise(F.lit(NOT_UNDERSTOOD))
+    )
+    return _chat(asked, destinations, properties)

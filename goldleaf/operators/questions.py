@@ -142,7 +142,7 @@ def _with_tool(asked: DataFrame, tool_texts: DataFrame) -> DataFrame:
     There are four tools, so each is a hot key; the lookup spreads their questions
     where Spark finds the texts too large to broadcast.
     """
-    joined = lookup_join(asked, tool_texts, "tool", spread_by="question_id", salts=32)
+    joined = lookup_join(asked, tool_texts, "tool", spread_by="question_id")
     if "rows_wanted" not in asked.columns:
         return joined.withColumn("data", F.col("tool_text"))
     return joined.withColumn(
@@ -155,18 +155,22 @@ def agent_answers(questions: DataFrame, tool_texts: DataFrame, choices: DataFram
     """Answers without guardrails: the chosen tool's text, or a list of the tools.
 
     ``choices`` (question_id, tool, rows_wanted) replaces the keyword route; each
-    question id must occur once in it.
+    question id must occur at most once in it, and a question without a choice
+    takes the keyword route.  A column ``answer`` in ``questions`` holds answers
+    worded elsewhere, which stand for the tool's text where they are not NULL.
     """
-    if choices is None:
-        asked = questions.select("question_id", route(F.col("question")).alias("tool"))
-    else:
-        asked = questions.select("question_id").join(
-            choices.select("question_id", "tool", "rows_wanted"), "question_id"
+    worded = F.col("answer") if "answer" in questions.columns else F.lit(None).cast("string")
+    asked = questions.select("question_id", route(F.col("question")).alias("tool"), worded.alias("worded"))
+    if choices is not None:
+        chosen = choices.select("question_id", F.col("tool").alias("chosen"), "rows_wanted", F.lit(True).alias("has_choice"))
+        asked = asked.join(chosen, "question_id", "left").select(
+            "question_id", F.when(F.col("has_choice"), F.col("chosen")).otherwise(F.col("tool")).alias("tool"), "rows_wanted", "worded"
         )
     return _with_tool(asked, tool_texts).select(
         "question_id",
         "tool",
         F.when(F.col("data").isNull(), P.NO_TOOL_OPEN)
+        .when(F.col("worded").isNotNull(), F.concat(F.lit("AGENT: "), strip_space(F.col("worded"))))
         .otherwise(F.concat(F.lit("AGENT (raw tool data):\n"), "data"))
         .alias("answer"),
     )

@@ -430,19 +430,30 @@ def request_slots(t: Testbed) -> DataFrame:
     return L.missing_slots(L.request_slots(t.trip_messages, t.places))
 
 
+@query
+def plan_texts_worded(t: Testbed) -> DataFrame:
+    """Every second plan comes with a text written elsewhere."""
+    written = F.when(F.col("request_id") % 2 == 0, F.lit("  Take the first one, it is the cheapest.\n"))
+    return L.plan_texts(t.trip_requests.withColumn("written", written), t.destinations, t.properties)
+
+
+@query
+def place_lists(t: Testbed) -> DataFrame:
+    return L.place_lists(t.places)
+
+
 @query
 def chat_replies(t: Testbed) -> DataFrame:
     return L.chat_replies(t.trip_messages, t.destinations, t.properties)
 
 
-@query
-def parse_slot_replies(t: Testbed) -> DataFrame:
+def slot_replies(t: Testbed) -> DataFrame:
     """Extraction replies made from every trip request; a part of them is unreadable."""
     slots = F.to_json(
         F.struct(F.col("destination_text").alias("destination"), "nights", F.col("budget").alias("budget"))
     )
     which = F.col("request_id") % 4
-    replies = t.trip_requests.select(
+    return t.trip_requests.select(
         F.col("request_id").alias("message_id"),
         F.when(which == 0, slots)
         .when(which == 1, F.concat(F.lit("Here you go:\n"), slots, F.lit("\nAnything else?")))
@@ -450,7 +461,16 @@ def parse_slot_replies(t: Testbed) -> DataFrame:
         .otherwise("no idea")
         .alias("reply"),
     )
-    return L.parse_slot_replies(replies)
+
+
+@query
+def parse_slot_replies(t: Testbed) -> DataFrame:
+    return L.parse_slot_replies(slot_replies(t))
+
+
+@query
+def chat_replies_from_replies(t: Testbed) -> DataFrame:
+    return L.chat_replies_from_replies(slot_replies(t), t.destinations, t.properties)
 
 
 # ---- texts ------------------------------------------------------------------
@@ -505,6 +525,21 @@ def agent_answers(t: Testbed) -> DataFrame:
     return Q.agent_answers(t.questions, tools(t))
 
 
+def worded_questions(t: Testbed) -> DataFrame:
+    """Questions with an answer worded elsewhere; a third have none."""
+    which = F.pmod(F.length("question_id"), F.lit(3))
+    return t.questions.withColumn(
+        "answer",
+        F.when(which == 1, F.concat(F.lit("  The data name these: "), F.substring("question", 1, 60), F.lit(" ")))
+        .when(which == 2, F.lit("Revenue by destination (total, bookings, average).")),
+    )
+
+
+@query
+def agent_answers_worded(t: Testbed) -> DataFrame:
+    return Q.agent_answers(worded_questions(t), tools(t))
+
+
 @query
 def agent_answers_from_replies(t: Testbed) -> DataFrame:
     choices = Q.parse_tool_choices(t.model_replies)
@@ -516,6 +551,11 @@ def guarded_answers(t: Testbed) -> DataFrame:
     return Q.guarded_answers(t.questions, tools(t))
 
 
+@query
+def guarded_answers_worded(t: Testbed) -> DataFrame:
+    return Q.guarded_answers(worded_questions(t), tools(t))
+
+
 @query
 def guarded_answers_from_replies(t: Testbed) -> DataFrame:
     choices = Q.parse_tool_choices(t.model_replies, guarded=True)

@@ -322,9 +322,9 @@ VIEWS = {
                CASE WHEN regexp_matches(low, '\d+ ?-?(nights?|days?)\b') THEN TRY_CAST(regexp_extract(low, '(\d+) ?-?(nights?|days?)\b', 1) AS BIGINT)
                     WHEN regexp_matches(low, '\d+ ?-?weeks?\b') THEN 7 * TRY_CAST(regexp_extract(low, '(\d+) ?-?weeks?\b', 1) AS BIGINT)
                     WHEN regexp_matches(low, '\b(a|one) week\b') THEN 7 END AS nights,
-               CAST(coalesce(nullif(regexp_extract(low, '(\d+(\.\d+)?) ?(euros?|eur|dollars?|usd|pounds?|gbp|€|\$|£)', 1), ''),
-                             nullif(regexp_extract(low, '[€$£] ?(\d+(\.\d+)?)', 1), ''),
-                             nullif(regexp_extract(low, '\bbudget( of)?( about| around)? ?:? ?(\d+(\.\d+)?)', 3), '')) AS DOUBLE) AS budget
+               CAST(replace(coalesce(nullif(regexp_extract(low, '([0-9,]*\d(\.\d+)?) ?(euros?|eur|dollars?|usd|pounds?|gbp|€|\$|£)', 1), ''),
+                             nullif(regexp_extract(low, '[€$£] ?(\d[0-9,]*(\.\d+)?)', 1), ''),
+                             nullif(regexp_extract(low, '\bbudget( of)?( about| around)? ?:? ?(\d[0-9,]*(\.\d+)?)', 3), '')), ',', '') AS DOUBLE) AS budget
         FROM (SELECT message_id, lower(message) AS low FROM @trip_messages) m LEFT JOIN @mentions d USING (message_id)""",
     "customer_features": """
         SELECT "customerID", ROUND(SUM(total_price), 2) AS total_spend, COUNT("transactionID") AS transaction_count,
@@ -669,14 +669,18 @@ twin(
 )
 
 
-def plan_replies(wording: str) -> str:
+def plan_replies(wording: str, written: str | None = None) -> str:
     say = {k: text(v) for k, v in WORDING[wording].items()}
+    if written:
+        say["end"] = f"CASE WHEN s.request_id % 2 = 0 THEN {written} ELSE {say['end']} END"
     return f"""
         SELECT s.request_id, s.plan_status, CASE s.plan_status
             WHEN 'unknown' THEN 'I can only plan for these ' || (SELECT COUNT(*) FROM @destinations) || {say['unknown_1']}
                 || (SELECT string_agg(destination, ', ' ORDER BY destination) FROM @destinations) || {say['unknown_2']}
                 || coalesce(s.destination_text, '') || ''' is not one of them.'
-            WHEN 'ask_city' THEN (SELECT string_agg(upper(w[1]) || lower(w[2:]), ' ') FROM (SELECT unnest(string_split(s.destination_text, ' ')) AS w))
+            WHEN 'ask_city' THEN array_to_string(list_transform(range(1, length(s.destination_text) + 1), lambda i:
+                CASE WHEN i = 1 OR NOT regexp_matches(s.destination_text[i - 1], '\\p{{L}}')
+                     THEN upper(s.destination_text[i]) ELSE lower(s.destination_text[i]) END), '')
                 || {say['several']} || (SELECT string_agg(destination, ', ' ORDER BY d.destination_id) FROM @destinations d
                 WHERE lower(d.country) = lower({strip('s.destination_text')})) || '. Please ask for one of them.'
             WHEN 'no_properties' THEN 'For ' || k.destination || {say['nothing_1']} || format('{{:.0f}}', s.budget) || ' over '
@@ -709,6 +713,31 @@ twin(
         SELECT request_id, 'ASSISTANT:' || chr(10) || reply || {text(CHAT_FLIGHT_NOTE)} FROM ({plan_replies("chat")})""",
     trip_requests="SELECT * FROM @chat_requests",
 )
+twin(
+    "plan_texts_worded",
+    plan_replies(
+        "planner",
+        """chr(10) || chr(10) || repeat('-', 60) || chr(10) || 'PLANNER:' || chr(10) || 'Take the first one, it is the cheapest.'
+           || chr(10) || chr(10) || '(Note: flights are not included — no flight data on this tier.)'""",
+    ),
+)
+twin(
+    "place_lists",
+    """SELECT '' AS list_key, destination_id, destination FROM @places
+       UNION ALL SELECT lower(country), destination_id, destination FROM @places WHERE country <> ''""",
+)
+REPLY_SLOTS = """SELECT request_id AS message_id, request_id % 4 < 2 AS readable, destination_text AS destination, nights, budget
+       FROM @trip_requests"""
+twin(
+    "chat_replies_from_replies",
+    f"""SELECT message_id, CASE WHEN readable THEN {text(ASK_PREFIX)} || missing || {text(ASK_EXAMPLE)} ELSE
+              'ASSISTANT: Sorry, I couldn''t understand that (no readable details). Try e.g. ''4 days in Paris with a budget of 2000 euros''.' END AS reply
+        FROM (SELECT *, coalesce(array_to_string({MISSING}, ', and '), '') AS missing FROM ({REPLY_SLOTS})) WHERE NOT readable OR missing <> ''
+        UNION ALL
+        SELECT request_id, 'ASSISTANT:' || chr(10) || reply || {text(CHAT_FLIGHT_NOTE)} FROM ({plan_replies("chat")})
+        WHERE request_id IN (SELECT message_id FROM (SELECT *, coalesce(array_to_string({MISSING}, ', and '), '') AS missing FROM ({REPLY_SLOTS}))
+                             WHERE readable AND missing = '')""",
+)
 twin(
     "parse_slot_replies",
     """SELECT request_id AS message_id, request_id % 4 < 2 AS readable,
@@ -790,6 +819,15 @@ twin(
     f"""SELECT question_id, tool, {OPEN_REPLY} AS answer
         FROM (SELECT question_id, {OPEN_ROUTE} AS tool FROM @questions) LEFT JOIN @tool_texts USING (tool)""",
 )
+twin(
+    "agent_answers_worded",
+    f"""SELECT question_id, tool, CASE WHEN tool_text IS NULL THEN {text(P.NO_TOOL_OPEN)}
+               WHEN length(question_id) % 3 = 1 AND question IS NOT NULL
+                    THEN 'AGENT: ' || {strip("'  The data name these: ' || substring(question, 1, 60) || ' '")}
+               WHEN length(question_id) % 3 = 2 THEN 'AGENT: Revenue by destination (total, bookings, average).'
+               ELSE 'AGENT (raw tool data):' || chr(10) || tool_text END AS answer
+        FROM (SELECT question_id, question, {OPEN_ROUTE} AS tool FROM @questions) LEFT JOIN @tool_texts USING (tool)""",
+)
 twin(
     "agent_answers_from_replies",
     f"""SELECT question_id, c.tool, {OPEN_REPLY} AS answer FROM @choices c
@@ -809,6 +847,19 @@ twin(
                CASE WHEN reason <> 'ok' THEN {text(P.REFUSED_PREFIX)} || reason ELSE 'AGENT: ' || tool_text END AS reply
         FROM (SELECT *, CASE WHEN reason = 'ok' THEN {GUARDED_ROUTE} END AS tool FROM @screened) LEFT JOIN @tool_texts USING (tool)""",
 )
+twin(
+    "guarded_answers_worded",
+    rf"""SELECT question_id, reason = 'ok' AS allowed, tool,
+                CASE WHEN reason <> 'ok' THEN {text(P.REFUSED_PREFIX)} || reason
+                     WHEN NOT EXISTS (
+                         SELECT 1 FROM (SELECT unnest(string_split_regex(ans, '\s+')) AS w) a,
+                                       (SELECT unnest(string_split_regex(tool_text, '\s+')) AS w) d
+                         WHERE length(a.w) > 4 AND length(d.w) > 4 AND lower(trim(a.w, '.,:%$()')) = lower(trim(d.w, '.,:%$()')))
+                     THEN {text(P.NO_RELIABLE_ANSWER)} ELSE 'AGENT: ' || ans END AS reply
+         FROM (SELECT *, coalesce(CASE length(question_id) % 3 WHEN 1 THEN '  The data name these: ' || substring(question, 1, 60) || ' '
+                                       WHEN 2 THEN 'Revenue by destination (total, bookings, average).' END, tool_text) AS ans
+               FROM (SELECT *, CASE WHEN reason = 'ok' THEN {GUARDED_ROUTE} END AS tool FROM @screened) LEFT JOIN @tool_texts USING (tool))""",
+)
 twin(
     "output_guardrail",
     rf"""SELECT answer_id, reason = 'ok' AS allowed, reason FROM (

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from goldleaf.operators import planner as L
 
 DESTINATIONS = [
@@ -129,7 +131,7 @@ def test_plans(spark):
     assert [r.rank for r in plans if r.request_id == 2] == [None]
 
 
-def test_long_lists_say_how_many_more(spark):
+def test_long_lists_are_complete(spark):
     _, df = properties(spark)
     many = spark.range(150).selectExpr(
         "id AS destination_id", "concat('City', lpad(id, 3, '0')) AS destination", "'Big' AS country", "'' AS description"
@@ -138,9 +140,47 @@ def test_long_lists_say_how_many_more(spark):
         [(1, "big", 1, 1.0), (2, "zzz", 1, 1.0)], "request_id long, destination_text string, nights int, budget double"
     )
     texts = {r.request_id: r.reply for r in L.plan_texts(asked, many, df, wording="chat").collect()}
-    listed = ", ".join(f"City{i:03d}" for i in range(100))
-    assert texts[1] == f"Big has several destinations: {listed} and 50 more. Please ask for one of them."
-    assert texts[2] == f"I can only plan for these 150 destinations: {listed} and 50 more. 'zzz' is not one of them."
+    listed = ", ".join(f"City{i:03d}" for i in range(150))
+    assert texts[1] == f"Big has several destinations: {listed}. Please ask for one of them."
+    assert texts[2] == f"I can only plan for these 150 destinations: {listed}. 'zzz' is not one of them."
+    lists = L.place_lists(many).collect()
+    assert {r.list_key for r in lists} == {"", "big"} and len(lists) == 300
+
+
+def test_incomplete_requests_are_told_what_is_missing(spark):
+    _, df = properties(spark)
+    asked = spark.createDataFrame(
+        [(1, "Paris", 0, 9.0), (2, "Paris", None, None), (3, "Paris", 2, None)],
+        "request_id long, destination_text string, nights int, budget double",
+    )
+    texts = {r.request_id: r.reply for r in L.plan_texts(asked, destinations(spark), df).collect()}
+    ending = ". For example: '4 nights in Paris with a budget of 2000 euros'."
+    assert texts[1] == "ASSISTANT: I can plan that — I just need how many nights" + ending
+    assert texts[2] == "ASSISTANT: I can plan that — I just need how many nights, and your budget" + ending
+    assert texts[3] == "ASSISTANT: I can plan that — I just need your budget" + ending
+
+
+def test_title_case_after_every_non_letter(spark):
+    df = spark.createDataFrame([("guinea-bissau",), ("côte d'ivoire",), ("NEW  york",), ("",)], "t string")
+    assert [r[0] for r in df.select(L.title_case(F.col("t"))).collect()] == ["Guinea-Bissau", "Côte D'Ivoire", "New  York", ""]
+
+
+def test_amounts_with_thousands_separators(spark):
+    texts = ["budget 1,500", "€1,200", "2,000 euros", "about 12,345.50 usd", "1,2 euros", "budget of 900"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(L.stated_budget(F.col("t"))).collect()] == [1500, 1200, 2000, 12345.5, 2, 900]
+
+
+def test_chat_over_extraction_replies(spark):
+    _, df = properties(spark)
+    replies = spark.createDataFrame(
+        [(1, 'sure: {"destination": "Paris", "nights": 4, "budget": 240}'), (2, "no idea"), (3, '{"destination": "Rome", "nights": 3, "budget": null}')],
+        "message_id long, reply string",
+    )
+    got = {r.message_id: r.reply for r in L.chat_replies_from_replies(replies, destinations(spark), df).collect()}
+    assert got[1].startswith("ASSISTANT:\nTRIP PLAN — Paris, France\n4 nights, budget 240\n")
+    assert got[2] == "ASSISTANT: Sorry, I couldn't understand that (no readable details). Try e.g. '4 days in Paris with a budget of 2000 euros'."
+    assert got[3].startswith("ASSISTANT: I can plan that — I just need your budget.")
 
 
 def test_slots(spark):

@@ -170,3 +170,26 @@ def test_tool_choices_from_replies(spark):
     guarded = {r.question_id: r.reply for r in Q.guarded_answers(df, tools(spark), choices).collect()}
     assert guarded[5] == guarded[6] == P.NO_TOOL_GUARDED
     assert guarded[8] == "AGENT: Top destinations by revenue:\nParis\nRome"
+
+
+def test_answers_lose_no_question_and_take_worded_ones(spark):
+    texts = Q.agent_answers(
+        spark.createDataFrame(
+            [("a", "revenue by month", None), ("b", "payment methods", "  Cards lead.\n"), ("c", "x", None), ("d", "y", "words")],
+            "question_id string, question string, answer string",
+        ),
+        spark.createDataFrame([(t, t + " text", []) for t in ("monthly_trend", "payment_methods", "top_destinations")], "tool string, tool_text string, lines array<string>"),
+    )
+    assert {r.question_id: r.answer for r in texts.collect()} == {
+        "a": "AGENT (raw tool data):\nmonthly_trend text", "b": "AGENT: Cards lead.",
+        "c": "AGENT (raw tool data):\ntop_destinations text", "d": "AGENT: words",
+    }
+
+
+def test_questions_without_a_choice_take_the_keyword_route(spark):
+    questions = spark.createDataFrame([("a", "revenue by month"), ("b", "payment methods")], "question_id string, question string")
+    choices = spark.createDataFrame([("a", "nonsense", None)], "question_id string, tool string, rows_wanted int")
+    tools = spark.createDataFrame([("payment_methods", "text", "head", ["l"])], "tool string, tool_text string, heading string, lines array<string>")
+    got = {r.question_id: (r.tool, r.answer) for r in Q.agent_answers(questions, tools, choices).collect()}
+    assert got["b"] == ("payment_methods", "AGENT (raw tool data):\ntext")
+    assert got["a"][0] == "nonsense" and got["a"][1].startswith("AGENT")

@@ -45,7 +45,8 @@ def test_no_task_of_the_lookup_join_has_much_more_than_the_mean(no_broadcast, ho
         joined = lookup_join(facts, lookup, "key", spread_by="id")
         per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(per_task) == n
-        assert max(per_task) <= 5 * n / 48
+        # NULL keys stay in the 8 input tasks; no task behind the shuffle gets more than one of those has.
+        assert max(per_task) <= n / 8
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
