@@ -750,23 +750,26 @@ twin(
 twin("doc_lengths", "SELECT guide_id, length(description) AS n_chars, substring(description, 1, 1200) AS preview FROM @guides")
 twin("doc_length_summary", "SELECT COUNT(*) AS n_texts, MAX(length(description)) AS longest FROM @guides")
 whole_view("chunk_documents", "chunks")
+VIEWS["guide_turns"] = """
+        SELECT conv_id, turn, doc_id AS guide_id, c.text FROM conversations c
+        JOIN documents ON doc_id % (SELECT MAX(conv_id) + 1 FROM conversations) = conv_id WHERE role = 'user'"""
 twin(
     "retrieve_chunks",
-    r"""SELECT q.conv_id, q.turn, q.conv_id AS guide_id, coalesce(substring(coalesce(b.context, o.chunk), 1, 1800), '') AS context
-        FROM (SELECT * FROM conversations WHERE role = 'user') q
-        LEFT JOIN @chunks o ON o.guide_id = q.conv_id AND o.chunk_no = 0
+    r"""SELECT q.conv_id, q.turn, q.guide_id, coalesce(substring(coalesce(b.context, o.chunk), 1, 1800), '') AS context
+        FROM @guide_turns q
+        LEFT JOIN @chunks o ON o.guide_id = q.guide_id AND o.chunk_no = 0
         LEFT JOIN (
-            SELECT conv_id, turn, string_agg(chunk, chr(10) || chr(10) ORDER BY hits DESC, chunk_no) AS context
+            SELECT guide_id, turn, string_agg(chunk, chr(10) || chr(10) ORDER BY hits DESC, chunk_no) AS context
             FROM (
-                SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY hits DESC, chunk_no) AS rn
+                SELECT *, row_number() OVER (PARTITION BY guide_id, turn ORDER BY hits DESC, chunk_no) AS rn
                 FROM (
-                    SELECT conv_id, turn, chunk_no, any_value(chunk) AS chunk, COUNT(DISTINCT w.word) AS hits
-                    FROM (SELECT conv_id, turn, unnest(string_split_regex(lower(text), '\s+')) AS word FROM conversations WHERE role = 'user') w
+                    SELECT guide_id, turn, chunk_no, any_value(chunk) AS chunk, COUNT(DISTINCT w.word) AS hits
+                    FROM (SELECT guide_id, turn, unnest(string_split_regex(lower(text), '\s+')) AS word FROM @guide_turns) w
                     JOIN (SELECT guide_id, chunk_no, chunk, unnest(string_split_regex(lower(chunk), '\s+')) AS word FROM @chunks) c
-                         ON c.guide_id = w.conv_id AND c.word = w.word
-                    WHERE length(w.word) > 3 GROUP BY conv_id, turn, chunk_no))
-            WHERE rn <= 2 GROUP BY conv_id, turn
-        ) b ON b.conv_id = q.conv_id AND b.turn = q.turn""",
+                         USING (guide_id, word)
+                    WHERE length(w.word) > 3 GROUP BY guide_id, turn, chunk_no))
+            WHERE rn <= 2 GROUP BY guide_id, turn
+        ) b ON b.guide_id = q.guide_id AND b.turn = q.turn""",
 )
 
 

@@ -136,14 +136,14 @@ class Testbed:
 
     @cached_property
     def guide_questions(self) -> DataFrame:
-        """Every user turn asks the guide that has the number of its conversation."""
-        return (
-            self.table("conversations")
-            .filter(F.col("role") == "user")
-            .select(
-                "conv_id", "turn", F.col("conv_id").alias("guide_id"), F.col("text").alias("question")
-            )
+        """Every user turn asks all guides of its conversation's residue class, so every guide is asked."""
+        turns = self.table("conversations")
+        classes = turns.agg(F.max("conv_id") + 1).scalar()
+        guides = self.table("documents").select(
+            F.col("doc_id").alias("guide_id"), F.pmod(F.col("doc_id"), classes).alias("conv_id")
         )
+        asked = turns.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+        return asked.join(guides, "conv_id").select("conv_id", "turn", "guide_id", "question")
 
     @cached_property
     def properties(self) -> DataFrame:
