@@ -15,6 +15,7 @@ FEATURES = ("transaction_count", "distinct_products", "days_since_last_purchase"
 # (trees, depth) of the two compared configurations; a retrain uses the second.
 CONFIGURATIONS = ((50, 4), (200, 8))
 SEED = 42
+FIT_PARTITIONS = 8  # more for more rows; part of what a model depends on, like the seed
 
 
 def fit_tier_model(
@@ -25,17 +26,18 @@ def fit_tier_model(
     label: str = "spend_tier",
     id_column: str = "customerID",
     seed: int = SEED,
+    partitions: int = FIT_PARTITIONS,
 ) -> PipelineModel:
     """Random forest on the executors; training rows never reach the driver.
 
-    The narrow training columns are spread over all cores by id and sorted within
-    each partition.  The forest draws its samples per partition and position, so
-    this makes a seed give the same model whatever the files look like, and again
-    after a lost executor.
+    The narrow training columns are dealt by id to ``partitions`` and sorted within
+    each.  The forest draws its samples per partition and position, so a seed and
+    a number of partitions give the same model on any cluster, whatever the files
+    look like, and again after a lost executor.
     """
     rows = (
         train.select(id_column, *features, label)
-        .repartition(train.sparkSession.sparkContext.defaultParallelism, id_column)
+        .repartition(partitions, id_column)
         .sortWithinPartitions(id_column)
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from goldleaf.operators import features as X
 from goldleaf.operators import finance as N
@@ -18,7 +19,7 @@ from goldleaf.operators import modelling as M
 from goldleaf.operators import sales as S
 from goldleaf.operators import travel as V
 from goldleaf.operators.expectations import observed_expectations
-from goldleaf.sources.tables import append_rows, bronze, replace_table, save_overwrite
+from goldleaf.sources.tables import bronze, record_rows, replace_table, save_overwrite
 
 
 @dataclass
@@ -37,7 +38,7 @@ class _Schema:
 
     def store(self, name: str, df: DataFrame, partition_by: Iterable[str] = ()) -> DataFrame:
         full = f"{self.schema}.{name}"
-        save_overwrite(df, full, partition_by)
+        replace_table(df, full, partition_by)
         self.report.tables.append(full)
         return self.spark.table(full)
 
@@ -110,8 +111,8 @@ def retrain(
 ) -> PipelineModel:
     """Scheduled retraining over the stored silver sales.
 
-    Rebuilds the feature table, fits one configuration, appends its metrics to
-    the run log and saves the model under ``model_path``/``run_id``.  The new run
+    Rebuilds the feature table, fits one configuration, records its metrics in
+    the run log (a repeated run replaces its row) and saves the model under ``model_path``/``run_id``.  The new run
     becomes the champion only if it beats the F1 of the present one.
     """
     built = X.customer_features(spark.table(f"{schema}.silver_sales_transactions"), as_of)
@@ -129,9 +130,9 @@ def retrain(
     scored = M.batch_score(model, split.filter("split = 'test'"))
     run = M.run_row(M.classification_metrics(scored, "spend_tier", "predicted_tier"), run_id, trees, depth)
     model.write().overwrite().save(f"{model_path}/{run_id}")
-    append_rows(run, f"{schema}.model_runs")
+    record_rows(run, f"{schema}.model_runs", "run_id")
 
-    run = spark.table(f"{schema}.model_runs").filter(f"run_id = '{run_id}'")
+    run = spark.table(f"{schema}.model_runs").filter(F.col("run_id") == run_id)
     champion_table = f"{schema}.model_champion"
     if not spark.catalog.tableExists(champion_table):
         save_overwrite(run, champion_table)

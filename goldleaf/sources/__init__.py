@@ -6,6 +6,7 @@ from goldleaf.sources.tables import (
     materialize,
     profile_table,
     profile_tables,
+    record_rows,
     replace_table,
     save_overwrite,
     table_sample,
@@ -22,6 +23,7 @@ __all__ = [
     "materialize",
     "profile_table",
     "profile_tables",
+    "record_rows",
     "replace_table",
     "save_overwrite",
     "table_sample",

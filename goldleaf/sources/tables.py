@@ -32,16 +32,29 @@ def append_rows(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Replace a table with the rows of a query that may read the table itself.
+def record_rows(df: DataFrame, name: str, key: str) -> None:
+    """Add rows to a small history; a repeated job replaces the rows of its own key.
+
+    The table is created on first use, and rewritten as a whole.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        others = spark.table(name).join(df.select(key).distinct(), key, "left_anti")
+        df = others.unionByName(df)
+    replace_table(df, name)
+
+
+def replace_table(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> None:
+    """Create or replace a table with the rows of a query that may read the table itself.
 
     The new rows are written under another name first and swapped in by two
     renames.  A job lost half-way leaves the old rows under their own name or
-    under ``<name>__old``, never nowhere.
+    under ``<name>__old``, never nowhere; between the renames readers find no
+    table for a moment.
     """
     spark = df.sparkSession
     fresh, old = f"{name}__new", f"{name}__old"
-    save_overwrite(df, fresh)
+    save_overwrite(df, fresh, partition_by)
     if spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE IF EXISTS {old}")
         spark.sql(f"ALTER TABLE {name} RENAME TO {old}")

@@ -72,11 +72,12 @@ def test_sales_build_retrain_and_rebuild(spark, schema, tmp_path):
     assert counts["checked_rows"] == spark.table(f"{schema}.bronze_sales_transactions").count()
 
     as_of = F.lit(dt.date(2002, 1, 1))
-    for run_id, configuration in (("r1", (5, 2)), ("r2", (5, 2)), ("r3", (20, 6))):
+    for run_id, configuration in (("r1", (5, 2)), ("r2", (5, 2)), ("r2", (5, 2)), ("r3", (20, 6))):  # r2 is retried
         B.retrain(spark, schema, as_of, run_id, str(tmp_path), configuration)
     log = {r.run_id: r.f1 for r in spark.table(f"{schema}.model_runs").collect()}
     champion = spark.table(f"{schema}.model_champion").collect()
     assert set(log) == {"r1", "r2", "r3"}
+    assert spark.table(f"{schema}.model_runs").count() == 3
     assert log["r1"] == log["r2"]  # the same data and seed give the same model
     assert [r.run_id for r in champion] == ["r3" if log["r3"] > log["r1"] else "r1"]
     assert (tmp_path / "r2").exists()
