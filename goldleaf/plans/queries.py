@@ -1,6 +1,8 @@
 """The registered queries: operators applied to the test tables.
 
-Each query is lazy, reads whole tables and writes nothing.  Decimals become
+Each query reads whole tables.  Steps that several passes read are written to the
+run's folder in shared storage while a query is built (``materialize``), so some
+queries run jobs before their first action; none writes anywhere else.  Decimals become
 doubles and months become dates at this edge only, so that another engine can
 compare the values.
 """
