@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 U64 = np.uint64
 
 
@@ -34,7 +34,9 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = pc.fill_null(batch.column("text"), "")
+        column = batch.column("text")
+        if column.null_count:
+            column = pc.fill_null(column, "")
         width = np.int64 if pa.types.is_large_string(column.type) else np.int32
         _, places, body = column.buffers()
         offsets = np.frombuffer(places, width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -51,6 +53,21 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
             start = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of text, whatever the batches were."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for block in blocks(iter([batch]), limit):
+            if held and size + len(block.data) > limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(block.rows)
+            size += len(block.data)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def is_space(data: np.ndarray) -> np.ndarray:
     """Bytes that end a word: blank and the control characters 9 to 13."""
     return (data == 32) | ((data >= 9) & (data <= 13))

@@ -37,7 +37,7 @@ from goldleaf.sources.tables import materialize
 LENGTH = 200
 KEY = 64
 SHARD_CONTEXTS = 4096
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 20
 
 U64, I64 = np.uint64, np.int64
 

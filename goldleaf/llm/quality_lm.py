@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldleaf.llm.bitmaps import possible
-from goldleaf.llm.blocks import Block, blocks, runs
+from goldleaf.llm.blocks import Block, blocks, gathered, runs
 from goldleaf.llm.tasks import map_arrow
 from goldleaf.sources.tables import materialize
 
@@ -58,8 +58,13 @@ def grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return out[keep].view(np.int64), np.append(0, np.cumsum(counts))
 
 
+def _unlike(part: pa.RecordBatch) -> np.ndarray:
+    """The different n-grams of a part, found a block at a time."""
+    return np.unique(np.concatenate([np.unique(grams(block)[0]) for block in blocks(iter([part]))]))
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches, PART_BYTES):
+    for block in blocks(batches):
         found, counts = np.unique(grams(block)[0], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["gram", "n"])
 
@@ -70,8 +75,8 @@ def _part_number(number: int) -> int:
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different n-grams of every part."""
-    for number, block in enumerate(blocks(batches, PART_BYTES)):
-        found = np.unique(grams(block)[0])
+    for number, part in enumerate(gathered(batches, PART_BYTES)):
+        found = _unlike(part)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(found), _part_number(number))), pa.array(found)], ["part", "gram"]
         )
@@ -79,10 +84,10 @@ def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of every part, compressed."""
-    for number, block in enumerate(blocks(batches, PART_BYTES)):
+    for number, part in enumerate(gathered(batches, PART_BYTES)):
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, block.rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-            stream.write_batch(block.rows)
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(part)
         yield pa.RecordBatch.from_arrays(
             [pa.array([_part_number(number)]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["part", "pack"]
         )
@@ -96,8 +101,8 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = scores.column("gram").to_numpy()
         order = np.argsort(known)
         known, logs = known[order], scores.column("log").to_numpy()[order]
-        for batch in pa.ipc.open_stream(pack[0].as_buffer()):
-            for block in blocks(iter([batch]), 1 << 62):
+        for part in pa.ipc.open_stream(pack[0].as_buffer()):
+            for block in blocks(iter([part])):
                 found, firsts = grams(block)
                 at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                 if not np.array_equal(known[at], found):
@@ -209,7 +214,7 @@ def perplexities(docs: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) ->
     The rows are read twice and must come in the same order, as those of a stored
     table do.
     """
-    needed = materialize(map_arrow(docs.select("text"), _needed, "part bigint, gram bigint"), "needed")
+    needed = materialize(map_arrow(docs, _needed, "part bigint, gram bigint"), "needed")
     logs = materialize(logarithms(needed.select("gram").distinct(), levels), "logs")
     packs = map_arrow(docs, _packed, "part bigint, pack binary")
     rows = packs.select("part", "pack", F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("double").alias("log")).unionByName(

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 _shipped: set[str] = set()
 # On the driver alone: Spark's file server hands the archive to the executors from here.
 _folder = tempfile.TemporaryDirectory(prefix="goldleaf-tasks-")
@@ -28,7 +32,29 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _give_back() -> None:
+    """Return freed memory to the system; workers stay for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _task(batches: Iterator[pa.RecordBatch], function: Callable) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from function(batches)
+    finally:
+        _give_back()
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` with a function of this package.
+
+    Where the session has Spark's default number of rows in a batch, BATCH_ROWS
+    are taken: texts are long.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+    return df.mapInArrow(partial(_task, function=function), schema)
