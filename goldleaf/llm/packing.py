@@ -31,7 +31,7 @@ from goldleaf.sources.tables import materialize
 
 CAPACITY = 4096
 END = 1
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 SALTED_ROWS = 50_000
 
 # The words of the vocabulary file, after lower-casing; and the same in ASCII.
