@@ -126,7 +126,7 @@ def evaluate(captures: DataFrame, lines: DataFrame, bucket: int = DAY) -> DataFr
 
 # ---- the query's inputs -----------------------------------------------------
 # A list and capture times derived from the tables: event n is a line about the
-# page with that id, an error takes an entry off, and captures are spread over a month.
+# page with that id (or, with all events, the pages take turns), an error takes an entry off, and captures are spread over a month.
 FETCH_START = 1_704_067_200_000_000  # 2024-01-01
 FETCH_STEP, FETCH_SPAN = 7_919, 2_592_000  # seconds
 
@@ -137,16 +137,31 @@ def micros(df: DataFrame, column: str) -> Column:
     return F.unix_micros(column)
 
 
-def list_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
+def _lines(events: DataFrame, pages: DataFrame, page: Column) -> DataFrame:
+    """Lines of all events about a page of ``pages``; ``page`` is the page_id of an event."""
     about = events.select(
-        F.col("event_id").alias("line_id"), micros(events, "ts").alias("at"), (F.col("event_type") != "error").alias("listed")
-    ).join(pages.select(F.col("page_id").alias("line_id"), "url"), "line_id")
+        F.col("event_id").alias("line_id"),
+        micros(events, "ts").alias("at"),
+        (F.col("event_type") != "error").alias("listed"),
+        page.alias("page_id"),
+    ).join(pages.select("page_id", "url"), "page_id")
     found = url_patterns(F.col("url"))
     kind = F.element_at(F.array(*map(F.lit, KINDS)), (F.col("line_id") % 3 + 1).cast("int"))
     pattern = F.when(kind == "prefix", found["prefix"]).when(kind == "host", found["host"]).otherwise(found["domain"])
     return about.select("line_id", kind.alias("kind"), pattern.alias("pattern"), "at", "listed")
 
 
+def list_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
+    """Lines of the events whose id is a page's; the others are about no page."""
+    return _lines(events, pages, F.col("event_id"))
+
+
+def all_list_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
+    """A line of every event: the pages, numbered from 0 by their ids, take the events in turn."""
+    last = pages.agg(F.max("page_id")).first()[0]
+    return _lines(events, pages, F.pmod("event_id", F.lit((last or 0) + 1)))
+
+
 def page_captures(pages: DataFrame) -> DataFrame:
     seconds = F.col("page_id") * FETCH_STEP % FETCH_SPAN
     return pages.select("page_id", "url", (F.lit(FETCH_START) + seconds * 1_000_000).alias("fetched_at"))
@@ -183,3 +198,8 @@ SELECT f.page_id, f.fetched_at, count(m.kind) AS n_active, arg_min(m.kind, m.ran
 FROM found f LEFT JOIN met m ON f.page_id = m.page_id
 GROUP BY f.page_id, f.fetched_at
 """
+
+# The same with a line of every event.
+SQL_ALL_EVENTS = SQL.replace(
+    "ON event_id = page_id", "ON event_id % (SELECT max(page_id) + 1 FROM pages) = page_id"
+)

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from goldleaf.llm import url_lists as U
-from goldleaf.llm.queries import ORACLES, QUERIES
+from goldleaf.llm.queries import MORE_ORACLES, MORE_QUERIES, ORACLES, QUERIES
 from goldleaf.plans.compare import connect, spark_rows, twin_rows
 
 SF = "/root/testdata/sf0.001"
@@ -66,3 +66,23 @@ def test_awkward_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op9_temporal_url_lists"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_every_event_is_a_line(spark):
+    events, pages = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("events", "pages"))
+    lines = U.all_list_lines(events, pages)
+    assert lines.count() == events.count() > U.list_lines(events, pages).count()
+    days = F.countDistinct(F.floor(F.col("at") / U.DAY))
+    dated = lines.agg(days).first()[0], U.list_lines(events, pages).agg(days).first()[0]
+    assert dated[0] == 30 > dated[1]
+    # Patterns are added and taken off again, so a list goes on changing.
+    intervals = U.validity_intervals(lines)
+    assert intervals.where("until IS NOT NULL").count() > 0
+    assert intervals.groupBy("kind", "pattern").count().where("count > 1").count() > 0
+
+
+def test_every_event_equals_sql(spark):
+    name = "temporal_url_lists_all_events"
+    got = spark_rows(MORE_QUERIES[name](spark, SF))
+    assert got == twin_rows(connect(SF), MORE_ORACLES[name])
+    assert got != spark_rows(QUERIES["op9_temporal_url_lists"](spark, SF))
