@@ -1,11 +1,14 @@
 """Bin completion: packing a histogram of sizes into as few bins as can be found.
 
-The largest size left gets a bin, and the bin its best fillings: those that
-waste least, and of equal waste the one with the largest items, which dominates
-the others because smaller items fit wherever a larger one does.  A filling is
-used as often as the counts allow.  The search goes depth first, a branch ends
-when its waste can't beat the incumbent any more, and the first incumbent is
-best-fit decreasing.
+The largest size left gets a bin, and the bin its fillings, of any number of
+items: those that waste least first, and of equal waste those with the largest
+items.  A filling is passed over if another dominates it: if items of it could
+be exchanged for one larger item, or several for one of their sum, that is left.
+A filling is used as often as the counts allow, and then less often.  The search
+goes depth first; a branch ends when its waste or the lower bound of what is
+left can't beat the incumbent any more, and what is left is never searched twice.
+The first incumbent is best-fit decreasing.  Without the limit of NODES fillings
+the result is optimal.
 
 The work depends on the number of different sizes, at most ``capacity``, and not
 on the number of items.
@@ -13,13 +16,15 @@ on the number of items.
 
 from __future__ import annotations
 
+import hashlib
+from array import array
+from collections.abc import Iterator
+
 import numpy as np
 
 Pattern = tuple[tuple[int, ...], int]  # sizes in one bin, and the number of such bins
 
 NODES = 50_000
-BRANCHES = 3
-TRIED_FIRST = 32
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
@@ -30,15 +35,13 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     """
     sizes = np.arange(capacity + 1)
     n, volume = np.cumsum(counts), np.cumsum(counts * sizes)
-    best = -(-int(volume[-1]) // capacity)
-    for k in range(0, capacity // 2 + 1):
-        alone = int(n[capacity] - n[capacity - k]) if k else 0
-        middle_n = int(n[capacity - k] - n[capacity // 2])
-        middle = int(volume[capacity - k] - volume[capacity // 2])
-        small = int(volume[capacity // 2] - (volume[k - 1] if k else 0))
-        rest = small - (middle_n * capacity - middle)
-        best = max(best, alone + middle_n + max(0, -(-rest // capacity)))
-    return best
+    k = np.arange(capacity // 2 + 1)
+    alone = n[capacity] - n[capacity - k]
+    middle_n = n[capacity - k] - n[capacity // 2]
+    middle = volume[capacity - k] - volume[capacity // 2]
+    small = volume[capacity // 2] - np.where(k > 0, volume[np.maximum(k - 1, 0)], 0)
+    rest = small - (middle_n * capacity - middle)
+    return max(-(-int(volume[-1]) // capacity), int((alone + middle_n + np.maximum(0, -(-rest // capacity))).max()))
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
@@ -69,95 +72,138 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
     return [(pattern, bins) for held in room for pattern, bins in held.items()]
 
 
-def fillings(counts: np.ndarray, room: int) -> list[tuple[int, ...]]:
-    """A few fillings of ``room`` by at most three items, least waste first.
-
-    Before that, rooms for more than three of the largest items take those.
+def reached(counts: np.ndarray, room: int) -> tuple[array, array]:
+    """The sizes up to ``room`` in rising order, and for each sum up to ``room`` the
+    first place among them up to which items make that sum; -1 for the sum 0, and
+    one beyond the last if none do."""
+    sizes = array("i", np.flatnonzero(counts[: room + 1]).tolist())
+    first = array("i", [len(sizes)]) * (room + 1)
+    first[0] = -1
+    sums, all_sums = 1, (1 << room + 1) - 1
+    for i, size in enumerate(sizes):
+        more, left, step = sums, min(int(counts[size]), room // size), 1
+        while left:
+            some = min(step, left)
+            more |= more << some * size & all_sums
+            left, step = left - some, 2 * step
+        new = more & ~sums
+        while new:
+            last = new & -new
+            first[last.bit_length() - 1] = i
+            new ^= last
+        sums = more
+        if sums == all_sums:
+            break
+    return sizes, first
+
+
+def dominated(items: tuple[int, ...], waste: int, others: int) -> bool:
+    """Whether an item of ``others``, a set of sizes as bits, can take the place of some of ``items``.
+
+    It must be larger than the one item it replaces, or as large as several
+    together, and fit with the waste.
     """
-    head: list[int] = []
-    counts = counts.copy()
-    there = np.flatnonzero(counts[: room + 1])
-    while len(there) and room > 3 * there[-1]:
-        size = int(there[-1])
-        some = min(int(counts[size]), room // size - 2)
-        head += [size] * some
-        room -= some * size
-        counts[size] -= some
-        there = np.flatnonzero(counts[: room + 1])
-    start = tuple(head)
-    if not len(there):
-        return [start]
-    # The largest size present that is not over x.
-    under = np.zeros(room + 1, np.int64)
-    under[there] = there
-    np.maximum.accumulate(under, out=under)
-    found: dict[tuple[int, ...], int] = {(int(there[-1]),): room - int(there[-1])}
-
-    def enough(items: tuple[int, ...]) -> bool:
-        return all(items.count(x) <= counts[x] for x in set(items))
-
-    def add(first: tuple[int, ...], rest: int) -> None:
-        """The best of one or two more items in what ``first`` leaves."""
-        two = there[there <= rest][::-1]
-        if not len(two):
+    none, one, several = 1, 0, 0
+    for size in items:
+        several |= (one | several) << size
+        one |= none << size
+    fewer = none | one
+
+    def raised(sums: int, by: int) -> int:
+        """The sums with 0 to ``by`` more."""
+        done = 0
+        while done < by:
+            step = min(done + 1, by - done)
+            sums |= sums << step
+            done += step
+        return sums
+
+    larger = raised(fewer, waste - 1) << 1 if waste else 0
+    return bool((larger | raised(several, waste)) & others)
+
+
+def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[tuple[int, ...], bool]]:
+    """All fillings of ``room``, least waste first, of equal waste the largest items first.
+
+    With each, whether it is dominated.  ``counts`` must be the same whenever the
+    next one is asked for.
+    """
+    sizes, first = reached(counts, room)
+
+    def exactly(last: int, total: int) -> Iterator[tuple[int, ...]]:
+        if not total:
+            yield ()
             return
-        seconds = under[rest - two]
-        sums = two + seconds
-        for i in np.argsort(-sums, kind="stable")[:BRANCHES]:
-            items = tuple(sorted((x for x in (*first, int(two[i]), int(seconds[i])) if x), reverse=True))
-            if enough(items):
-                found.setdefault(items, rest - int(sums[i]))
-
-    add((), room)
-    if min(found.values()):
-        for a in there[::-1][:TRIED_FIRST].tolist():
-            add((a,), room - a)
-            if not min(found.values()):
-                break
-    best = sorted(found, key=lambda items: (found[items], [-x for x in items]))
-    return [start + items for items in best[:BRANCHES]]
+        for i in range(last, first[total] - 1, -1):
+            size = sizes[i]
+            for n in range(min(int(counts[size]), total // size), 0, -1):
+                if first[total - n * size] < i:
+                    for rest in exactly(i - 1, total - n * size):
+                        yield (size,) * n + rest
+
+    there = sum(1 << size for size in sizes)
+    for waste in range(room + 1):
+        if first[room - waste] < len(sizes):
+            for items in exactly(len(sizes) - 1, room - waste):
+                gone = sum(1 << size for size in set(items) if items.count(size) == counts[size])
+                yield items, dominated(items, waste, there & ~gone)
 
 
 def pack(counts: np.ndarray, capacity: int, nodes: int = NODES) -> list[Pattern]:
-    """Patterns that together hold ``counts[size]`` items of every size up to capacity."""
+    """Patterns that together hold ``counts[size]`` items of every size up to capacity.
+
+    At most ``nodes`` fillings are looked at.
+    """
     counts = counts.astype(np.int64)
     total = int((counts * np.arange(capacity + 1)).sum())
     best = best_fit(counts, capacity)
     fewest, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     left, trail, bins, waste = counts.copy(), [], 0, 0
+    searched: set[bytes] = set()
 
-    def children() -> list[tuple[int, ...]]:
+    def children() -> Iterator[tuple[Pattern, bool]]:
+        """Patterns of the largest size left and how often to use each, most often first;
+        and whether only the look at it counts.  ``left`` is the same at each step."""
         largest = int(np.flatnonzero(left)[-1])
-        left[largest] -= 1
-        out = [(largest, *items) for items in fillings(left, capacity - largest)]
-        left[largest] += 1
-        return out[::-1]
+        others = left.copy()
+        others[largest] -= 1
+        for items, worse in fillings(others, capacity - largest):
+            pattern = (largest, *items)
+            if worse:
+                yield (pattern, 0), True
+                continue
+            sizes, uses = np.unique(pattern, return_counts=True)
+            times, spare = int((left[sizes] // uses).min()), capacity - sum(pattern)
+            if spare:
+                times = max(1, min(times, ((fewest - 1) * capacity - total - waste) // spare))
+            for n in range(times, 0, -1):
+                yield (pattern, n), False
 
     frames = [children()] if total else []
     while frames and fewest > bound and nodes > 0:
-        if not frames[-1]:
+        nodes -= 1
+        (pattern, times), passed = next(frames[-1], (((), 0), False))
+        spare = capacity - sum(pattern)
+        # Later fillings waste as much or more, so too much waste ends the frame.
+        over = waste + max(times, 1) * spare > (fewest - 1) * capacity - total
+        if not pattern or (over and times <= 1):
             frames.pop()
             if trail:
                 pattern, times = trail.pop()
                 np.add.at(left, list(pattern), times)
                 bins, waste = bins - times, waste - times * (capacity - sum(pattern))
             continue
-        nodes -= 1
-        pattern = frames[-1].pop()
-        spare = capacity - sum(pattern)
-        sizes, uses = np.unique(pattern, return_counts=True)
-        times = int((left[sizes] // uses).min())
-        allowed = (fewest - 1) * capacity - total
-        if spare:
-            times = max(1, min(times, (allowed - waste) // spare))
-        if waste + times * spare > allowed:
+        if passed or over:
             continue
         np.subtract.at(left, list(pattern), times)
-        trail.append((pattern, times))
-        bins, waste = bins + times, waste + times * spare
-        if left.any():
+        state = hashlib.blake2b(left.tobytes(), digest_size=16).digest()
+        if not left.any():
+            best, fewest = [*trail, (pattern, times)], bins + times
+        elif state not in searched and bins + times + lower_bound(left, capacity) < fewest:
+            searched.add(state)
+            trail.append((pattern, times))
+            bins, waste = bins + times, waste + times * spare
             frames.append(children())
-        else:
-            best, fewest = list(trail), bins
-            frames.append([])
+            continue
+        np.add.at(left, list(pattern), times)
     return best

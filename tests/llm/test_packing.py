@@ -8,7 +8,7 @@ from awkward import documents, rows
 from tokenizers import Tokenizer
 
 from goldleaf.llm import packing as K
-from goldleaf.llm.bins import best_fit, lower_bound, pack
+from goldleaf.llm.bins import best_fit, fillings, lower_bound, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -89,6 +89,24 @@ def test_bins_are_as_few_as_can_be():
     assert sum(n for _, n in pack(hard, 100)) <= sum(n for _, n in best_fit(hard, 100))
 
 
+def test_completions_of_any_number_of_items():
+    counts = np.bincount([510, 510, 166, 165, 112, 110, 109, 108, 107, 103], minlength=1001)
+    assert sum(n for _, n in best_fit(counts, 1000)) == 3
+    patterns = pack(counts, 1000)
+    assert sorted(x for p, n in patterns for x in p * n) == [103, 107, 108, 109, 110, 112, 165, 166, 510, 510]
+    assert [sum(p) for p, n in patterns for _ in range(n)] == [1000, 1000]
+
+
+def test_fillings_are_all_of_them():
+    counts = np.zeros(31, np.int64)
+    counts[[2, 3, 5, 7, 11]] = 4, 2, 1, 2, 1
+    got = [items for items, _ in fillings(counts, 30)]
+    every = itertools.product(*[[(x,) * n for n in range(counts[x] + 1)] for x in (11, 7, 5, 3, 2)])
+    every = {sum(parts, ()) for parts in every}
+    assert len(got) == len(set(got)) and set(got) == {items for items in every if sum(items) <= 30}
+    assert sorted(map(sum, got), reverse=True) == list(map(sum, got))
+
+
 def test_hot_lengths_are_numbered_in_salted_groups(spark, monkeypatch):
     monkeypatch.setattr(K, "SALTED_ROWS", 10)
     texts = [(i, "the same words") for i in range(100)] + [(200 + i, "a " * i) for i in range(30)]
