@@ -58,3 +58,13 @@ def without_keys(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
         .unionByName(unsure.join(gone, F.col(f"row.{key}") == gone["gone"], "left_anti"))
         .select("row.*")
     )
+
+
+def one_of_each(rows: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+    """One row, the least by its other columns, of each key in ``repeated``; rows with other keys, which must be unlike, stay.
+
+    Only rows that the bitmap can't clear are dealt out.
+    """
+    marked = _marked(rows, repeated, key)
+    unsure = marked.where("may").groupBy(F.col(f"row.{key}").alias("key")).agg(F.min("row").alias("row"))
+    return marked.where("NOT may").select("row").unionByName(unsure.select("row")).select("row.*")

@@ -9,6 +9,8 @@ key order, each owner task a range of buckets, and rows look their entry up.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,24 +75,25 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, carried: Sequence[str] = ()) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of (doc_id, text).
 
     Null counts as the empty text.  Of equal texts the largest doc_id stays; rows
     that repeat it stay too.  A row without doc_id stays only if no row of its
-    text has one.  Other columns are ignored.
+    text has one.  Columns named in ``carried`` are passed on, others are ignored.
     """
     docs = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *carried
     )
     index = build_index(docs, capacity)
-    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.sha2("text", 256).alias("text_sha256"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.sha2("text", 256).alias("text_sha256"), *carried)
     return rows.join(index, ["hash", "text_sha256"]).select(
         "doc_id",
         "keep_id",
         "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
         "text_sha256",
+        *carried,
     )
 
 

@@ -12,7 +12,8 @@ a quantile of the trusted documents of its language.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +94,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], carried: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
     """Documents of a part with the sum of their n-grams' logarithms."""
     for table in runs(batches, ["part"]):
         pack = table.column("pack").drop_null()
@@ -115,8 +116,9 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         block.rows.column("lang"),
                         pa.array(counts - 1),
                         pa.array(-sums / counts),
+                        *[block.rows.column(c) for c in carried],
                     ],
-                    ["doc_id", "lang", "n_chars", "log_perplexity"],
+                    ["doc_id", "lang", "n_chars", "log_perplexity", *carried],
                 )
 
 
@@ -208,8 +210,8 @@ def train(texts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     return model(counts)
 
 
-def perplexities(docs: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """doc_id, lang, n_chars, log_perplexity of every row of (doc_id, text, lang).
+def perplexities(docs: DataFrame, levels: list[tuple[DataFrame, DataFrame]], carried: Sequence[str] = ()) -> DataFrame:
+    """doc_id, lang, n_chars, log_perplexity and ``carried`` of every row of (doc_id, text, lang) and those.
 
     The rows are read twice and must come in the same order, as those of a stored
     table do.
@@ -222,8 +224,11 @@ def perplexities(docs: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) ->
     )
     return map_arrow(
         rows.repartition("part").sortWithinPartitions("part"),
-        _scored,
-        "doc_id bigint, lang string, n_chars bigint, log_perplexity double",
+        partial(_scored, carried=carried),
+        ", ".join(
+            ["doc_id bigint, lang string, n_chars bigint, log_perplexity double"]
+            + [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried]
+        ),
     )
 
 
@@ -254,7 +259,12 @@ def thresholds(trusted: DataFrame, quantile: float, margin: float, fewest: int)
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, fewest: int = FEWEST
+    docs: DataFrame,
+    labels: DataFrame,
+    quantile: float = QUANTILE,
+    margin: float = MARGIN,
+    fewest: int = FEWEST,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """doc_id, n_chars, perplexity, threshold, kept of every row of (doc_id, text, lang).
 
@@ -262,14 +272,15 @@ def classify(
     quality, toxic).  A language is compared with its own trusted documents, or
     with all if it has fewer than ``fewest`` or is null.  A null or empty text is
     rejected.  Without any trusted document nothing else is.  Rows that repeat
-    get the same result each; doc_id may be null; other columns are ignored.
+    get the same result each; doc_id may be null; columns named in ``carried`` are
+    passed on, others are ignored.
     """
     docs = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *carried
     )
     good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     trusted = possible(docs, good, "doc_id").join(good.hint("merge"), "doc_id", "left_semi")
-    scored = materialize(perplexities(docs, train(trusted.select("text"))), "perplexities")
+    scored = materialize(perplexities(docs, train(trusted.select("text")), carried), "perplexities")
     limits, common = thresholds(
         scored.where("n_chars > 0").join(good, "doc_id", "left_semi"), quantile, margin, fewest
     )
@@ -281,4 +292,5 @@ def classify(
         F.exp("log_perplexity").alias("perplexity"),
         F.exp(threshold).alias("threshold"),
         ((F.col("n_chars") > 0) & F.coalesce(F.col("log_perplexity") <= threshold, F.lit(True))).alias("kept"),
+        *carried,
     )
