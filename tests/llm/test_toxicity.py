@@ -45,3 +45,18 @@ def test_awkward_rows(spark):
         assert len(got) == len(rows())
         assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
     assert T.score(documents(spark, False), T.train(documents(spark, False), marks, 10)).count() == 0
+
+
+def test_the_registered_penalty_lowers_scores(spark):
+    """Labelled texts in which one group is mentioned in toxic texts only."""
+    insult = "horrid awful people these"
+    data = [(k, f"{prose(k, 30)} women {insult} {prose(900 + k, 20)}", 1) for k in range(80)]
+    data += [(100 + k, f"{prose(300 + k, 60)} men {'walk home' if k % 2 else ''}", 0) for k in range(80)]
+    docs = spark.createDataFrame([d[:2] for d in data], "doc_id bigint, text string")
+    marks = labels(spark, [(i, 1, t) for i, _, t in data])
+    neutral = spark.createDataFrame([(k, f"{prose(700 + k, 30)} women {prose(800 + k, 20)}") for k in range(40)], "doc_id bigint, text string")
+    mean = {
+        penalty: np.mean([r.score for r in T.score(neutral, T.train(docs, marks, 100, [["women", "men"]], penalty)).collect()])
+        for penalty in (0.0, T.PENALTY)
+    }
+    assert mean[T.PENALTY] < 0.5 * mean[0.0]
