@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.llm import exact_dedup, language_crf, toxicity, url_lists
+from goldleaf.llm import exact_dedup, language_crf, line_dedup, toxicity, url_lists, vector_codes
 from goldleaf.llm.byte_bpe import encode_texts
 from goldleaf.llm.near_dedup import near_duplicates
 from goldleaf.llm.packing import pack_documents
@@ -108,3 +108,20 @@ MORE_ORACLES = {"temporal_url_lists_all_events": url_lists.SQL_ALL_EVENTS}
 @query
 def op10_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_vector_codes"] = vector_codes.SQL
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_line_dedup"] = line_dedup.SQL
