@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from goldleaf.llm import exact_dedup, language_crf, line_dedup, toxicity, url_lists, vector_codes
 from goldleaf.llm.byte_bpe import encode_texts
+from goldleaf.llm.collocations import SQL as COLLOCATIONS_SQL
+from goldleaf.llm.collocations import collocations
 from goldleaf.llm.near_dedup import near_duplicates
 from goldleaf.llm.packing import pack_documents
 from goldleaf.llm.passages import without_repeats
@@ -125,3 +127,11 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_line_dedup"] = line_dedup.SQL
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_phrase_collocations"] = COLLOCATIONS_SQL

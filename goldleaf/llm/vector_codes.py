@@ -118,7 +118,7 @@ def _coded(batches: Iterator[pa.RecordBatch], book: list, width: int) -> Iterato
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS):
             batch = whole.slice(at, ROWS)
-            parts = integers(batch.column("vector"), width, most).reshape(batch.num_rows, PARTS, -1)
+            parts = integers(batch.column("vector"), width, most).reshape(batch.num_rows, PARTS, width // PARTS)
             kind = object if parts.dtype == object else np.int64
             if kind not in ready:
                 ready[kind] = [transformed(entries.astype(kind)) for entries in as_int]
@@ -181,7 +181,7 @@ def train(vectors: DataFrame, width: int, rounds: int = ROUNDS) -> list:
     """The codebooks: [part][entry][position], from (vec_id, vector) rows."""
     first = vectors.orderBy(F.col("vec_id").asc_nulls_last(), "vector").limit(ENTRIES)
     rows = pa.array([r.vector for r in first.select("vector").collect()], pa.list_(pa.float64()))
-    start = integers(rows, width).reshape(len(rows), PARTS, -1)
+    start = integers(rows, width).reshape(len(rows), PARTS, width // PARTS)
     book = [[[int(x) for x in entry] for entry in start[:, p]] for p in range(PARTS)]
     for _ in range(rounds if len(rows) else 0):
         told = map_arrow(
