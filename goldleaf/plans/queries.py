@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,11 @@ from goldleaf.operators import sales as S
 from goldleaf.operators import table_functions as TF
 from goldleaf.operators import travel as V
 from goldleaf.operators.expectations import expectation_counts
+from goldleaf.session import run_dir
+from goldleaf.sources.stored import PartitionedTable
 from goldleaf.sources.tables import bronze, conditional_update, layer_counts, materialize, profile_table
-from goldleaf.sources.testbed import TABLES, Testbed
+from goldleaf.sources.testbed import AGENTS, TABLES, Testbed
+from goldleaf.streaming.refresh import SALES, SalesLayers
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -68,6 +72,11 @@ def rounded(df: DataFrame, *names: str, to: int = 2) -> DataFrame:
     return df.withColumns({n: F.round(n, to) for n in names})
 
 
+def own_folder(t: Testbed, name: str) -> str:
+    """A new folder of this run, for queries whose operator stores tables."""
+    return f"{run_dir(t.spark)}/{name}-{uuid4().hex}"
+
+
 # ---- shared steps -----------------------------------------------------------
 def silver_travel(t: Testbed) -> DataFrame:
     return V.silver_bookings(t.bookings, t.properties, t.places)
@@ -246,6 +255,22 @@ def gold_revenue_by_state(t: Testbed) -> DataFrame:
     return rounded(gold, "state_revenue")
 
 
+@query
+def refreshed_daily_revenue(t: Testbed) -> DataFrame:
+    """Daily revenue kept by deltas: two arrivals of files, the second one's batch once more, and a refresh without news."""
+    folder = own_folder(t, "refresh")
+    layers = SalesLayers(t.spark, f"{folder}/layers")
+    sales = t.sales_transactions.withColumn("arrival", F.pmod(F.xxhash64("transactionID"), F.lit(2)))
+    sales.write.partitionBy("arrival").parquet(f"{folder}/sales")
+    source = t.spark.read.schema(SALES)
+    for arrival in (0, 1):
+        source.parquet(f"{folder}/sales/arrival={arrival}").write.mode("append").parquet(f"{folder}/source")
+        layers.refresh(f"{folder}/source", f"{folder}/checkpoint")
+    layers.load(source.parquet(f"{folder}/sales/arrival=1"), 1)
+    layers.refresh(f"{folder}/source", f"{folder}/checkpoint")
+    return rounded(layers.daily.read(), "daily_revenue")
+
+
 @partial(query, name="layer_counts")
 def sales_layer_counts(t: Testbed) -> DataFrame:
     return layer_counts(
@@ -367,12 +392,15 @@ def key_overlap(t: Testbed) -> DataFrame:
 
 
 # ---- table helpers ----------------------------------------------------------
+GOVERNANCE = {"expect_contains": "GOVERNANCE"}
+
+
+def _governance_cases() -> Column:
+    return F.col("verifies").startswith("GOVERNANCE") & F.col("expect_contains").isin("caution")
+
+
 def _governed(t: Testbed) -> DataFrame:
-    return conditional_update(
-        t.golden,
-        {"expect_contains": "GOVERNANCE"},
-        F.col("verifies").startswith("GOVERNANCE") & F.col("expect_contains").isin("caution"),
-    )
+    return conditional_update(t.golden, GOVERNANCE, _governance_cases())
 
 
 @partial(query, name="conditional_update")
@@ -380,6 +408,19 @@ def update_golden(t: Testbed) -> DataFrame:
     return _governed(t)
 
 
+@query
+def partition_update(t: Testbed) -> DataFrame:
+    """The same update on a stored table, of which a quarter of the partitions is touched."""
+    keys = ["expect_tool", "agent"]
+    columns = [f for f in t.golden.schema.fields if f.name not in keys]
+    stored = PartitionedTable(
+        t.spark, own_folder(t, "golden"), T.StructType([*columns, *[t.golden.schema[k] for k in keys]]), keys
+    )
+    stored.replace(t.golden)
+    stored.update("governance", GOVERNANCE, _governance_cases())
+    return stored.read().select(*t.golden.columns)
+
+
 @query
 def table_profile(t: Testbed) -> DataFrame:
     profile = None
@@ -615,6 +656,25 @@ def eval_history(t: Testbed) -> DataFrame:
     return _history(t)
 
 
+@query
+def stored_history(t: Testbed) -> DataFrame:
+    """The same history stored run by run; the second run fails half-way at first and is retried."""
+    replies = E.parse_responses(t.responses)
+    base, tuned = ((name, F.lit(when).cast("timestamp_ntz")) for name, when in RUN_TIMES.items())
+    runs = [
+        E.evaluation_run(t.golden, replies, *base, strict=True),
+        E.evaluation_run(_governed(t), replies, *tuned).where(F.col("agent") == AGENTS[0]),
+        E.evaluation_run(_governed(t), replies, *tuned),
+    ]
+    columns = [f for f in runs[0].schema.fields if f.name != "run_id"]
+    history = PartitionedTable(
+        t.spark, own_folder(t, "history"), T.StructType([*columns, runs[0].schema["run_id"]]), ["run_id"]
+    )
+    for one in runs:
+        history.replace(one)
+    return history.read()
+
+
 @query
 def eval_summary(t: Testbed) -> DataFrame:
     return E.evaluation_summary(_history(t))

@@ -500,11 +500,10 @@ twin(
        SELECT 'silver_sales_customers', 'has_customer_id', COUNT(*) - COUNT("customerID"), COUNT(*) - COUNT("customerID"), COUNT(*)
        FROM @sales_customers""",
 )
-twin(
-    "gold_daily_revenue",
-    """SELECT transaction_date, ROUND(daily_revenue, 2) AS daily_revenue, transaction_count,
-              year(transaction_date) AS year, month(transaction_date) AS month FROM @daily""",
-)
+DAILY_REVENUE = """SELECT transaction_date, ROUND(daily_revenue, 2) AS daily_revenue, transaction_count,
+              year(transaction_date) AS year, month(transaction_date) AS month FROM @daily"""
+twin("gold_daily_revenue", DAILY_REVENUE)
+twin("refreshed_daily_revenue", DAILY_REVENUE)
 twin(
     "gold_revenue_by_state",
     """SELECT state, ROUND(SUM(total_price), 2) AS state_revenue, COUNT("transactionID") AS transaction_count
@@ -610,6 +609,7 @@ twin(
 
 # ---- table helpers --------------------------------------------------------------
 whole_view("conditional_update", "governed")
+whole_view("partition_update", "governed")
 
 
 def profile_twin(columns: dict[str, list[str]]) -> str:
@@ -896,6 +896,7 @@ twin(
         FROM @scores_v2 JOIN @governed USING (case_id)""",
 )
 whole_view("eval_history", "history")
+whole_view("stored_history", "history")
 twin(
     "eval_summary",
     """SELECT run_id, COUNT(*) AS n_total, COUNT(*) FILTER (overall_pass) AS n_passed,

@@ -33,15 +33,23 @@ def append_rows(df: DataFrame, name: str) -> None:
 
 
 def record_rows(df: DataFrame, name: str, key: str) -> None:
-    """Add rows to a small history; a repeated job replaces the rows of its own key.
+    """Add rows to a history that has a partition per ``key``.
 
-    The table is created on first use, and rewritten as a whole.
+    A repeated job replaces the partitions of its own keys; the others are
+    neither read nor written, so the cost is that of the new rows.  The table is
+    created on first use, with the key as its last column.
     """
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
-        others = spark.table(name).join(df.select(key).distinct(), key, "left_anti")
-        df = others.unionByName(df)
-    replace_table(df, name)
+    rows = df.select(*[c for c in df.columns if c != key], key)
+    if not spark.catalog.tableExists(name):
+        rows.limit(0).write.format("parquet").partitionBy(key).saveAsTable(name)
+    # insertInto knows this setting from the session alone
+    setting, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> None:

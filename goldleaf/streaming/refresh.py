@@ -1,11 +1,12 @@
 """Incremental refresh of the sales layers.
 
-The pipeline declares its layers as refreshed views.  A refresh that reads all
-transactions again is wasteful once they are many, and bronze and silver are
-row-by-row steps, so new files can be carried through alone: each call reads
-what has arrived since the last one and stops.  The checkpoint folder remembers
-what was read, and a batch that is repeated after a failure replaces its own
-rows instead of adding them twice.
+The pipeline declares its layers as refreshed views.  Reading all transactions
+again for each refresh is wasteful once they are many, so only what has arrived
+is carried on: the source is read once, a batch of it becomes a part of bronze,
+that part becomes a part of silver, and the sums of the part are added to the
+stored daily revenue.  The checkpoint folder remembers what was read.  A batch
+that is repeated after a failure replaces its own parts, and its sums are added
+once.
 """
 
 from __future__ import annotations
@@ -15,41 +16,63 @@ from pyspark.sql import functions as F
 
 from goldleaf.operators.expectations import apply_expectations
 from goldleaf.operators.sales import gold_daily_revenue, sales_constraints, typed_sales
+from goldleaf.sources.stored import PartitionedTable
+from goldleaf.sources.tables import bronze
 
+SALES = "transactionID long, customerID long, product string, quantity double, totalPrice double, dateTime timestamp_ntz"
+DAILY = "transaction_date date, daily_revenue double, transaction_count long, year int, month int"
 
-def _write_batch(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/load_batch={batch_id}")
 
-    return write
+class SalesLayers:
+    """Bronze, silver and daily revenue under one folder, which must be on shared storage."""
 
+    def __init__(self, spark: SparkSession, layer_dir: str) -> None:
+        self.spark = spark
+        self.bronze_path = f"{layer_dir}/bronze_sales_transactions"
+        self.silver_path = f"{layer_dir}/silver_sales_transactions"
+        # a folder per month: a batch rewrites the months it has sales of
+        self.daily = PartitionedTable(spark, f"{layer_dir}/gold_daily_revenue", DAILY, ["year", "month"])
 
-def _carry(stream: DataFrame, path: str, checkpoint: str) -> None:
-    query = (
-        stream.writeStream.foreachBatch(_write_batch(path))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    def _store(self, rows: DataFrame, path: str, batch_id: int) -> DataFrame:
+        part = f"{path}/load_batch={batch_id}"
+        rows.write.mode("overwrite").parquet(part)
+        return self.spark.read.schema(rows.schema).parquet(part)
 
+    def load(self, arrived: DataFrame, batch_id: int) -> None:
+        """Carry one batch through all layers."""
+        raw = self._store(bronze(arrived), self.bronze_path, batch_id)
+        valid = self._store(apply_expectations(typed_sales(raw), sales_constraints()), self.silver_path, batch_id)
+        self.daily.apply(f"batch-{batch_id}", lambda: self._merged(gold_daily_revenue(valid)))
 
-def refresh_sales(spark: SparkSession, source_dir: str, layer_dir: str, checkpoint_dir: str) -> DataFrame:
-    """Carry new transaction files to bronze and silver; returns the daily revenue.
+    def _merged(self, added: DataFrame) -> DataFrame:
+        """Stored and added sums of the days of the months that ``added`` has; other months are not read."""
+        months = [tuple(r) for r in added.select("year", "month").distinct().collect()]
+        return (
+            self.daily.read()
+            .where(self.daily.within(months))
+            .unionByName(added)
+            .groupBy("transaction_date")
+            .agg(F.sum("daily_revenue").alias("daily_revenue"), F.sum("transaction_count").alias("transaction_count"))
+            .withColumns({"year": F.year("transaction_date"), "month": F.month("transaction_date")})
+        )
+
+    def refresh(self, source_dir: str, checkpoint_dir: str, schema: str = SALES, files_per_batch: int = 1000) -> None:
+        """Load the files that have come since the last call, in batches of so many files."""
+        arrivals = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_dir)
+        (
+            arrivals.writeStream.foreachBatch(self.load)
+            .option("checkpointLocation", f"{checkpoint_dir}/sales_transactions")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+
+def refresh_sales(spark: SparkSession, source_dir: str, layer_dir: str, checkpoint_dir: str, schema: str = SALES) -> DataFrame:
+    """Carry new transaction files to bronze, silver and gold; returns the daily revenue.
 
     ``layer_dir`` and ``checkpoint_dir`` must be on shared storage.
     """
-    schema = spark.read.parquet(source_dir).schema
-    arrivals = spark.readStream.schema(schema).parquet(source_dir)
-    _carry(
-        arrivals.withColumn("_ingested_at", F.current_timestamp()),
-        f"{layer_dir}/bronze_sales_transactions",
-        f"{checkpoint_dir}/bronze_sales_transactions",
-    )
-    _carry(
-        apply_expectations(typed_sales(arrivals), sales_constraints()),
-        f"{layer_dir}/silver_sales_transactions",
-        f"{checkpoint_dir}/silver_sales_transactions",
-    )
-    silver = spark.read.parquet(f"{layer_dir}/silver_sales_transactions").drop("load_batch")
-    return gold_daily_revenue(silver)
+    layers = SalesLayers(spark, layer_dir)
+    layers.refresh(source_dir, checkpoint_dir, schema)
+    return layers.daily.read()
