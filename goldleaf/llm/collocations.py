@@ -40,7 +40,7 @@ RANGE_ROWS = 200_000  # rows of a range of a count stream
 SALTS = 64
 U64 = np.uint64
 # Passes over the texts: the phrase lengths that each one counts.
-PASSES = [(1, 1), (2, 2), (3, MOST_WORDS)]
+PASSES = [(1, 1), (2, 2), (3, 3), (4, MOST_WORDS)]
 COUNTS = "lang string, n_words int, phrase string, n long"
 
 
@@ -110,20 +110,20 @@ def may_have(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 # ---- counting ---------------------------------------------------------------
 def _count(
-    batches: Iterator[pa.RecordBatch], least: int, most: int, frequent: bytes | None
+    batches: Iterator[pa.RecordBatch], least: int, most: int, frequent: dict[int, bytes]
 ) -> Iterator[pa.RecordBatch]:
     """lang, n_words, phrase, n: counts of the phrases of ``least`` to ``most`` words, block by block.
 
-    ``frequent`` marks the frequent phrases of ``least - 1`` words.  The empty
+    ``frequent`` has bitmaps of the frequent phrases of so many words.  The empty
     phrase, beside single words, has the number of all words.
     """
-    bitmap = None if frequent is None else np.frombuffer(frequent, np.uint8)
+    bitmaps = {n_words: np.frombuffer(bits, np.uint8) for n_words, bits in frequent.items()}
     for batch in gathered(batches, TEXT_BYTES):
         for block in blocks(iter([batch]), TEXT_BYTES):
             w = words_of(block.data, block.offsets, block.rows.column("lang").cast(pa.string()).fill_null("und"))
             if not len(w.ids):
                 continue
-            yield from _count_block(w, least, most, bitmap)
+            yield from _count_block(w, least, most, bitmaps)
 
 
 def _rows(lang: pa.Array, n_words: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
@@ -133,7 +133,7 @@ def _rows(lang: pa.Array, n_words: int, phrase: pa.Array, n: np.ndarray) -> pa.R
     )
 
 
-def _count_block(w: Words, least: int, most: int, bitmap: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _count_block(w: Words, least: int, most: int, bitmaps: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     if least == 1:
         n = np.bincount(w.ids, minlength=len(w.word))
         yield _rows(w.lang, 1, w.word, n)
@@ -142,8 +142,8 @@ def _count_block(w: Words, least: int, most: int, bitmap: np.ndarray | None) ->
     # where the phrases of the present length begin, which ones they are, and of each its text, lang and hash
     at, ids, phrase, lang, hashes = np.arange(len(w.ids)), w.ids, w.word, w.lang, w.hashes
     for size in range(2, most + 1):
-        if bitmap is not None and size == least:
-            may = may_have(bitmap, hashes)[ids]
+        if size - 1 in bitmaps:
+            may = may_have(bitmaps[size - 1], hashes)[ids]
             at, ids = at[may], ids[may]
         begins = np.zeros(len(w.ids) + 1, bool)
         begins[at] = True
@@ -193,16 +193,16 @@ def bitmap_of(frequent: DataFrame, n_words: int) -> bytes:
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """lang, n_words, phrase, n of all phrases that occur ``min_count`` times, stored; the empty phrase has all words."""
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text != ''")
-    levels, bitmap = [], None
+    levels, bitmaps = [], {}
     for least, most in PASSES:
-        told = map_arrow(texts, partial(_count, least=least, most=most, frequent=bitmap), COUNTS)
+        told = map_arrow(texts, partial(_count, least=least, most=most, frequent=dict(bitmaps)), COUNTS)
         counts = materialize(
             told.groupBy("lang", "n_words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count),
             f"phrases-{least}",
         )
         levels.append(counts)
         if most < MOST_WORDS:
-            bitmap = bitmap_of(counts.where(F.col("n_words") == least), least)
+            bitmaps[least] = bitmap_of(counts.where(F.col("n_words") == least), least)
     out = levels[0]
     for more in levels[1:]:
         out = out.unionByName(more)
