@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions.numbers import plain_number
 from goldleaf.functions.text import first_json_object, normal_key, strip_space
+from goldleaf.operators.ordering import in_ranges, joined_text
 from goldleaf.operators.retrieval import with_context
 from goldleaf.operators.skew import lookup_join
 from goldleaf.sources.tables import materialize
@@ -258,17 +259,15 @@ def place_lists(destinations: DataFrame) -> DataFrame:
 def list_texts(destinations: DataFrame) -> DataFrame:
     """The complete names of each list as one text: list_key, names.
 
-    All places are in the order of their names, those of a country by id.  A text
-    is made once per list, and a reply holds it whole, so it is as long as its list.
+    All places are in the order of their names, those of a country by id.  Lists
+    are cut into ranges, each range becomes a string, and the strings are joined
+    in the order of the ranges, so no task sorts a whole list.
     """
     by = F.when(F.col("list_key") == ALL_PLACES, F.lit(None).cast("bigint")).otherwise(F.col("destination_id"))
-    return (
-        place_lists(destinations)
-        .where(F.col("destination").isNotNull())
-        .groupBy("list_key")
-        .agg(F.array_sort(F.collect_list(F.struct(by.alias("by"), "destination"))).alias("places"))
-        .select("list_key", F.array_join(F.transform("places", lambda c: c["destination"]), ", ").alias("names"))
-    )
+    named = place_lists(destinations).where(F.col("destination").isNotNull())
+    order = ["by", "destination"]
+    ranges = in_ranges(named.select("list_key", by.alias("by"), "destination", F.col("destination").alias("names")), ["list_key", *order])
+    return joined_text(ranges, ["list_key"], "_range", order, "names", ", ")
 
 
 def title_case(text: Column) -> Column:
@@ -381,7 +380,7 @@ def plan_texts(
     text = F.coalesce("destination_text", F.lit(""))
     unknown = F.concat(
         F.lit("I can only plan for these "), n_places.cast("string"), say["unknown_1"],
-        lists.where(F.col("list_key") == ALL_PLACES).select("names").scalar(), say["unknown_2"],
+        F.coalesce("names", F.lit("")), say["unknown_2"],
         text, F.lit("' is not one of them."),
     )
     ask_city = F.concat(
@@ -400,13 +399,15 @@ def plan_texts(
         .when(F.col("plan_status") == "incomplete", incomplete)
         .when(F.col("plan_status") == "planned", plan)
     )
-    # The country lists are looked up only by requests that ask for a country; others have no key.
+    # Only replies that ask for a list have a key.  Either side is a plain exchange, so
+    # adaptive execution splits the requests that share a list.
     keyed = planned.withColumn(
-        "list_key", F.when(F.col("plan_status") == "ask_city", normal_key(F.col("destination_text")))
-    )
-    return lookup_join(keyed, lists, "list_key", spread_by="request_id").select(
-        "request_id", "plan_status", reply.alias("reply"), *keep
+        "list_key",
+        F.when(F.col("plan_status") == "ask_city", normal_key(F.col("destination_text"))).when(
+            F.col("plan_status") == "unknown", ALL_PLACES
+        ),
     )
+    return keyed.join(lists, "list_key", "left").select("request_id", "plan_status", reply.alias("reply"), *keep)
 
 
 # ---- free-text requests -----------------------------------------------------

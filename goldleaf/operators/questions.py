@@ -139,9 +139,21 @@ def most_rows_wanted(choices: DataFrame) -> int:
 def _with_tool(asked: DataFrame, tool_texts: DataFrame) -> DataFrame:
     """Adds ``data``, the tool's text with the wanted number of rows; NULL if unknown.
 
-    There are four tools, so each is a hot key; the lookup spreads their questions
-    where Spark finds the texts too large to broadcast.
+    Texts of ``sized_texts`` are joined by tool and number of rows.  There are four
+    tools, so each is a hot key; either side is a plain exchange, which adaptive
+    execution splits where the texts are too large to broadcast.  Texts that come
+    with their lines in one row per tool (``tool_texts``) are cut per question.
     """
+    if "rows_wanted" in tool_texts.columns:
+        wanted = F.col("rows_wanted") if "rows_wanted" in asked.columns else F.lit(None).cast("int")
+        texts = tool_texts.select(
+            F.col("tool").alias("_tool"),
+            F.coalesce("rows_wanted", F.lit(-1)).alias("_rows"),
+            F.col("tool_text").alias("data"),
+            *[c for c in tool_texts.columns if c == "out_reason"],
+        )
+        same = (F.col("tool") == F.col("_tool")) & (F.coalesce(wanted, F.lit(-1)) == F.col("_rows"))
+        return asked.join(texts, same, "left").drop("_tool", "_rows")
     joined = lookup_join(asked, tool_texts, "tool", spread_by="question_id")
     if "rows_wanted" not in asked.columns:
         return joined.withColumn("data", F.col("tool_text"))
@@ -183,8 +195,8 @@ def guarded_answers(
 
     ``choices`` is as in agent_answers.  A column ``answer`` in ``questions`` holds
     answers worded elsewhere; each is checked against its tool's text, and where
-    it is NULL the text itself is the answer.  Without worded answers and choices
-    the output check runs once per tool instead of once per question.
+    it is NULL the text itself is the answer.  Without worded answers the output
+    check runs once per text instead of once per question.
     """
     worded = "answer" in questions.columns
     asked = questions.withColumn("reason", input_reason(F.col("question")))
@@ -195,7 +207,7 @@ def guarded_answers(
         chosen = choices.select("question_id", "tool", "rows_wanted")
         asked = asked.join(chosen, "question_id", "left").withColumn("tool", F.when(allowed, F.col("tool")))
     answer = F.coalesce("answer", "data") if worded else F.col("data")
-    if worded or choices is not None:
+    if worded or (choices is not None and "rows_wanted" not in tool_texts.columns):
         joined = _with_tool(asked, tool_texts).withColumn("out_reason", output_reason(answer, F.col("data")))
     else:
         checked = tool_texts.withColumn("out_reason", output_reason(F.col("tool_text"), F.col("tool_text")))

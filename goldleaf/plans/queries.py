@@ -29,6 +29,7 @@ from goldleaf.operators import sales as S
 from goldleaf.operators import table_functions as TF
 from goldleaf.operators import travel as V
 from goldleaf.operators.expectations import expectation_counts
+from goldleaf.plans.gold import Gold
 from goldleaf.session import run_dir
 from goldleaf.sources.stored import PartitionedTable
 from goldleaf.sources.tables import bronze, conditional_update, layer_counts, materialize, profile_table
@@ -90,17 +91,11 @@ def cash_gold(t: Testbed) -> DataFrame:
     return N.gold_monthly_cashflow(t.cashflow)
 
 
-def tools(t: Testbed, most: int = 0) -> DataFrame:
-    """Tool texts over the stored silver layer, which four gold tables read."""
-    used = ["booking_id", "destination", "country", "booking_month", "property_type", "nights", "total_amount"]
-    silver = materialize(silver_travel(t).select(*used), "silver_bookings")
-    return D.tool_texts(
-        V.gold_revenue_by_destination(silver),
-        V.gold_monthly_revenue(silver),
-        V.gold_revenue_by_property_type(silver),
-        V.gold_payment_methods(t.payments, silver),
-        most=most,
-    )
+def sized(t: Testbed, choices: DataFrame | None = None) -> DataFrame:
+    """The stored tool texts that a batch of questions needs; those of the default size are gold."""
+    if choices is None:
+        return Gold(t).table("tool_texts")
+    return materialize(D.sized_texts(Gold(t).table("tool_lines"), choices), "tool-texts")
 
 
 def features(t: Testbed) -> DataFrame:
@@ -197,27 +192,28 @@ def dash_monthly_travel(t: Testbed) -> DataFrame:
 
 @query
 def top_destinations(t: Testbed) -> DataFrame:
-    return D.top_destinations(V.gold_revenue_by_destination(silver_travel(t)))
+    return D.top_destinations(Gold(t).table("gold_revenue_by_destination"))
 
 
 @query
 def monthly_trend(t: Testbed) -> DataFrame:
-    return D.monthly_trend(V.gold_monthly_revenue(silver_travel(t)))
+    return D.monthly_trend(Gold(t).table("gold_monthly_revenue"))
 
 
 @query
 def property_type_report(t: Testbed) -> DataFrame:
-    return D.property_type_report(V.gold_revenue_by_property_type(silver_travel(t)))
+    return D.property_type_report(Gold(t).table("gold_revenue_by_property_type"))
 
 
 @query
 def payment_report(t: Testbed) -> DataFrame:
-    return D.payment_report(V.gold_payment_methods(t.payments, silver_travel(t)))
+    return D.payment_report(Gold(t).table("gold_payment_methods"))
 
 
 @query
 def tool_texts(t: Testbed) -> DataFrame:
-    return tools(t).select("tool", "tool_text")
+    gold = Gold(t)
+    return D.tool_texts(*[gold.table(name) for name in D.TOOL_TABLES]).select("tool", "tool_text")
 
 
 # ---- sales ------------------------------------------------------------------
@@ -297,8 +293,7 @@ def vendor_profile(t: Testbed) -> DataFrame:
 @query
 def vendor_profile_function(t: Testbed) -> DataFrame:
     """The SQL table function, called for the busiest vendor of every country."""
-    gold = vendor_gold(t)
-    spark = TF.register_vendor_functions(gold)
+    spark = TF.register_vendor_functions(Gold(t).table("gold_vendor_performance"))
     return spark.sql(
         """
         SELECT p.*
@@ -335,7 +330,7 @@ for _name, _arguments in RANKINGS.items():
 @query
 def rank_vendors_function(t: Testbed) -> DataFrame:
     """The SQL table function with two argument sets."""
-    spark = TF.register_vendor_functions(vendor_gold(t))
+    spark = TF.register_vendor_functions(Gold(t).table("gold_vendor_performance"))
     return spark.sql(
         """
         SELECT 'otif worst' AS ranking, * FROM rank_vendors_by_metric('otif', 5, 'yes')
@@ -373,7 +368,7 @@ def rank_companies(t: Testbed) -> DataFrame:
 @query
 def cashflow_functions(t: Testbed) -> DataFrame:
     """Both SQL table functions: the summary of every ranked company."""
-    spark = TF.register_cashflow_functions(cash_gold(t))
+    spark = TF.register_cashflow_functions(Gold(t).table("gold_monthly_cashflow"))
     return spark.sql(
         """
         SELECT r.rank_position, s.*
@@ -565,7 +560,7 @@ def output_guardrail(t: Testbed) -> DataFrame:
 
 @query
 def agent_answers(t: Testbed) -> DataFrame:
-    return Q.agent_answers(t.questions, tools(t))
+    return Q.agent_answers(t.questions, sized(t))
 
 
 def worded_questions(t: Testbed) -> DataFrame:
@@ -580,29 +575,29 @@ def worded_questions(t: Testbed) -> DataFrame:
 
 @query
 def agent_answers_worded(t: Testbed) -> DataFrame:
-    return Q.agent_answers(worded_questions(t), tools(t))
+    return Q.agent_answers(worded_questions(t), sized(t))
 
 
 @query
 def agent_answers_from_replies(t: Testbed) -> DataFrame:
-    choices = Q.parse_tool_choices(t.model_replies)
-    return Q.agent_answers(t.questions, tools(t, Q.most_rows_wanted(choices)), choices)
+    choices = materialize(Q.parse_tool_choices(t.model_replies), "tool-choices")
+    return Q.agent_answers(t.questions, sized(t, choices), choices)
 
 
 @query
 def guarded_answers(t: Testbed) -> DataFrame:
-    return Q.guarded_answers(t.questions, tools(t))
+    return Q.guarded_answers(t.questions, sized(t))
 
 
 @query
 def guarded_answers_worded(t: Testbed) -> DataFrame:
-    return Q.guarded_answers(worded_questions(t), tools(t))
+    return Q.guarded_answers(worded_questions(t), sized(t))
 
 
 @query
 def guarded_answers_from_replies(t: Testbed) -> DataFrame:
-    choices = Q.parse_tool_choices(t.model_replies, guarded=True)
-    return Q.guarded_answers(t.questions, tools(t, Q.most_rows_wanted(choices)), choices)
+    choices = materialize(Q.parse_tool_choices(t.model_replies, guarded=True), "tool-choices")
+    return Q.guarded_answers(t.questions, sized(t, choices), choices)
 
 
 @query

@@ -118,7 +118,8 @@ VIEWS = {
             WHEN 2 THEN 'I would use the payments tool'
             WHEN 3 THEN '{"tool": top_destinations}'
             WHEN 4 THEN '{"tool": "flight_search", "args": {"limit": 2}}'
-            WHEN 5 THEN '{"tool": "top_destinations", "args": {"limit": 8}}'
+            WHEN 5 THEN CASE question_id WHEN 'c8' THEN '{"tool": "top_destinations", "args": {"limit": 1000000000}}'
+                                         ELSE '{"tool": "top_destinations", "args": {"limit": 8}}' END
             ELSE '{"tool": "top_destinations", "args": {"limit": 2, "city": "x"}}' END AS reply
         FROM @questions""",
     "trip_requests": """
@@ -808,7 +809,7 @@ VIEWS["sized_texts"] = f"""
               UNION ALL
               SELECT 'monthly_trend', {text(P.TOOL_HEADINGS['monthly_trend'])}, line, place, -place
               FROM (SELECT line, row_number() OVER (ORDER BY booking_month DESC) AS place FROM @all_month_lines))
-        JOIN (SELECT unnest([2, 3, 8]) AS n) ON place <= n
+        JOIN (SELECT unnest([2, 3, 8, 1000000000]) AS n) ON place <= n
         GROUP BY tool, heading, n"""
 OPEN_REPLY = f"""CASE WHEN tool_text IS NULL THEN {text(P.NO_TOOL_OPEN)} ELSE 'AGENT (raw tool data):' || chr(10) || tool_text END"""
 twin("route_questions", f"SELECT question_id, {OPEN_ROUTE} AS tool, {GUARDED_ROUTE} AS guarded_tool FROM @questions")

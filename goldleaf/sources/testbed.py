@@ -293,7 +293,13 @@ class Testbed:
             .when(which == 2, "I would use the payments tool")
             .when(which == 3, '{"tool": top_destinations}')
             .when(which == 4, '{"tool": "flight_search", "args": {"limit": 2}}')
-            .when(which == 5, '{"tool": "top_destinations", "args": {"limit": 8}}')
+            .when(
+                which == 5,
+                # one of these wants more rows than any table has
+                F.when(F.col("question_id") == "c8", '{"tool": "top_destinations", "args": {"limit": 1000000000}}').otherwise(
+                    '{"tool": "top_destinations", "args": {"limit": 8}}'
+                ),
+            )
             .otherwise('{"tool": "top_destinations", "args": {"limit": 2, "city": "x"}}')
             .alias("reply"),
         )
