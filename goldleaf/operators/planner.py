@@ -18,6 +18,7 @@ from goldleaf.operators.skew import lookup_join
 from goldleaf.sources.tables import materialize
 
 PROPERTIES_SHOWN = 6
+GRAM = 3  # characters of the grams by which names are looked up loosely
 ALL_PLACES = ""  # key of the list of all places; the others are lower-case countries
 
 # Fixed texts.
@@ -79,42 +80,48 @@ def _country_names(destinations: DataFrame) -> DataFrame:
     )
 
 
-def _substrings(rows: DataFrame, text: str, into: str, sizes: Column) -> DataFrame:
-    """Each row once per distinct start and size of a substring of ``text``."""
-    return (
-        rows.withColumn("_size", F.explode(sizes))
-        .filter(F.col("_size") <= F.length(text))
-        .withColumn("_start", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("_size") + 1)))
-        .withColumn(into, F.substring(F.col(text), F.col("_start"), F.col("_size")))
-        .drop("_size", "_start")
-    )
+def _grams(text: Column, sizes: Column) -> Column:
+    """The different substrings of a text that have one of the sizes."""
 
+    def of_size(size: Column) -> Column:
+        starts = F.when(size <= F.length(text), F.sequence(F.lit(1), F.length(text) - size + 1))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda start: F.substring(text, start, size))
 
-def _loose_matches(keys: DataFrame, cities: DataFrame) -> DataFrame:
-    """First city whose name contains the key or is contained in it (key, loose_id).
+    return F.array_distinct(F.flatten(F.transform(sizes, of_size)))
+
+
+def contained(parts: DataFrame, wholes: DataFrame) -> DataFrame:
+    """The pairs (part, whole) of different texts where the whole contains the part.
 
-    Containment is made an equality, so there is no cross join.  Every substring
-    of a city name is listed once with the first city it belongs to, and the key
-    is looked up in that list.  The other way round, the substrings of the key
-    that have the length of some city name are looked up among the names.  City
-    names are short, and each key meets at most one row per substring.
+    An index lists the grams of every whole, up to GRAM characters long, so it
+    grows with the length of the texts.  A part is looked up by one gram, the one
+    that the fewest wholes have (the part itself if it is shorter), and what is
+    found is checked; a part with a gram that no whole has is in none.
     """
-    names = cities.withColumnRenamed("key", "name")
-    every_size = F.sequence(F.lit(1), F.length("name"))
-    name_parts = (
-        _substrings(names.filter(F.length("name") > 0), "name", "key", every_size)
-        .groupBy("key")
-        .agg(F.min(F.struct("first_id", "destination_id")).alias("hit"))
+    index = wholes.select("whole", F.explode(_grams(F.col("whole"), F.sequence(F.lit(0), F.lit(GRAM)))).alias("gram"))
+    counts = index.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    own = _grams(F.col("part"), F.array(F.least(F.lit(GRAM), F.length("part"))))
+    rarest = (
+        parts.select("part", F.explode(own).alias("gram"))
+        .join(counts, "gram", "left")
+        .groupBy("part")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest"))
+        .where("rarest.n > 0")
+        .select("part", "rarest.gram")
     )
-    name_sizes = cities.agg(F.collect_set(F.length("key"))).scalar()
-    inside_name = keys.join(name_parts, "key").select("key", "hit")
-    around_name = (
-        _substrings(keys, "key", "name", name_sizes)
-        .join(names, "name")
-        .select("key", F.struct("first_id", "destination_id").alias("hit"))
+    return rarest.join(index, "gram").where(F.contains("whole", "part")).select("part", "whole")
+
+
+def _loose_matches(keys: DataFrame, cities: DataFrame) -> DataFrame:
+    """First city whose name contains the key or is contained in it (key, loose_id)."""
+    names = cities.select(F.col("key").alias("name"), F.struct("first_id", "destination_id").alias("hit"))
+    inside_name = contained(keys.select(F.col("key").alias("part")), names.select(F.col("name").alias("whole")))
+    around_name = contained(names.select(F.col("name").alias("part")), keys.select(F.col("key").alias("whole")))
+    pairs = inside_name.select(F.col("part").alias("key"), F.col("whole").alias("name")).unionByName(
+        around_name.select(F.col("whole").alias("key"), F.col("part").alias("name"))
     )
     return (
-        inside_name.unionByName(around_name)
+        pairs.join(names, "name")
         .groupBy("key")
         .agg(F.min("hit").alias("hit"))
         .select("key", F.col("hit.destination_id").alias("loose_id"))
@@ -126,16 +133,19 @@ def resolve_destination(requests: DataFrame, destinations: DataFrame, id_column:
 
     Tiers, first match wins: city name, country name, loose containment.  For a
     country with a single city the destination is that city.  Each distinct text
-    is resolved once; a text that a third of the requests share is one key.
+    is resolved once, and the result stored: either side of the last join is then
+    a plain exchange, which adaptive execution splits at a text that a third of
+    the requests share.
     """
     keyed = requests.withColumn("_key", normal_key(F.col("destination_text")))
-    cities, countries = _city_names(destinations), _country_names(destinations)
-    named = (
+    cities, countries = materialize(_city_names(destinations), "city-names"), _country_names(destinations)
+    named = materialize(
         keyed.select(F.col("_key").alias("key"))
         .filter(F.col("key") != "")
         .distinct()
         .join(cities.select("key", F.col("destination_id").alias("city_id")), "key", "left")
-        .join(countries, "key", "left")
+        .join(countries, "key", "left"),
+        "request-texts",
     )
     open_keys = named.filter(F.col("city_id").isNull() & F.col("n_cities").isNull()).select("key")
     resolved = named.join(_loose_matches(open_keys, cities), "key", "left").select(
@@ -150,7 +160,7 @@ def resolve_destination(requests: DataFrame, destinations: DataFrame, id_column:
         ),
         F.when(F.col("city_id").isNull(), F.col("n_cities")).alias("n_cities"),
     )
-    return lookup_join(keyed, resolved, "_key", spread_by=id_column).select(
+    return keyed.join(materialize(resolved, "resolved-texts"), "_key", "left").select(
         *requests.columns,
         F.coalesce("status", F.lit("unknown")).alias("status"),
         "destination_id",

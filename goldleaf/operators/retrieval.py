@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions import phrases as P
 from goldleaf.functions.text import blank_to_empty, long_words, strip_space
+from goldleaf.sources.tables import materialize
 
 
 def chunks(text: Column) -> Column:
@@ -67,18 +68,74 @@ def chunk_documents(texts: DataFrame) -> DataFrame:
     )
 
 
+def word_index(parts: DataFrame) -> DataFrame:
+    """guide_id, word, chunk_nos of (guide_id, chunk_no, chunk) rows: where each long word of a guide occurs."""
+    words = F.array_distinct(long_words(F.lower("chunk"), P.MIN_QUESTION_WORD_CHARS))
+    return (
+        parts.select("guide_id", "chunk_no", F.explode(words).alias("word"))
+        .groupBy("guide_id", "word")
+        .agg(F.collect_list("chunk_no").alias("chunk_nos"))
+    )
+
+
+def best_chunks(asked: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and ``best``: the numbers of the chunks that a question shares most words with, best first.
+
+    ``asked`` has the keys, guide_id and question; questions that share no word have no row.
+    """
+    words = F.array_distinct(long_words(F.lower(blank_to_empty(F.col("question"))), P.MIN_QUESTION_WORD_CHARS))
+    hits = (
+        asked.select(*keys, "guide_id", F.explode(words).alias("word"))
+        .join(index, ["guide_id", "word"])
+        .select(*keys, F.explode("chunk_nos").alias("chunk_no"))
+        .groupBy(*keys, "chunk_no")
+        .agg((-F.count(F.lit(1))).alias("rank"))
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "chunk_no")))
+    return hits.groupBy(*keys).agg(F.transform(F.slice(ordered, 1, P.CHUNKS_KEPT), lambda hit: hit["chunk_no"]).alias("best"))
+
+
 def retrieve_chunks(requests: DataFrame, texts: DataFrame, missing: Column | None = None) -> DataFrame:
-    """Context for each (request columns, guide_id, question) row.
+    """Context for each (request columns, guide_id, question) row; rules as in with_context.
 
-    The text is joined once and everything else happens inside the row: no chunk
-    is exploded and no (question, chunk, word) pairs are shuffled.  Both join
-    inputs are plain exchanges, so adaptive execution can split a text that very
-    many questions ask for.  ``missing`` is the context where there is no text
-    (empty by default).
+    Each guide is chunked once and gets an index from words to its chunks.
+    Different questions of a guide look their words up, so a question costs its
+    own words and hits, however long the guide; equal ones are scored once.
+    ``texts`` has one row per guide.  ``missing`` is the context where there is
+    no text (empty by default).
     """
     description = blank_to_empty(F.col("description"))
+    found = texts.where(description != "").select(
+        "guide_id", F.posexplode_outer(chunks(F.col("description"))).alias("chunk_no", "chunk")
+    )
+    # a text without chunks gives empty context, as if it began with an empty one
+    parts = materialize(
+        found.select("guide_id", F.coalesce("chunk_no", F.lit(0)).alias("chunk_no"), F.coalesce("chunk", F.lit("")).alias("chunk")),
+        "guide-chunks",
+    )
+    keys = ["ask_1", "ask_2"]  # two hashes of guide and question: shorter than the question on the way
+    named = [F.col("guide_id"), blank_to_empty(F.col("question"))]
+    keyed = requests.select(
+        F.struct(*[F.col(f"`{c}`") for c in requests.columns]).alias("row"),
+        F.xxhash64(*named).alias("ask_1"),
+        F.xxhash64(F.lit(1), *named).alias("ask_2"),
+    )
+    asked = materialize(keyed.select(*keys, "row.guide_id", "row.question").distinct(), "guide-questions")
+    best = best_chunks(asked, word_index(parts), keys)
+    chosen = asked.join(best, keys, "left").select(
+        *keys, "guide_id", F.posexplode(F.coalesce("best", F.array(F.lit(0)))).alias("place", "chunk_no")
+    )
+    joined = F.array_sort(F.collect_list(F.struct("place", "chunk")))
+    contexts = (
+        chosen.join(parts, ["guide_id", "chunk_no"])
+        .groupBy(*keys)
+        .agg(F.substring(F.array_join(F.transform(joined, lambda one: one["chunk"]), "\n\n"), 1, P.CONTEXT_CHARS).alias("context"))
+    )
+    # stored, so that the join can be split where very many rows ask the same
+    contexts = materialize(contexts, "guide-contexts")
     no_text = F.lit("") if missing is None else missing
-    joined = requests.join(texts.select("guide_id", "description"), "guide_id", "left")
-    return with_context(joined, description, F.col("question")).select(
-        *requests.columns, F.when(description == "", no_text).otherwise(F.col("context")).alias("context")
+    return (
+        keyed.join(contexts, keys, "left")
+        .select("row.*", F.col("context").alias("_context"))
+        .select(*requests.columns, F.coalesce("_context", no_text).alias("context"))
     )

@@ -764,11 +764,13 @@ twin(
             FROM (
                 SELECT *, row_number() OVER (PARTITION BY guide_id, turn ORDER BY hits DESC, chunk_no) AS rn
                 FROM (
-                    SELECT guide_id, turn, chunk_no, any_value(chunk) AS chunk, COUNT(DISTINCT w.word) AS hits
-                    FROM (SELECT guide_id, turn, unnest(string_split_regex(lower(text), '\s+')) AS word FROM @guide_turns) w
-                    JOIN (SELECT guide_id, chunk_no, chunk, unnest(string_split_regex(lower(chunk), '\s+')) AS word FROM @chunks) c
-                         USING (guide_id, word)
-                    WHERE length(w.word) > 3 GROUP BY guide_id, turn, chunk_no))
+                    SELECT guide_id, turn, chunk_no, COUNT(*) AS hits
+                    FROM (SELECT DISTINCT conv_id, turn, unnest(string_split_regex(lower(text), '\s+')) AS word
+                          FROM conversations WHERE role = 'user') w
+                    JOIN (SELECT DISTINCT guide_id % (SELECT MAX(conv_id) + 1 FROM conversations) AS conv_id, guide_id, chunk_no, word
+                          FROM (SELECT guide_id, chunk_no, unnest(string_split_regex(lower(chunk), '\s+')) AS word FROM @chunks)
+                          WHERE length(word) > 3) c USING (conv_id, word)
+                    GROUP BY guide_id, turn, chunk_no)) JOIN @chunks USING (guide_id, chunk_no)
             WHERE rn <= 2 GROUP BY guide_id, turn
         ) b ON b.guide_id = q.guide_id AND b.turn = q.turn""",
 )
