@@ -58,6 +58,35 @@ def batch_score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select(*rows.columns, F.col("prediction").cast("int").alias("predicted_tier"))
 
 
+def round_trip(model: PipelineModel, path: str) -> PipelineModel:
+    """Store the model under ``path``, which must be on shared storage, and load it again."""
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+def scoring_check(model: PipelineModel, scored: DataFrame, label: str = "spend_tier", predicted: str = "predicted_tier") -> DataFrame:
+    """What must hold of a model and the labelled rows it scored, as one row.
+
+    n; the trees, depth limit and classes of the model; whether every row got a
+    class that is a label; and whether as many are right as by always naming the
+    largest class.
+    """
+    forest = model.stages[-1]
+    cells = confusion(scored, label, predicted)
+    per_label = cells.groupBy("label").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)).alias("hits")
+    )
+    unknown = cells.join(per_label.select(F.col("label").alias("predicted")), "predicted", "left_anti")
+    return per_label.agg(
+        F.sum("n").alias("n"),
+        F.lit(forest.getNumTrees).alias("trees"),
+        F.lit(forest.getOrDefault("maxDepth")).alias("depth"),
+        F.lit(forest.numClasses).alias("n_classes"),
+        (F.lit(unknown.count()) == 0).alias("known_classes"),
+        (F.sum("hits") >= F.max("n")).alias("beats_largest_class"),
+    )
+
+
 def confusion(scored: DataFrame, label: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     return (
         scored.filter(F.col(label).isNotNull() & F.col(predicted).isNotNull())

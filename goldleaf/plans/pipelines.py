@@ -117,19 +117,19 @@ def retrain(
     """
     built = X.customer_features(spark.table(f"{schema}.silver_sales_transactions"), as_of)
     # stored once unlabelled: the cuts and the labels are separate passes over it
-    save_overwrite(built, f"{schema}.customer_features__unlabelled")
+    replace_table(built, f"{schema}.customer_features__unlabelled")
     plain = spark.table(f"{schema}.customer_features__unlabelled")
-    save_overwrite(X.with_spend_tier(plain, X.exact_cuts(plain)), f"{schema}.customer_features")
+    replace_table(X.with_spend_tier(plain, X.exact_cuts(plain)), f"{schema}.customer_features")
     spark.sql(f"DROP TABLE {schema}.customer_features__unlabelled")
 
     split = X.stratified_split(spark.table(f"{schema}.customer_features"), "spend_tier", "customerID")
-    save_overwrite(split, f"{schema}.customer_features_split")
+    replace_table(split, f"{schema}.customer_features_split")
     split = spark.table(f"{schema}.customer_features_split")
     trees, depth = configuration
     model = M.fit_tier_model(split.filter("split = 'train'"), trees, depth)
+    model = M.round_trip(model, f"{model_path}/{run_id}")
     scored = M.batch_score(model, split.filter("split = 'test'"))
     run = M.run_row(M.classification_metrics(scored, "spend_tier", "predicted_tier"), run_id, trees, depth)
-    model.write().overwrite().save(f"{model_path}/{run_id}")
     record_rows(run, f"{schema}.model_runs", "run_id")
 
     run = spark.table(f"{schema}.model_runs").filter(F.col("run_id") == run_id)

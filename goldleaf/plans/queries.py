@@ -13,6 +13,7 @@ from collections.abc import Callable
 from functools import partial
 from uuid import uuid4
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +31,20 @@ from goldleaf.operators import table_functions as TF
 from goldleaf.operators import travel as V
 from goldleaf.operators.expectations import expectation_counts
 from goldleaf.plans.gold import Gold
+from goldleaf.plans.retraining import ModelRuns
 from goldleaf.session import run_dir
 from goldleaf.sources.stored import PartitionedTable
-from goldleaf.sources.tables import bronze, conditional_update, layer_counts, materialize, profile_table
+from goldleaf.sources.tables import (
+    bronze,
+    conditional_update,
+    layer_counts,
+    materialize,
+    profile_tables,
+    publish,
+    quoted,
+    read_share,
+    with_samples,
+)
 from goldleaf.sources.testbed import AGENTS, TABLES, Testbed
 from goldleaf.streaming.refresh import SALES, SalesLayers
 
@@ -418,11 +430,42 @@ def partition_update(t: Testbed) -> DataFrame:
 
 @query
 def table_profile(t: Testbed) -> DataFrame:
-    profile = None
-    for name in TABLES:
-        one = profile_table(t.table(name), name)
-        profile = one if profile is None else profile.unionByName(one)
-    return profile.select("table_name", "column_name", "n_rows", "n_null")
+    """All tables, and one that is not there."""
+    readers = {name: partial(t.table, name) for name in (*TABLES, "no_such_table")}
+    profile = profile_tables(t.spark, readers, with_samples)
+    problem = F.regexp_extract("error", r"^\[(\w+)", 1)  # without the path
+    return profile.withColumn("error", F.when(F.col("error").isNotNull(), problem))
+
+
+VENDOR_LINES = """
+    VendorAccountNumber_LIFNR string, NAME1 string, CountryKey_LAND1 string, VendorOnTimeDelivery string,
+    VendorInFullDelivery string, VendorOnTimeInFullDelivery string, VendorInvoiceAccuracy string, IsRejected string,
+    VendorCycleTimeInDays int, NetOrderValueinTargetCurrency_NETWR decimal(18,2), TargetCurrency_TCURR string
+"""
+
+
+@query
+def received_share(t: Testbed) -> DataFrame:
+    """Vendor gold over a share under a quoted name, with its columns in another order, one more, and numbers as text."""
+    name = f"procurement share-1 `{uuid4().hex}`.lines"
+    lines = t.vendor_lines
+    lines.select(
+        F.lit("x").alias("load note"),
+        *[F.col(c).cast("string").alias(c) for c in reversed(lines.columns)],
+    ).createOrReplaceTempView(quoted(name))
+    return N.gold_vendor_performance(read_share(t.spark, name, VENDOR_LINES))
+
+
+@query
+def switched_table(t: Testbed) -> DataFrame:
+    """A table replaced by rows made from itself, seen by a reader from before and by one from after."""
+    name, folder = f"payments {uuid4().hex}", own_folder(t, "payments")
+    publish(t.payments, name, folder)
+    before = t.spark.table(quoted(name))
+    publish(before.where(F.col("status") == "completed"), name, folder)
+    after = t.spark.table(quoted(name))
+    seen = before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+    return seen.groupBy("reader").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"))
 
 
 # ---- planner ----------------------------------------------------------------
@@ -756,24 +799,54 @@ def promotion_gate(t: Testbed) -> DataFrame:
     return M.promotion_gate(runs.filter(F.col("run_id") != "by_products"), champion)
 
 
+def fitted(t: Testbed, trees: int, depth: int) -> tuple[PipelineModel, DataFrame]:
+    """A forest fitted on the train part, stored and loaded again, and the stored split."""
+    built = materialize(split(t), "customer_split")
+    model = M.fit_tier_model(built.filter(F.col("split") == "train"), trees, depth)
+    return M.round_trip(model, own_folder(t, "forest")), built
+
+
 @query
 def spend_tier_model(t: Testbed) -> DataFrame:
-    """Metrics of both forest configurations on the test part, as run rows."""
-    built = materialize(split(t), "customer_split")
-    train, test = (built.filter(F.col("split") == part) for part in ("train", "test"))
+    """Both forest configurations as stored and loaded again, checked on the test part.
+
+    What a fit gives has no SQL form; these are the things that hold of any good one.
+    """
     runs = None
     for trees, depth in M.CONFIGURATIONS:
-        scored = M.batch_score(M.fit_tier_model(train, trees, depth), test)
-        metrics = M.classification_metrics(scored, "spend_tier", "predicted_tier")
-        row = M.run_row(metrics, f"forest_{trees}_{depth}", trees, depth)
+        model, built = fitted(t, trees, depth)
+        scored = M.batch_score(model, built.filter(F.col("split") == "test"))
+        row = M.scoring_check(model, scored).withColumn("run_id", F.lit(f"forest_{trees}_{depth}"))
         runs = row if runs is None else runs.unionByName(row)
     return runs
 
 
 @query
 def batch_score(t: Testbed) -> DataFrame:
-    """Every customer scored by the smaller forest."""
+    """Every customer scored by the smaller forest, as stored and loaded again; the tier itself has no SQL form."""
+    model, built = fitted(t, *M.CONFIGURATIONS[0])
+    scored = M.batch_score(model, built)
+    return scored.select("customerID", "spend_tier", F.col("predicted_tier").isin(0, 1, 2).alias("has_tier"))
+
+
+RETRAINED = [("r1", (5, 2)), ("r2", (5, 2)), ("r2", (5, 2)), ("r3", (20, 6))]  # r2 is repeated
+
+
+@query
+def retrain_runs(t: Testbed) -> DataFrame:
+    """The log of four retrainings with one champion, and what must hold of both."""
+    runs = ModelRuns(t.spark, own_folder(t, "retraining"))
     built = materialize(split(t), "customer_split")
-    trees, depth = M.CONFIGURATIONS[0]
-    model = M.fit_tier_model(built.filter(F.col("split") == "train"), trees, depth)
-    return M.batch_score(model, built).select("customerID", "spend_tier", "predicted_tier")
+    for run_id, configuration in RETRAINED:
+        runs.fit(built, run_id, configuration)
+    log, champion = runs.log.read(), runs.champion()
+    best = M.best_run(log).select("run_id").scalar()  # equal runs: the first stays champion
+    return log.select(
+        "run_id",
+        "trees",
+        "depth",
+        "n",
+        (champion.agg(F.count(F.lit(1))).scalar() == 1).alias("one_champion"),
+        (champion.select("run_id").scalar() == best).alias("champion_is_best"),
+        (F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)).alias("has_metrics"),
+    )

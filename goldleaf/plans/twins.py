@@ -613,33 +613,60 @@ whole_view("conditional_update", "governed")
 whole_view("partition_update", "governed")
 
 
-def profile_twin(columns: dict[str, list[str]]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null FROM {table}"
-        for table, names in columns.items()
-        for c in names
-    )
-
-
-# Fixed value: the columns of the test tables.
+# Fixed value: the columns of the test tables and their types.
 TEST_COLUMNS = {
-    "region": "r_regionkey r_name",
-    "nation": "n_nationkey n_name n_regionkey",
-    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
-    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
-    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
-    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
-    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-    "l_returnflag l_linestatus l_shipdate",
-    "events": "event_id ts user_id event_type value props",
-    "documents": "doc_id text lang source n_chars",
-    "embeddings": "vec_id embedding label",
-    "pages": "page_id url html",
-    "benchmark": "item_id text",
-    "labels": "doc_id quality toxic",
-    "conversations": "conv_id turn role text",
+    "region": "r_regionkey:int r_name:string",
+    "nation": "n_nationkey:int n_name:string n_regionkey:int",
+    "customer": "c_custkey:bigint c_name:string c_nationkey:int c_acctbal:double c_mktsegment:string",
+    "supplier": "s_suppkey:bigint s_name:string s_nationkey:int s_acctbal:double",
+    "part": "p_partkey:bigint p_name:string p_brand:string p_type:string p_size:int p_retailprice:double",
+    "orders": "o_orderkey:bigint o_custkey:bigint o_orderstatus:string "
+    "o_totalprice:double o_orderdate:timestamp_ntz o_orderpriority:string",
+    "lineitem": "l_orderkey:bigint l_partkey:bigint l_suppkey:bigint l_linenumber:int l_quantity:double "
+    "l_extendedprice:double l_discount:double l_tax:double l_returnflag:string l_linestatus:string l_shipdate:timestamp_ntz",
+    "events": "event_id:bigint ts:timestamp_ntz user_id:bigint event_type:string value:double props:string",
+    "documents": "doc_id:bigint text:string lang:string source:string n_chars:bigint",
+    "embeddings": "vec_id:bigint embedding:array<float> label:int",
+    "pages": "page_id:bigint url:string html:string",
+    "benchmark": "item_id:bigint text:string",
+    "labels": "doc_id:bigint quality:int toxic:int",
+    "conversations": "conv_id:bigint turn:bigint role:string text:string",
 }
-twin("table_profile", profile_twin({table: names.split() for table, names in TEST_COLUMNS.items()}))
+
+
+def shown(column: str, kind: str) -> str:
+    if kind == "string":
+        return f"substring({column}, 1, 40)"
+    if kind == "double":
+        return f"CAST(CAST({column} AS DECIMAL(30,6)) AS VARCHAR)"
+    if kind == "timestamp_ntz":
+        return f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
+    if kind.startswith("array"):
+        return f"'list of ' || len({column})"
+    return f"CAST({column} AS VARCHAR)"
+
+
+def profile_twin() -> str:
+    told = []
+    for table, said in TEST_COLUMNS.items():
+        columns = [c.split(":") for c in said.split()]
+        first = f"SELECT * FROM {table} ORDER BY {', '.join(f'{c} NULLS FIRST' for c, _ in columns)} LIMIT 5"
+        told += [
+            f"""SELECT '{table}' AS table_name, '{c}' AS column_name, '{kind}' AS column_type,
+                       (SELECT COUNT(*) FROM {table}) AS n_rows, (SELECT COUNT(*) - COUNT({c}) FROM {table}) AS n_null, NULL AS error,
+                       (SELECT string_agg(v, ' | ' ORDER BY v) FROM (SELECT coalesce({shown(c, kind)}, 'NULL') AS v FROM ({first}))) AS sample"""
+            for c, kind in columns
+        ]
+    return " UNION ALL ".join(told) + " UNION ALL SELECT 'no_such_table', NULL, NULL, NULL, NULL, 'PATH_NOT_FOUND', NULL"
+
+
+twin("table_profile", profile_twin())
+whole_view("received_share", "vendor_gold")
+twin(
+    "switched_table",
+    """SELECT 'before' AS reader, COUNT(*) AS n_rows, CAST(SUM(amount) AS DOUBLE) AS amount FROM @payments
+       UNION ALL SELECT 'after', COUNT(*), CAST(SUM(amount) AS DOUBLE) FROM @payments WHERE status = 'completed'""",
+)
 
 # ---- planner --------------------------------------------------------------------
 whole_view("resolve_destination", "resolved")
@@ -922,3 +949,17 @@ twin(
     """SELECT r.*, c.f1 AS champion_f1, r.f1 > c.f1 AS promote
        FROM @runs r, (SELECT f1 FROM @runs WHERE run_id = 'by_products') c WHERE r.run_id <> 'by_products'""",
 )
+# Facts that hold of any good fit, not the fit.
+TEST_ROWS = "(SELECT COUNT(*) FROM @split WHERE split = 'test')"
+twin(
+    "spend_tier_model",
+    f"""SELECT 'forest_' || trees || '_' || depth AS run_id, {TEST_ROWS} AS n, trees, depth,
+              (SELECT COUNT(DISTINCT spend_tier) FROM @split) AS n_classes, true AS known_classes, true AS beats_largest_class
+       FROM (VALUES (50, 4), (200, 8)) AS v(trees, depth)""",
+)
+twin("batch_score", """SELECT "customerID", spend_tier, true AS has_tier FROM @tiers""")
+twin(
+    "retrain_runs",
+    f"""SELECT run_id, trees, depth, {TEST_ROWS} AS n, true AS one_champion, true AS champion_is_best, true AS has_metrics
+       FROM (VALUES ('r1', 5, 2), ('r2', 5, 2), ('r3', 20, 6)) AS v(run_id, trees, depth)""",
+)

@@ -7,7 +7,7 @@ from goldleaf.operators import travel as V
 from goldleaf.plans.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
-FITS = {"spend_tier_model", "batch_score"}
+FITS = {"spend_tier_model", "batch_score", "retrain_runs"}
 
 
 def plan_of(df):

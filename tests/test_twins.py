@@ -7,13 +7,10 @@ from goldleaf.plans.queries import REGISTRY
 from goldleaf.plans.twins import TWINS
 
 SF_DIR = "/root/testdata/sf0.001"
-# Fits of a random forest have no SQL form; test_modelling covers them.
-WITHOUT_TWIN = {"spend_tier_model", "batch_score"}
 
 
-def test_only_model_fits_have_no_twin():
-    assert set(REGISTRY) - set(TWINS) == WITHOUT_TWIN
-    assert set(TWINS) <= set(REGISTRY)
+def test_every_query_has_a_twin():
+    assert set(REGISTRY) == set(TWINS)
 
 
 @pytest.fixture(scope="module")
