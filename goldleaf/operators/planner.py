@@ -90,38 +90,45 @@ def _grams(text: Column, sizes: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(sizes, of_size)))
 
 
-def contained(parts: DataFrame, wholes: DataFrame) -> DataFrame:
-    """The pairs (part, whole) of different texts where the whole contains the part.
+def contained(parts: DataFrame, wholes: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The pairs (``by``, part, whole) of different texts with equal ``by`` where the whole contains the part.
 
     An index lists the grams of every whole, up to GRAM characters long, so it
     grows with the length of the texts.  A part is looked up by one gram, the one
     that the fewest wholes have (the part itself if it is shorter), and what is
     found is checked; a part with a gram that no whole has is in none.
     """
-    index = wholes.select("whole", F.explode(_grams(F.col("whole"), F.sequence(F.lit(0), F.lit(GRAM)))).alias("gram"))
-    counts = index.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    index = wholes.select(*by, "whole", F.explode(_grams(F.col("whole"), F.sequence(F.lit(0), F.lit(GRAM)))).alias("gram"))
+    counts = index.groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("n"))
     own = _grams(F.col("part"), F.array(F.least(F.lit(GRAM), F.length("part"))))
     rarest = (
-        parts.select("part", F.explode(own).alias("gram"))
-        .join(counts, "gram", "left")
-        .groupBy("part")
+        parts.select(*by, "part", F.explode(own).alias("gram"))
+        .join(counts, [*by, "gram"], "left")
+        .groupBy(*by, "part")
         .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("rarest"))
         .where("rarest.n > 0")
-        .select("part", "rarest.gram")
+        .select(*by, "part", "rarest.gram")
     )
-    return rarest.join(index, "gram").where(F.contains("whole", "part")).select("part", "whole")
+    return rarest.join(index, [*by, "gram"]).where(F.contains("whole", "part")).select(*by, "part", "whole")
 
 
 def _loose_matches(keys: DataFrame, cities: DataFrame) -> DataFrame:
     """First city whose name contains the key or is contained in it (key, loose_id)."""
     names = cities.select(F.col("key").alias("name"), F.struct("first_id", "destination_id").alias("hit"))
-    inside_name = contained(keys.select(F.col("key").alias("part")), names.select(F.col("name").alias("whole")))
-    around_name = contained(names.select(F.col("name").alias("part")), keys.select(F.col("key").alias("whole")))
-    pairs = inside_name.select(F.col("part").alias("key"), F.col("whole").alias("name")).unionByName(
-        around_name.select(F.col("whole").alias("key"), F.col("part").alias("name"))
-    )
+
+    def sides(first: DataFrame, second: DataFrame, into: str) -> DataFrame:
+        one, two = (df.select(F.lit(k).alias("side"), F.col(df.columns[0]).alias(into)) for k, df in enumerate((first, second)))
+        return one.unionByName(two)
+
+    # side 0: keys in names; side 1: names in keys
+    pairs = contained(sides(keys, names, "part"), sides(names, keys, "whole"), ("side",))
+    key_first = F.col("side") == 0
     return (
-        pairs.join(names, "name")
+        pairs.select(
+            F.when(key_first, F.col("part")).otherwise(F.col("whole")).alias("key"),
+            F.when(key_first, F.col("whole")).otherwise(F.col("part")).alias("name"),
+        )
+        .join(names, "name")
         .groupBy("key")
         .agg(F.min("hit").alias("hit"))
         .select("key", F.col("hit.destination_id").alias("loose_id"))
