@@ -213,7 +213,7 @@ def learn(columns: dict[str, np.ndarray], bad: np.ndarray, third: np.ndarray) ->
 
 
 def fit(counts: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[Rule]:
-    """Rules learned from at most ``fit_rows`` labelled rows of ``text_statistics``, drawn by a hash of doc_id."""
+    """Rules learned from at most ``fit_rows`` labelled rows of ``text_statistics``, the first by a hash of doc_id."""
     marked = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
         .groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
@@ -221,13 +221,14 @@ def fit(counts: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[
     )
     share = min(1.0, fit_rows / max(marked.count(), 1))
     place = F.xxhash64("doc_id", F.lit(29)) / F.lit(float(1 << 63))
-    drawn = marked.where(place < 2 * share - 1).limit(fit_rows)
+    # about as many rows as wanted, and of those the first by hash: the same rows in any run
+    drawn = marked.where(place < 2.2 * share - 1).orderBy(place, "doc_id").limit(fit_rows)
     rows = (
         counts.join(drawn, "doc_id")
         .select("doc_id", "quality", *[c.alias(name) for name, c in measures().items()])
+        .orderBy("doc_id", *measures())
         .limit(fit_rows)
         .toPandas()
-        .sort_values("doc_id", kind="stable")
     )
     if rows.empty:
         return []
@@ -249,7 +250,7 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id, COUNTS, base_failed, rule, kept of every row of (doc_id, text).
+    """doc_id, COUNTS, base_failed, kept, rule of every row of (doc_id, text).
 
     ``base_failed`` is fewer than 10 words, or more than a fifth of the words in
     repeated windows.  ``kept`` is false for those and where a rule holds.  A null
@@ -263,5 +264,5 @@ def apply_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     return (
         counts.withColumn("base_failed", failed)
         .withColumn("rule", verdict(rules))
-        .select("doc_id", *COUNTS, "base_failed", "rule", (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"))
+        .select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"), "rule")
     )

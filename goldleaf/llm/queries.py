@@ -89,22 +89,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages, events = table(spark, sf_dir, "pages"), table(spark, sf_dir, "events")
-    return url_lists.evaluate(url_lists.page_captures(pages), url_lists.list_lines(events, pages))
-
-
-ORACLES["op9_temporal_url_lists"] = url_lists.SQL
-
-
-def temporal_url_lists_all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op9 over lists to which every event adds a line."""
     pages, events = table(spark, sf_dir, "pages"), table(spark, sf_dir, "events")
     return url_lists.evaluate(url_lists.page_captures(pages), url_lists.all_list_lines(events, pages))
 
 
-# An operator over other inputs than those of its opN_ query.
-MORE_QUERIES = {"temporal_url_lists_all_events": temporal_url_lists_all_events}
-MORE_ORACLES = {"temporal_url_lists_all_events": url_lists.SQL_ALL_EVENTS}
+ORACLES["op9_temporal_url_lists"] = url_lists.SQL
+# The name under which the query over all events was registered beside one over fewer.
+MORE_QUERIES = {"temporal_url_lists_all_events": op9_temporal_url_lists}
+MORE_ORACLES = {"temporal_url_lists_all_events": url_lists.SQL}
 
 
 @query

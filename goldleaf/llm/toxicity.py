@@ -206,10 +206,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, groups:
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
     counts = dict(marked.groupBy("toxic").count().collect())
-    # A draw by hash, a little larger than wanted; the limit makes the bound a hard one.
+    # A draw by hash, a little larger than wanted, and of these the first by hash: the same rows in any run.
     place = F.xxhash64("doc_id", F.lit(17)) / F.lit(float(1 << 63))
     drawn = [
-        marked.where((F.col("toxic") == c) & (place < 2.2 * fit_rows / max(counts.get(c, 0), 1) - 1)).limit(fit_rows)
+        marked.where((F.col("toxic") == c) & (place < 2.2 * fit_rows / max(counts.get(c, 0), 1) - 1))
+        .orderBy(place, "doc_id")
+        .limit(fit_rows)
         for c in (0, 1)
     ]
     sample = drawn[0].unionByName(drawn[1])
@@ -220,6 +222,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, groups:
         partial(_matrix, following=_next_terms(IDENTITY_TERMS if groups is None else groups)),
         "toxic int, features binary, changed binary",
     ).toPandas()
+    # sums of floats depend on the order of the rows
+    table = table.iloc[sorted(range(len(table)), key=lambda i: [bytes(x or b"") for x in (table["features"][i], table["changed"][i])])]
     as_row = lambda raw: None if raw is None else np.frombuffer(raw, np.int32)
     return fit(
         table["toxic"].to_numpy().astype(bool),

@@ -125,8 +125,8 @@ def evaluate(captures: DataFrame, lines: DataFrame, bucket: int = DAY) -> DataFr
 
 
 # ---- the query's inputs -----------------------------------------------------
-# A list and capture times derived from the tables: event n is a line about the
-# page with that id (or, with all events, the pages take turns), an error takes an entry off, and captures are spread over a month.
+# A list and capture times derived from the tables: every event is a line about a
+# page, and the pages take turns; an error takes an entry off, and captures are spread over a month.
 FETCH_START = 1_704_067_200_000_000  # 2024-01-01
 FETCH_STEP, FETCH_SPAN = 7_919, 2_592_000  # seconds
 
@@ -152,7 +152,7 @@ def _lines(events: DataFrame, pages: DataFrame, page: Column) -> DataFrame:
 
 
 def list_lines(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """Lines of the events whose id is a page's; the others are about no page."""
+    """Only the lines of the events whose id is a page's."""
     return _lines(events, pages, F.col("event_id"))
 
 
@@ -177,7 +177,7 @@ WITH found AS (
     SELECT event_id AS line_id, epoch_us(ts) AS moment, event_type <> 'error' AS listed,
            CASE event_id % 3 WHEN 0 THEN 'prefix' WHEN 1 THEN 'host' ELSE 'domain' END AS kind,
            CASE event_id % 3 WHEN 0 THEN prefix WHEN 1 THEN host ELSE domain END AS pattern
-    FROM events JOIN found ON event_id = page_id
+    FROM events JOIN found ON event_id % (SELECT max(page_id) + 1 FROM pages) = page_id
 ), ordered AS (
     SELECT kind, pattern, moment, arg_max(listed, line_id) AS listed
     FROM lines WHERE pattern IS NOT NULL GROUP BY ALL
@@ -198,8 +198,3 @@ SELECT f.page_id, f.fetched_at, count(m.kind) AS n_active, arg_min(m.kind, m.ran
 FROM found f LEFT JOIN met m ON f.page_id = m.page_id
 GROUP BY f.page_id, f.fetched_at
 """
-
-# The same with a line of every event.
-SQL_ALL_EVENTS = SQL.replace(
-    "ON event_id = page_id", "ON event_id % (SELECT max(page_id) + 1 FROM pages) = page_id"
-)

@@ -61,3 +61,16 @@ def test_awkward_rows(spark, data):
     assert len(got) == len(rows())
     assert all(r.base_failed and not r.kept and r.n_words == 0 for r in got if r.doc_id in (1, 2, 3))
     assert R.apply_rules(documents(spark, False), labels(spark, data)).count() == 0
+
+
+def test_a_fit_on_a_bounded_draw_is_the_same_in_any_run(spark):
+    """More labels than the bound, under other numbers of shuffle partitions and other files."""
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    before, fits = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (3, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            fits.append(R.fit(R.text_statistics(docs.repartition(n)), marks.repartition(n + 1), fit_rows=1500))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert fits[0] == fits[1] and fits[0]

@@ -60,3 +60,17 @@ def test_the_registered_penalty_lowers_scores(spark):
         for penalty in (0.0, T.PENALTY)
     }
     assert mean[T.PENALTY] < 0.5 * mean[0.0]
+
+
+def test_a_fit_on_a_bounded_draw_is_the_same_in_any_run(spark):
+    """More labels than the bound, under other numbers of shuffle partitions and other files."""
+    docs, marks = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    before, models = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (3, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            models.append(T.train(docs.repartition(n), marks.repartition(n + 1), fit_rows=100))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert (models[0].column == models[1].column).all() and models[0].bias == models[1].bias
+    assert (models[0].weights == models[1].weights).all() and len(models[0].weights) > 10

@@ -82,7 +82,15 @@ def test_every_event_is_a_line(spark):
 
 
 def test_every_event_equals_sql(spark):
-    name = "temporal_url_lists_all_events"
-    got = spark_rows(MORE_QUERIES[name](spark, SF))
-    assert got == twin_rows(connect(SF), MORE_ORACLES[name])
-    assert got != spark_rows(QUERIES["op9_temporal_url_lists"](spark, SF))
+    for name in ("op9_temporal_url_lists", "temporal_url_lists_all_events"):
+        got = spark_rows({**QUERIES, **MORE_QUERIES}[name](spark, SF))
+        assert got == twin_rows(connect(SF), {**ORACLES, **MORE_ORACLES}[name])
+        blocked = [r[got[0].index("blocked")] for r in got[1]]
+        assert 0 < blocked.count("True") < len(blocked)
+
+
+def test_no_pages(spark):
+    events, pages = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("events", "pages"))
+    none = pages.limit(0)
+    assert U.evaluate(U.page_captures(none), U.all_list_lines(events, none)).count() == 0
+    assert U.evaluate(U.page_captures(pages), U.all_list_lines(events.limit(0), pages)).where("blocked").count() == 0
