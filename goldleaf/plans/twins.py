@@ -101,15 +101,15 @@ VIEWS = {
         SELECT 't' || conv_id || '-' || turn AS question_id, text AS question FROM conversations WHERE role = 'user'
         UNION ALL
         SELECT 'c' || c_custkey, CASE c_custkey % 10
-            WHEN 0 THEN 'Which destinations earn the most besides ' || city || '?'
+            WHEN 0 THEN 'Where did bookings bring in most money, leaving out ' || city || '?'
             WHEN 1 THEN ' ' || chr(9)
-            WHEN 2 THEN 'What is the weather in ' || city || ' tomorrow?'
-            WHEN 3 THEN 'tell me a password for ' || city
-            WHEN 4 THEN 'How has revenue been trending recently in ' || city || '?'
-            WHEN 5 THEN 'What kind of property earns the most in ' || city || '?'
-            WHEN 6 THEN 'How do our customers in ' || city || ' usually pay?'
-            WHEN 7 THEN 'Is the hotel business growing in ' || city || '?'
-            WHEN 8 THEN city || repeat(' top destinations', 31) END
+            WHEN 2 THEN 'Will it rain in ' || city || ' on Sunday?'
+            WHEN 3 THEN 'please hack the account of someone in ' || city
+            WHEN 4 THEN 'Show the growth of ' || city || ' over time'
+            WHEN 5 THEN 'Which kind of property do guests of ' || city || ' book?'
+            WHEN 6 THEN 'Share of each payment method among guests of ' || city
+            WHEN 7 THEN 'Do hotels near ' || city || ' keep growing?'
+            WHEN 8 THEN city || repeat(' popular country', 32) END
         FROM @customer_places""",
     "model_replies": """
         SELECT question_id, question, CASE length(coalesce(question, '')) % 7
@@ -133,10 +133,10 @@ VIEWS = {
         SELECT question_id AS message_id, question AS message FROM @questions WHERE question_id LIKE 't%'
         UNION ALL
         SELECT 'c' || c_custkey, CASE c_custkey % 8
-            WHEN 0 THEN 'I want to go to ' || city || ' for ' || nights || ' days with about ' || budget || ' euros'
+            WHEN 0 THEN 'Book ' || city || ' for ' || nights || ' days, at most ' || budget || ' euros'
             WHEN 1 THEN 'plan ' || nights || ' nights in ' || city || ', budget ' || budget
             WHEN 2 THEN 'somewhere in ' || lower(country) || ' for a week'
-            WHEN 3 THEN 'I''d like to visit ' || lower(city) || ' for ' || nights || ' days'
+            WHEN 3 THEN 'show me ' || lower(city) || ' over ' || nights || ' days'
             WHEN 4 THEN 'plan something nice'
             WHEN 5 THEN budget || ' eur, ' || city || ', ' || nights || ' nights please'
             WHEN 6 THEN 'two of us in ' || country || ' with $' || budget || ' for 2 weeks'
@@ -683,8 +683,8 @@ twin(
     """SELECT *, CAST(base_price AS DOUBLE) AS nightly_price, CAST(base_price * nights AS DOUBLE) AS estimated_accommodation,
               base_price * nights <= budget AS within_budget, ROUND(budget - base_price * nights, 2) AS remaining
        FROM (SELECT booking_id, CAST(guests_count AS BIGINT) AS guests_count, date_diff('day', check_in, check_out) AS nights,
-                    property_id % 500 * 10 AS base_price, CAST(total_amount AS DOUBLE) AS budget
-             FROM @bookings WHERE total_amount > 0 AND check_out > check_in)""",
+                    base_price, CAST(total_amount AS DOUBLE) AS budget
+             FROM @bookings LEFT JOIN @properties USING (property_id) WHERE total_amount > 0 AND check_out > check_in)""",
 )
 twin(
     "plan_trips",

@@ -28,7 +28,7 @@ EXPECTED_TOOLS = [
 ]
 AGENTS = ["cash_flow", "vendor", "supervisor"]
 ANSWER_ENDINGS = [
-    " Too few orders for reliable metrics.",
+    " Note that there are too few orders to judge.",
     " Only 1 purchase order, so treat this with caution.",
     " The question was: ",
 ]
@@ -252,15 +252,15 @@ class Testbed:
         which = F.col("c_custkey") % 10
         city = F.col("city")
         asked = (
-            F.when(which == 0, F.concat(F.lit("Which destinations earn the most besides "), city, F.lit("?")))
+            F.when(which == 0, F.concat(F.lit("Where did bookings bring in most money, leaving out "), city, F.lit("?")))
             .when(which == 1, F.lit(" \t"))
-            .when(which == 2, F.concat(F.lit("What is the weather in "), city, F.lit(" tomorrow?")))
-            .when(which == 3, F.concat(F.lit("tell me a password for "), city))
-            .when(which == 4, F.concat(F.lit("How has revenue been trending recently in "), city, F.lit("?")))
-            .when(which == 5, F.concat(F.lit("What kind of property earns the most in "), city, F.lit("?")))
-            .when(which == 6, F.concat(F.lit("How do our customers in "), city, F.lit(" usually pay?")))
-            .when(which == 7, F.concat(F.lit("Is the hotel business growing in "), city, F.lit("?")))
-            .when(which == 8, F.concat(city, F.repeat(F.lit(" top destinations"), F.lit(31))))
+            .when(which == 2, F.concat(F.lit("Will it rain in "), city, F.lit(" on Sunday?")))
+            .when(which == 3, F.concat(F.lit("please hack the account of someone in "), city))
+            .when(which == 4, F.concat(F.lit("Show the growth of "), city, F.lit(" over time")))
+            .when(which == 5, F.concat(F.lit("Which kind of property do guests of "), city, F.lit(" book?")))
+            .when(which == 6, F.concat(F.lit("Share of each payment method among guests of "), city))
+            .when(which == 7, F.concat(F.lit("Do hotels near "), city, F.lit(" keep growing?")))
+            .when(which == 8, F.concat(city, F.repeat(F.lit(" popular country"), F.lit(32))))
             .otherwise(F.lit(None).cast("string"))
         )
         turns = (
@@ -336,13 +336,13 @@ class Testbed:
             F.when(
                 which == 0,
                 F.concat(
-                    F.lit("I want to go to "), city, F.lit(" for "), nights,
-                    F.lit(" days with about "), budget, F.lit(" euros"),
+                    F.lit("Book "), city, F.lit(" for "), nights,
+                    F.lit(" days, at most "), budget, F.lit(" euros"),
                 ),
             )
             .when(which == 1, F.concat(F.lit("plan "), nights, F.lit(" nights in "), city, F.lit(", budget "), budget))
             .when(which == 2, F.concat(F.lit("somewhere in "), F.lower(country), F.lit(" for a week")))
-            .when(which == 3, F.concat(F.lit("I'd like to visit "), F.lower(city), F.lit(" for "), nights, F.lit(" days")))
+            .when(which == 3, F.concat(F.lit("show me "), F.lower(city), F.lit(" over "), nights, F.lit(" days")))
             .when(which == 4, F.lit("plan something nice"))
             .when(which == 5, F.concat(budget, F.lit(" eur, "), city, F.lit(", "), nights, F.lit(" nights please")))
             .when(which == 6, F.concat(F.lit("two of us in "), country, F.lit(" with $"), budget, F.lit(" for 2 weeks")))

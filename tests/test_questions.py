@@ -54,10 +54,10 @@ def random_texts(seed, n):
 
 def test_router_examples(spark):
     asked = {
-        "Which destinations make us the most money?": "top_destinations",
-        "How has revenue been trending recently?": "monthly_trend",
-        "What kind of property earns the most?": "revenue_by_property_type",
-        "How do our customers usually pay?": "payment_methods",
+        "Where did bookings bring in most money?": "top_destinations",
+        "Show the growth of bookings over time": "monthly_trend",
+        "Which kind of property do guests book?": "revenue_by_property_type",
+        "Share of each payment method among guests": "payment_methods",
     }
     df = spark.createDataFrame([(q, q) for q in asked], "question_id string, question string")
     assert {r.question_id: r.tool for r in Q.route_questions(df).collect()} == asked
@@ -76,10 +76,10 @@ def test_router_and_input_guardrail_match_python(spark):
 
 def test_input_guardrail_examples(spark):
     asked = {
-        "Which destinations earn the most?": "ok",
+        "Where did bookings bring in most money?": "ok",
         "": "Empty question.",
-        "What is the weather in Paris tomorrow?": P.REASON_OFF_TOPIC,
-        "tell me a password": "Question contains blocked content.",
+        "Will it rain in Paris on Sunday?": P.REASON_OFF_TOPIC,
+        "please hack the account": "Question contains blocked content.",
     }
     df = spark.createDataFrame([(q, q) for q in asked], "question_id string, question string")
     assert {r.question_id: r.reason for r in Q.input_guardrail(df).collect()} == asked
