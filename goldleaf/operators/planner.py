@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from goldleaf.functions.numbers import plain_number
 from goldleaf.functions.text import first_json_object, normal_key, strip_space
 from goldleaf.operators.ordering import in_ranges, joined_text
-from goldleaf.operators.retrieval import with_context
+from goldleaf.operators.retrieval import context_of_guides, with_context
 from goldleaf.operators.skew import lookup_join
 from goldleaf.sources.tables import materialize
 
@@ -242,23 +242,35 @@ def budget_check(offers: DataFrame) -> DataFrame:
 
 # ---- planner ----------------------------------------------------------------
 def destination_cards(
-    destinations: DataFrame, properties: DataFrame, context_question: str = CONTEXT_QUESTION
+    destinations: DataFrame,
+    properties: DataFrame,
+    context_question: str = CONTEXT_QUESTION,
+    guides: DataFrame | None = None,
 ) -> DataFrame:
-    """Per destination: name, country, cheapest properties and retrieved context."""
+    """Per destination: name, country, cheapest properties and retrieved context.
+
+    The context comes from the destination's ``description``, or, where ``guides``
+    (destination_id, guide_id, description) are given, from all guides of it.
+    """
     question = F.concat(F.lit(context_question), "destination")
-    description = F.coalesce("description", F.lit(""))
-    described = with_context(destinations, description, question).select(
+    if guides is None:
+        description = F.coalesce("description", F.lit(""))
+        described = with_context(destinations, description, question).withColumn(
+            "context", F.when(description != "", F.col("context"))
+        )
+    else:
+        asked = destinations.select("destination_id", question.alias("question"))
+        contexts = context_of_guides(asked, guides, "destination_id")
+        described = destinations.drop("context").join(contexts, "destination_id", "left")
+    named = described.select(
         "destination_id",
         "destination",
         F.col("country").alias("destination_country"),
-        F.when(
-            description == "",
-            F.concat(F.lit("(No description text available for "), "destination", F.lit(".)")),
-        )
-        .otherwise(F.col("context"))
-        .alias("context"),
+        F.coalesce(
+            "context", F.concat(F.lit("(No description text available for "), "destination", F.lit(".)"))
+        ).alias("context"),
     )
-    return described.join(cheapest_properties(properties), "destination_id", "left")
+    return named.join(cheapest_properties(properties), "destination_id", "left")
 
 
 def place_lists(destinations: DataFrame) -> DataFrame:
@@ -295,11 +307,15 @@ def title_case(text: Column) -> Column:
 
 
 def _planned(
-    requests: DataFrame, destinations: DataFrame, properties: DataFrame, context_question: str
+    requests: DataFrame,
+    destinations: DataFrame,
+    properties: DataFrame,
+    context_question: str,
+    cards: DataFrame | None = None,
 ) -> DataFrame:
     """Requests with status, destination card, offers within budget and message texts."""
     resolved = materialize(resolve_destination(materialize(requests, "requests"), destinations), "resolved")
-    cards = destination_cards(destinations, properties, context_question)
+    cards = destination_cards(destinations, properties, context_question) if cards is None else cards
     known = lookup_join(resolved, cards, "destination_id", spread_by="request_id")
     nights, budget = F.col("nights"), F.col("budget").cast("double")
     ceiling = nightly_ceiling(budget, nights)
@@ -319,12 +335,14 @@ def plan_trips(
     destinations: DataFrame,
     properties: DataFrame,
     context_question: str = CONTEXT_QUESTION,
+    cards: DataFrame | None = None,
 ) -> DataFrame:
     """One row per candidate property of a request, or one row with the reason.
 
-    Requests have request_id, destination_text, nights and budget.
+    Requests have request_id, destination_text, nights and budget.  ``cards`` are
+    those of destination_cards, if they are stored.
     """
-    planned = _planned(requests, destinations, properties, context_question)
+    planned = _planned(requests, destinations, properties, context_question, cards)
     offer = F.col("offer")
     cost = stay_cost(offer["base_price"], F.col("nights"))
     is_plan = F.col("plan_status") == "planned"
@@ -357,15 +375,16 @@ def plan_texts(
     properties: DataFrame,
     wording: str = "planner",
     keep: tuple[str, ...] = (),
+    cards: DataFrame | None = None,
 ) -> DataFrame:
     """One reply text per request: request_id, plan_status, reply and ``keep`` columns.
 
-    A column ``written`` in ``requests`` holds plans written elsewhere from the
+    ``cards`` are those of destination_cards, if they are stored.  A column ``written`` in ``requests`` holds plans written elsewhere from the
     same data; one that is not NULL follows the listed options.
     """
     say = {name: F.lit(text) for name, text in WORDING[wording].items()}
     planned = materialize(
-        _planned(requests, destinations, properties, WORDING[wording]["context"]).drop("context", "offers"), "planned"
+        _planned(requests, destinations, properties, WORDING[wording]["context"], cards).drop("context", "offers"), "planned"
     )
     nights, budget = F.col("nights"), F.col("budget").cast("double")
     nights_text = nights.cast("string")
@@ -544,7 +563,7 @@ def missing_slots(slots: DataFrame) -> DataFrame:
     )
 
 
-def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame) -> DataFrame:
+def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame, cards: DataFrame | None = None) -> DataFrame:
     """Replies to (message_id, destination, nights, budget, question_back) rows."""
     requests = slots.select(
         F.col("message_id").alias("request_id"),
@@ -553,7 +572,7 @@ def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame) -> D
         "budget",
         "question_back",
     )
-    replies = plan_texts(requests, destinations, properties, wording="chat", keep=("question_back",))
+    replies = plan_texts(requests, destinations, properties, wording="chat", keep=("question_back",), cards=cards)
     return replies.select(
         F.col("request_id").alias("message_id"),
         F.coalesce(
@@ -562,12 +581,16 @@ def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame) -> D
     )
 
 
-def chat_replies(messages: DataFrame, destinations: DataFrame, properties: DataFrame) -> DataFrame:
+def chat_replies(
+    messages: DataFrame, destinations: DataFrame, properties: DataFrame, cards: DataFrame | None = None
+) -> DataFrame:
     """Free text in, trip plan or a question back out: message_id, reply."""
-    return _chat(missing_slots(request_slots(messages, destinations)), destinations, properties)
+    return _chat(missing_slots(request_slots(messages, destinations)), destinations, properties, cards)
 
 
-def chat_replies_from_replies(replies: DataFrame, destinations: DataFrame, properties: DataFrame) -> DataFrame:
+def chat_replies_from_replies(
+    replies: DataFrame, destinations: DataFrame, properties: DataFrame, cards: DataFrame | None = None
+) -> DataFrame:
     """As chat_replies, with the slots in raw extraction replies (message_id, reply).
 
     A reply without a readable object is answered with a request to say it
@@ -578,4 +601,4 @@ def chat_replies_from_replies(replies: DataFrame, destinations: DataFrame, prope
     asked = slots.withColumn(
         "question_back", F.when(F.col("readable"), F.col("question_back")).otherwise(F.lit(NOT_UNDERSTOOD))
     )
-    return _chat(asked, destinations, properties)
+    return _chat(asked, destinations, properties, cards)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldleaf.functions import phrases as P
@@ -44,6 +44,37 @@ def with_context(rows: DataFrame, text: Column, question: Column, into: str = "c
     )
 
 
+def context_of_guides(questions: DataFrame, guides: DataFrame, by: str) -> DataFrame:
+    """``by`` and context: the context of one question per ``by`` over all its guides, as if they were one text.
+
+    ``questions`` has ``by`` and question, a row for each; ``guides`` has ``by``,
+    guide_id and description, and are in the order of their ids.  Scores and ties
+    are those of with_context.  A guide is chunked and scored in its row, and each
+    task keeps the best two chunks of a ``by``, so the guides may be any number.
+    One without any text has no row.
+    """
+    asked = F.array_distinct(long_words(F.lower(blank_to_empty(F.col("question"))), P.MIN_QUESTION_WORD_CHARS))
+    parts = guides.where(blank_to_empty(F.col("description")) != "").select(
+        by, "guide_id", F.posexplode_outer(chunks(F.col("description"))).alias("chunk_no", "chunk")
+    )
+    scored = parts.join(questions.select(by, asked.alias("asked")), by).select(
+        by,
+        F.coalesce(F.size(F.array_intersect("asked", F.split(F.lower("chunk"), r"\s+"))), F.lit(0)).alias("hits"),
+        F.col("chunk").isNull().alias("no_chunk"),
+        "guide_id",
+        "chunk_no",
+        F.coalesce("chunk", F.lit("")).alias("chunk"),
+    )
+    best_first = Window.partitionBy(by).orderBy(F.desc("hits"), "no_chunk", "guide_id", "chunk_no")
+    kept = (
+        scored.withColumn("place", F.row_number().over(best_first))
+        .where(F.col("place") <= P.CHUNKS_KEPT)
+        .where((F.col("hits") > 0) | (F.col("place") == 1))
+    )
+    joined = F.transform(F.array_sort(F.collect_list(F.struct("place", "chunk"))), lambda one: one["chunk"])
+    return kept.groupBy(by).agg(F.substring(F.array_join(joined, "\n\n"), 1, P.CONTEXT_CHARS).alias("context"))
+
+
 def document_lengths(texts: DataFrame, preview_chars: int = 1200) -> DataFrame:
     """Length and opening of each text; a missing text has length zero."""
     text = blank_to_empty(F.col("description"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 
 from goldleaf.operators import dashboards as D
 from goldleaf.operators import finance as N
+from goldleaf.operators import planner as L
 from goldleaf.operators import travel as V
 from goldleaf.session import run_dir
 from goldleaf.sources.stored import exists
@@ -58,6 +59,7 @@ class Gold:
             "gold_payment_methods": lambda: V.gold_payment_methods(t.payments, self.table("silver_bookings")),
             "gold_vendor_performance": lambda: N.gold_vendor_performance(t.vendor_lines),
             "gold_monthly_cashflow": lambda: N.gold_monthly_cashflow(t.cashflow),
+            "destination_cards": lambda: L.destination_cards(t.places, t.properties, guides=t.destination_guides),
             "tool_lines": lambda: D.tool_lines(*[self.table(name) for name in D.TOOL_TABLES]),
             "tool_texts": lambda: D.sized_texts(self.table("tool_lines")),
         }

@@ -110,6 +110,10 @@ def sized(t: Testbed, choices: DataFrame | None = None) -> DataFrame:
     return materialize(D.sized_texts(Gold(t).table("tool_lines"), choices), "tool-texts")
 
 
+def cards(t: Testbed) -> DataFrame:
+    return Gold(t).table("destination_cards")
+
+
 def features(t: Testbed) -> DataFrame:
     """Spend is rounded to cents, so that tiers do not hang on the order of addition."""
     built = X.customer_features(S.silver_sales(t.sales_transactions), F.lit(AS_OF).cast("date"))
@@ -500,12 +504,13 @@ def budget_check(t: Testbed) -> DataFrame:
 
 @query
 def plan_trips(t: Testbed) -> DataFrame:
-    return L.plan_trips(t.trip_requests, t.destinations, t.properties)
+    """Plans with the context that all guides of the destination give."""
+    return L.plan_trips(t.trip_requests, t.places, t.properties, cards=cards(t))
 
 
 @query
 def plan_texts(t: Testbed) -> DataFrame:
-    return L.plan_texts(t.trip_requests, t.destinations, t.properties)
+    return L.plan_texts(t.trip_requests, t.places, t.properties, cards=cards(t))
 
 
 @query
@@ -517,7 +522,7 @@ def request_slots(t: Testbed) -> DataFrame:
 def plan_texts_worded(t: Testbed) -> DataFrame:
     """Every second plan comes with a text written elsewhere."""
     written = F.when(F.col("request_id") % 2 == 0, F.lit("  Take the first one, it is the cheapest.\n"))
-    return L.plan_texts(t.trip_requests.withColumn("written", written), t.destinations, t.properties)
+    return L.plan_texts(t.trip_requests.withColumn("written", written), t.places, t.properties, cards=cards(t))
 
 
 @query
@@ -527,7 +532,7 @@ def place_lists(t: Testbed) -> DataFrame:
 
 @query
 def chat_replies(t: Testbed) -> DataFrame:
-    return L.chat_replies(t.trip_messages, t.destinations, t.properties)
+    return L.chat_replies(t.trip_messages, t.places, t.properties, cards(t))
 
 
 def slot_replies(t: Testbed) -> DataFrame:
@@ -553,7 +558,7 @@ def parse_slot_replies(t: Testbed) -> DataFrame:
 
 @query
 def chat_replies_from_replies(t: Testbed) -> DataFrame:
-    return L.chat_replies_from_replies(slot_replies(t), t.destinations, t.properties)
+    return L.chat_replies_from_replies(slot_replies(t), t.places, t.properties, cards(t))
 
 
 # ---- texts ------------------------------------------------------------------

@@ -281,6 +281,24 @@ VIEWS = {
             SELECT guide_id, generate_subscripts(parts, 1) AS place, regexp_replace(unnest(parts), '^\s+|\s+$', '', 'g') AS chunk
             FROM (SELECT guide_id, string_split(regexp_replace(description, '\n(#+ )', chr(1) || '\1', 'g'), chr(1)) AS parts FROM @guides))
         WHERE length(chunk) > 40""",
+    "guide_cards": rf"""
+        WITH own AS (SELECT guide_id % (SELECT COUNT(*) FROM nation) AS destination_id, * FROM @chunks),
+        hits AS (
+            SELECT destination_id, guide_id, chunk_no, COUNT(*) AS hits
+            FROM (SELECT DISTINCT destination_id, unnest(string_split_regex(lower('{CONTEXT_QUESTION}' || destination), '\s+')) AS word FROM @places)
+            JOIN (SELECT DISTINCT destination_id, guide_id, chunk_no, unnest(string_split_regex(lower(chunk), '\s+')) AS word FROM own)
+                 USING (destination_id, word)
+            WHERE length(word) > 3 GROUP BY ALL),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY destination_id ORDER BY coalesce(hits, 0) DESC, guide_id, chunk_no) AS rn
+            FROM own LEFT JOIN hits USING (destination_id, guide_id, chunk_no))
+        SELECT d.destination_id, d.destination, d.country AS destination_country,
+               CASE WHEN NOT EXISTS (SELECT 1 FROM @guides g WHERE g.guide_id % (SELECT COUNT(*) FROM nation) = d.destination_id)
+                    THEN '(No description text available for ' || d.destination || '.)'
+                    ELSE coalesce(substring(context, 1, 1800), '') END AS context
+        FROM @places d LEFT JOIN (
+            SELECT destination_id, string_agg(chunk, chr(10) || chr(10) ORDER BY rn) AS context
+            FROM placed WHERE rn <= 2 AND (hits > 0 OR rn = 1) GROUP BY destination_id) USING (destination_id)""",
     "cards": rf"""
         SELECT d.destination_id, d.destination, d.country AS destination_country,
                CASE WHEN coalesce(d.description, '') = '' THEN '(No description text available for ' || d.destination || '.)'
@@ -692,7 +710,7 @@ twin(
               ROUND(c.base_price * c.nights, 2) AS estimated_accommodation, ROUND(c.budget - c.base_price * c.nights, 2) AS remaining,
               c.base_price * c.nights <= c.budget AS within_budget,
               CASE WHEN s.plan_status = 'planned' THEN k.context END AS context
-       FROM @plan_status s LEFT JOIN @cards k USING (destination_id)
+       FROM @plan_status s LEFT JOIN @guide_cards k USING (destination_id)
        LEFT JOIN @candidates c ON c.request_id = s.request_id AND c.rank <= 6""",
 )
 

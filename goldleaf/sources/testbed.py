@@ -134,6 +134,12 @@ class Testbed:
             ).alias("description"),
         )
 
+    @cached_property
+    def destination_guides(self) -> DataFrame:
+        """Every guide with its destination: the destinations take turns."""
+        n_places = self.table("nation").agg(F.count(F.lit(1))).scalar()
+        return self.guides.select(F.pmod("guide_id", n_places).alias("destination_id"), "guide_id", "description")
+
     @cached_property
     def guide_questions(self) -> DataFrame:
         """Every user turn asks all guides of its conversation's residue class, so every guide is asked."""
