@@ -315,8 +315,10 @@ def _planned(
 ) -> DataFrame:
     """Requests with status, destination card, offers within budget and message texts."""
     resolved = materialize(resolve_destination(materialize(requests, "requests"), destinations), "resolved")
-    cards = destination_cards(destinations, properties, context_question) if cards is None else cards
-    known = lookup_join(resolved, cards, "destination_id", spread_by="request_id")
+    if cards is None:
+        cards = materialize(destination_cards(destinations, properties, context_question), "cards")
+    # both are stored: plain exchanges, which adaptive execution splits at a destination that very many ask for
+    known = resolved.join(cards, "destination_id", "left")
     nights, budget = F.col("nights"), F.col("budget").cast("double")
     ceiling = nightly_ceiling(budget, nights)
     fitting = _within(F.col("offers"), ceiling)
@@ -376,10 +378,11 @@ def plan_texts(
     wording: str = "planner",
     keep: tuple[str, ...] = (),
     cards: DataFrame | None = None,
+    lists: DataFrame | None = None,
 ) -> DataFrame:
     """One reply text per request: request_id, plan_status, reply and ``keep`` columns.
 
-    ``cards`` are those of destination_cards, if they are stored.  A column ``written`` in ``requests`` holds plans written elsewhere from the
+    ``cards`` and ``lists`` are those of destination_cards and list_texts, if they are stored.  A column ``written`` in ``requests`` holds plans written elsewhere from the
     same data; one that is not NULL follows the listed options.
     """
     say = {name: F.lit(text) for name, text in WORDING[wording].items()}
@@ -411,7 +414,7 @@ def plan_texts(
         F.lit("For "), "destination", say["nothing_1"], plain_number(budget), F.lit(" over "), nights_text,
         say["nothing_2"], plain_number(F.col("ceiling")), say["nothing_3"],
     )
-    lists = materialize(list_texts(destinations), "list_texts")
+    lists = materialize(list_texts(destinations), "list_texts") if lists is None else lists
     n_places = destinations.agg(F.count(F.lit(1))).scalar()
     text = F.coalesce("destination_text", F.lit(""))
     unknown = F.concat(
@@ -563,7 +566,7 @@ def missing_slots(slots: DataFrame) -> DataFrame:
     )
 
 
-def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame, cards: DataFrame | None = None) -> DataFrame:
+def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame, **stored: DataFrame | None) -> DataFrame:
     """Replies to (message_id, destination, nights, budget, question_back) rows."""
     requests = slots.select(
         F.col("message_id").alias("request_id"),
@@ -572,7 +575,7 @@ def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame, card
         "budget",
         "question_back",
     )
-    replies = plan_texts(requests, destinations, properties, wording="chat", keep=("question_back",), cards=cards)
+    replies = plan_texts(requests, destinations, properties, wording="chat", keep=("question_back",), **stored)
     return replies.select(
         F.col("request_id").alias("message_id"),
         F.coalesce(
@@ -582,14 +585,14 @@ def _chat(slots: DataFrame, destinations: DataFrame, properties: DataFrame, card
 
 
 def chat_replies(
-    messages: DataFrame, destinations: DataFrame, properties: DataFrame, cards: DataFrame | None = None
+    messages: DataFrame, destinations: DataFrame, properties: DataFrame, **stored: DataFrame | None
 ) -> DataFrame:
-    """Free text in, trip plan or a question back out: message_id, reply."""
-    return _chat(missing_slots(request_slots(messages, destinations)), destinations, properties, cards)
+    """Free text in, trip plan or a question back out: message_id, reply.  ``stored`` is passed to plan_texts."""
+    return _chat(missing_slots(request_slots(messages, destinations)), destinations, properties, **stored)
 
 
 def chat_replies_from_replies(
-    replies: DataFrame, destinations: DataFrame, properties: DataFrame, cards: DataFrame | None = None
+    replies: DataFrame, destinations: DataFrame, properties: DataFrame, **stored: DataFrame | None
 ) -> DataFrame:
     """As chat_replies, with the slots in raw extraction replies (message_id, reply).
 
@@ -601,4 +604,4 @@ def chat_replies_from_replies(
     asked = slots.withColumn(
         "question_back", F.when(F.col("readable"), F.col("question_back")).otherwise(F.lit(NOT_UNDERSTOOD))
     )
-    return _chat(asked, destinations, properties, cards)
+    return _chat(asked, destinations, properties, **stored)

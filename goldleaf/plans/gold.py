@@ -60,6 +60,7 @@ class Gold:
             "gold_vendor_performance": lambda: N.gold_vendor_performance(t.vendor_lines),
             "gold_monthly_cashflow": lambda: N.gold_monthly_cashflow(t.cashflow),
             "destination_cards": lambda: L.destination_cards(t.places, t.properties, guides=t.destination_guides),
+            "list_texts": lambda: L.list_texts(t.places),
             "tool_lines": lambda: D.tool_lines(*[self.table(name) for name in D.TOOL_TABLES]),
             "tool_texts": lambda: D.sized_texts(self.table("tool_lines")),
         }

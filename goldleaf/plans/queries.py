@@ -110,8 +110,10 @@ def sized(t: Testbed, choices: DataFrame | None = None) -> DataFrame:
     return materialize(D.sized_texts(Gold(t).table("tool_lines"), choices), "tool-texts")
 
 
-def cards(t: Testbed) -> DataFrame:
-    return Gold(t).table("destination_cards")
+def planning(t: Testbed) -> dict[str, DataFrame]:
+    """The stored tables that plans are made from."""
+    gold = Gold(t)
+    return {"cards": gold.table("destination_cards"), "lists": gold.table("list_texts")}
 
 
 def features(t: Testbed) -> DataFrame:
@@ -505,12 +507,12 @@ def budget_check(t: Testbed) -> DataFrame:
 @query
 def plan_trips(t: Testbed) -> DataFrame:
     """Plans with the context that all guides of the destination give."""
-    return L.plan_trips(t.trip_requests, t.places, t.properties, cards=cards(t))
+    return L.plan_trips(t.trip_requests, t.places, t.properties, cards=planning(t)["cards"])
 
 
 @query
 def plan_texts(t: Testbed) -> DataFrame:
-    return L.plan_texts(t.trip_requests, t.places, t.properties, cards=cards(t))
+    return L.plan_texts(t.trip_requests, t.places, t.properties, **planning(t))
 
 
 @query
@@ -522,7 +524,7 @@ def request_slots(t: Testbed) -> DataFrame:
 def plan_texts_worded(t: Testbed) -> DataFrame:
     """Every second plan comes with a text written elsewhere."""
     written = F.when(F.col("request_id") % 2 == 0, F.lit("  Take the first one, it is the cheapest.\n"))
-    return L.plan_texts(t.trip_requests.withColumn("written", written), t.places, t.properties, cards=cards(t))
+    return L.plan_texts(t.trip_requests.withColumn("written", written), t.places, t.properties, **planning(t))
 
 
 @query
@@ -532,7 +534,7 @@ def place_lists(t: Testbed) -> DataFrame:
 
 @query
 def chat_replies(t: Testbed) -> DataFrame:
-    return L.chat_replies(t.trip_messages, t.places, t.properties, cards(t))
+    return L.chat_replies(t.trip_messages, t.places, t.properties, **planning(t))
 
 
 def slot_replies(t: Testbed) -> DataFrame:
@@ -558,7 +560,7 @@ def parse_slot_replies(t: Testbed) -> DataFrame:
 
 @query
 def chat_replies_from_replies(t: Testbed) -> DataFrame:
-    return L.chat_replies_from_replies(slot_replies(t), t.places, t.properties, cards(t))
+    return L.chat_replies_from_replies(slot_replies(t), t.places, t.properties, **planning(t))
 
 
 # ---- texts ------------------------------------------------------------------
