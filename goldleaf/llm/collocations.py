@@ -33,7 +33,7 @@ from goldleaf.llm.tasks import map_arrow
 from goldleaf.sources.tables import materialize
 
 MIN_COUNT, MOST_WORDS, TOP = 100, 5, 2000
-TEXT_BYTES = 1 << 23  # counted at once
+TEXT_BYTES = 1 << 22  # counted at once
 BITS = 1 << 25  # of a bitmap, 4 MB
 PART = 1 << 15  # bits that Spark's bitmap functions hold
 RANGE_ROWS = 200_000  # rows of a range of a count stream
