@@ -56,25 +56,34 @@ def gold_daily_revenue(silver: DataFrame) -> DataFrame:
     )
 
 
-def gold_revenue_by_state(silver: DataFrame, customers: DataFrame) -> DataFrame:
-    """Revenue per customer state; sales without a customer vanish.
-
-    Sales are summed per customer before the join, so a customer with a third of
-    all sales crosses the shuffle as one row per map task, and the join reuses
-    the partitioning of that aggregate.  Repeated customer rows are counted
-    instead of multiplied out; they fan out in the sums as a plain join would.
-    """
-    per_customer = (
+def customer_totals(silver: DataFrame) -> DataFrame:
+    """Revenue and number of sales per customer; sales without one are left out."""
+    return (
         silver.filter(F.col("customerID").isNotNull())
         .groupBy("customerID")
         .agg(F.sum("total_price").alias("revenue"), F.count("transactionID").alias("sales"))
     )
+
+
+def revenue_by_state(totals: DataFrame, customers: DataFrame) -> DataFrame:
+    """Revenue per state of the sums per customer.  Repeated customer rows fan out in the sums as a plain join would."""
     states = customers.groupBy("customerID", "state").agg(F.count(F.lit(1)).alias("copies"))
     return (
-        per_customer.join(states, "customerID")
+        totals.join(states, "customerID")
         .groupBy("state")
         .agg(
             F.sum(F.col("revenue") * F.col("copies")).alias("state_revenue"),
             F.sum(F.col("sales") * F.col("copies")).alias("transaction_count"),
         )
     )
+
+
+def gold_revenue_by_state(silver: DataFrame, customers: DataFrame) -> DataFrame:
+    """Revenue per customer state; sales without a customer vanish.
+
+    Sales are summed per customer before the join, so a customer with a third of
+    all sales crosses the shuffle as one row per map task, and the join reuses
+    the partitioning of that aggregate.  Repeated customer rows are counted
+    instead of multiplied out.
+    """
+    return revenue_by_state(customer_totals(silver), customers)

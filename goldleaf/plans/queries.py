@@ -269,11 +269,10 @@ def gold_revenue_by_state(t: Testbed) -> DataFrame:
     return rounded(gold, "state_revenue")
 
 
-@query
-def refreshed_daily_revenue(t: Testbed) -> DataFrame:
-    """Daily revenue kept by deltas: two arrivals of files, the second one's batch once more, and a refresh without news."""
+def refreshed(t: Testbed) -> SalesLayers:
+    """Layers after two arrivals of files, the second one's batch once more, and a refresh without news."""
     folder = own_folder(t, "refresh")
-    layers = SalesLayers(t.spark, f"{folder}/layers")
+    layers = SalesLayers(t.spark, f"{folder}/layers", buckets=8)
     sales = t.sales_transactions.withColumn("arrival", F.pmod(F.xxhash64("transactionID"), F.lit(2)))
     sales.write.partitionBy("arrival").parquet(f"{folder}/sales")
     source = t.spark.read.schema(SALES)
@@ -282,7 +281,17 @@ def refreshed_daily_revenue(t: Testbed) -> DataFrame:
         layers.refresh(f"{folder}/source", f"{folder}/checkpoint")
     layers.load(source.parquet(f"{folder}/sales/arrival=1"), 1)
     layers.refresh(f"{folder}/source", f"{folder}/checkpoint")
-    return rounded(layers.daily.read(), "daily_revenue")
+    return layers
+
+
+@query
+def refreshed_daily_revenue(t: Testbed) -> DataFrame:
+    return rounded(refreshed(t).daily.read(), "daily_revenue")
+
+
+@query
+def refreshed_revenue_by_state(t: Testbed) -> DataFrame:
+    return rounded(refreshed(t).revenue_by_state(S.silver_customers(t.sales_customers)), "state_revenue")
 
 
 @partial(query, name="layer_counts")

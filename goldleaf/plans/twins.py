@@ -523,11 +523,10 @@ DAILY_REVENUE = """SELECT transaction_date, ROUND(daily_revenue, 2) AS daily_rev
               year(transaction_date) AS year, month(transaction_date) AS month FROM @daily"""
 twin("gold_daily_revenue", DAILY_REVENUE)
 twin("refreshed_daily_revenue", DAILY_REVENUE)
-twin(
-    "gold_revenue_by_state",
-    """SELECT state, ROUND(SUM(total_price), 2) AS state_revenue, COUNT("transactionID") AS transaction_count
-       FROM @silver_sales JOIN @sales_customers USING ("customerID") GROUP BY state""",
-)
+STATE_REVENUE = """SELECT state, ROUND(SUM(total_price), 2) AS state_revenue, COUNT("transactionID") AS transaction_count
+       FROM @silver_sales JOIN @sales_customers USING ("customerID") GROUP BY state"""
+twin("gold_revenue_by_state", STATE_REVENUE)
+twin("refreshed_revenue_by_state", STATE_REVENUE)
 twin(
     "layer_counts",
     """SELECT 'bronze_sales_transactions' AS layer, COUNT(*) AS n_rows FROM @sales_transactions

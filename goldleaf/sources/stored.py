@@ -107,3 +107,19 @@ class PartitionedTable:
         if partitions:
             self.apply(step, lambda: conditional_update(self.read().where(self.within(partitions)), changes, where))
         return partitions
+
+    def add(self, step: str, added: DataFrame, sums: Sequence[str]) -> None:
+        """Add a delta to stored sums, once for each ``step``.
+
+        ``added`` has the table's columns; rows that agree in all but ``sums``
+        become one, with the sums of both.  Partitions that the delta has no row
+        of are neither read nor written.
+        """
+        group = [c for c in self.schema.names if c not in sums]
+
+        def merged() -> DataFrame:
+            partitions = [tuple(r) for r in added.select(*self.keys).distinct().collect()]
+            together = self.read().where(self.within(partitions)).unionByName(added.select(*self.schema.names))
+            return together.groupBy(*group).agg(*[F.sum(c).cast(self.schema[c].dataType).alias(c) for c in sums])
+
+        self.apply(step, merged)

@@ -138,3 +138,15 @@ def test_an_empty_batch_and_one_without_valid_rows(spark, tmp_path):
     assert daily(layers) == []
     layers.load(spark.createDataFrame([sale(1, 1.0, 1)], SALES), 2)
     assert daily(layers) == [("2024-01-01", 1.0, 1)]
+
+
+def test_totals_per_customer_follow_batches_and_moves(spark, tmp_path):
+    layers = SalesLayers(spark, str(tmp_path), buckets=4)
+    layers.load(spark.createDataFrame([sale(1, 10.0, 1), (2, None, "p", 1.0, 9.0, dt.datetime(2024, 1, 1))], SALES), 0)
+    second = spark.createDataFrame([(3, 1, "p", 1.0, 5.0, dt.datetime(2024, 1, 1)), (4, 2, "p", 1.0, 7.0, dt.datetime(2024, 1, 1))], SALES)
+    for _ in range(2):
+        layers.load(second, 1)
+    customers = [(1, "Ohio"), (2, "Utah"), (3, "Iowa")]
+    states = lambda rows: sorted(map(tuple, layers.revenue_by_state(spark.createDataFrame(rows, "customerID long, state string")).collect()))
+    assert states(customers) == [("Ohio", 15.0, 2), ("Utah", 7.0, 1)]
+    assert states([(1, "Utah"), (2, "Utah")]) == [("Utah", 22.0, 3)]
