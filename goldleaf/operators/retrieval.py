@@ -10,6 +10,9 @@ from goldleaf.functions.text import blank_to_empty, long_words, strip_space
 from goldleaf.sources.tables import materialize
 
 
+BLOCK = 256  # questions that meet a guide at once
+
+
 def chunks(text: Column) -> Column:
     """Sections of a Markdown text: split before headings, stripped, longer than 40."""
     sections = F.transform(F.split(text, r"\n(?=#+ )"), strip_space)
@@ -99,73 +102,69 @@ def chunk_documents(texts: DataFrame) -> DataFrame:
     )
 
 
-def _word_key() -> Column:
-    """A guide's word as one number, which sorts faster than both; equal numbers are compared."""
-    return F.xxhash64("guide_id", "word")
-
+def question_blocks(asked: DataFrame, keys: list[str]) -> DataFrame:
+    """guide_id and questions: the different questions of each guide in blocks of about BLOCK.
 
-def word_index(parts: DataFrame) -> DataFrame:
-    """word_key, chunk_no, indexed of (guide_id, chunk_no, chunk) rows: a row per chunk and long word of it."""
-    words = F.array_distinct(long_words(F.lower("chunk"), P.MIN_QUESTION_WORD_CHARS))
-    rows = parts.select("guide_id", "chunk_no", F.explode(words).alias("word"))
-    return rows.select(_word_key().alias("word_key"), "chunk_no", F.struct("guide_id", "word").alias("indexed"))
+    ``asked`` has the keys, guide_id and question; a question keeps its keys and its long words.
+    """
+    sizes = asked.groupBy("guide_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_blocks"))
+    words = F.array_distinct(long_words(F.lower(blank_to_empty(F.col("question"))), P.MIN_QUESTION_WORD_CHARS))
+    return (
+        asked.join(sizes, "guide_id")
+        .withColumn("block", F.pmod(F.xxhash64(*keys), F.col("n_blocks")))
+        .groupBy("guide_id", "block")
+        .agg(F.collect_list(F.struct(*keys, words.alias("words"))).alias("questions"))
+    )
 
 
-def best_chunks(asked: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and ``best``: the numbers of the chunks that a question shares most words with, best first.
+def block_contexts(blocks: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and context of every question of the blocks whose guide has a text.
 
-    ``asked`` has the keys, guide_id and question; questions that share no word have no row.
+    The guide of a block is split once, and an index made of it: of each chunk the
+    words that the block asks for.  The questions are scored on the index alone.
     """
-    words = F.array_distinct(long_words(F.lower(blank_to_empty(F.col("question"))), P.MIN_QUESTION_WORD_CHARS))
-    wanted = asked.select(*keys, "guide_id", F.explode(words).alias("word")).withColumn("word_key", _word_key())
-    hits = (
-        wanted.join(index, "word_key")
-        .where(F.struct("guide_id", "word") == F.col("indexed"))
-        .groupBy(*keys, "chunk_no")
-        .agg((-F.count(F.lit(1))).alias("rank"))
+    written = texts.select("guide_id", blank_to_empty(F.col("description")).alias("description")).where("description != ''")
+    asked_for = F.array_distinct(F.flatten(F.transform("questions", lambda q: q["words"])))
+    index = F.transform("parts", lambda part: F.array_intersect(F.split(F.lower(part), r"\s+"), F.col("asked_for")))
+
+    def best(question: Column) -> Column:
+        hits = F.transform(
+            "index", lambda own, place: F.struct((-F.size(F.array_intersect(own, question["words"]))).alias("rank"), place.alias("place"))
+        )
+        return F.filter(F.slice(F.array_sort(hits), 1, P.CHUNKS_KEPT), lambda hit: hit["rank"] < 0)
+
+    found = F.transform("questions", lambda q: F.struct(*[q[k].alias(k) for k in keys], best(q).alias("best")))
+    kept = F.transform("best", lambda hit: F.get("parts", hit["place"]))
+    shown = F.when(F.size("best") > 0, kept).otherwise(F.slice("parts", 1, 1))
+    return (
+        blocks.join(written, "guide_id")
+        .withColumns({"parts": chunks(F.col("description")), "asked_for": asked_for})
+        .withColumn("index", index)
+        .select("parts", F.inline(found))
+        .select(*keys, F.substring(F.array_join(shown, "\n\n"), 1, P.CONTEXT_CHARS).alias("context"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "chunk_no")))
-    return hits.groupBy(*keys).agg(F.transform(F.slice(ordered, 1, P.CHUNKS_KEPT), lambda hit: hit["chunk_no"]).alias("best"))
 
 
 def retrieve_chunks(requests: DataFrame, texts: DataFrame, missing: Column | None = None) -> DataFrame:
     """Context for each (request columns, guide_id, question) row; rules as in with_context.
 
-    Each guide is chunked once and gets an index from words to its chunks.
-    Different questions of a guide look their words up, so a question costs its
-    own words and hits, however long the guide; equal ones are scored once.
-    ``texts`` has one row per guide.  ``missing`` is the context where there is
-    no text (empty by default).
+    Equal requests are answered once.  The different questions of a guide meet its
+    text in blocks, so a guide is sent, split and indexed once for each BLOCK of
+    them, also one that a third of all requests ask.  ``texts`` has one row per
+    guide.  ``missing`` is the context where there is no text (empty by default).
     """
-    description = blank_to_empty(F.col("description"))
-    found = texts.where(description != "").select(
-        "guide_id", F.posexplode_outer(chunks(F.col("description"))).alias("chunk_no", "chunk")
-    )
-    # a text without chunks gives empty context, as if it began with an empty one
-    parts = materialize(
-        found.select("guide_id", F.coalesce("chunk_no", F.lit(0)).alias("chunk_no"), F.coalesce("chunk", F.lit("")).alias("chunk")),
-        "guide-chunks",
-    )
-    keys = ["ask_1", "ask_2"]  # two hashes of guide and question: shorter than the question on the way
+    keys = ["ask_1", "ask_2"]  # two hashes of guide and question
     named = [F.col("guide_id"), blank_to_empty(F.col("question"))]
     keyed = requests.select(
         F.struct(*[F.col(f"`{c}`") for c in requests.columns]).alias("row"),
         F.xxhash64(*named).alias("ask_1"),
         F.xxhash64(F.lit(1), *named).alias("ask_2"),
     )
-    asked = materialize(keyed.select(*keys, "row.guide_id", "row.question").distinct(), "guide-questions")
-    best = best_chunks(asked, word_index(parts), keys)
-    chosen = asked.join(best, keys, "left").select(
-        *keys, "guide_id", F.posexplode(F.coalesce("best", F.array(F.lit(0)))).alias("place", "chunk_no")
-    )
-    joined = F.array_sort(F.collect_list(F.struct("place", "chunk")))
-    contexts = (
-        chosen.join(parts, ["guide_id", "chunk_no"])
-        .groupBy(*keys)
-        .agg(F.substring(F.array_join(F.transform(joined, lambda one: one["chunk"]), "\n\n"), 1, P.CONTEXT_CHARS).alias("context"))
+    asked = materialize(
+        keyed.where("row.guide_id IS NOT NULL").select(*keys, "row.guide_id", "row.question").distinct(), "guide-questions"
     )
     # stored, so that the join can be split where very many rows ask the same
-    contexts = materialize(contexts, "guide-contexts")
+    contexts = materialize(block_contexts(question_blocks(asked, keys), texts, keys), "guide-contexts")
     no_text = F.lit("") if missing is None else missing
     return (
         keyed.join(contexts, keys, "left")

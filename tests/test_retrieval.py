@@ -89,3 +89,20 @@ def test_guides_of_one_place_count_as_one_text(spark):
         scored = sorted(((len(words & set(c.lower().split())), c) for c in parts), key=lambda s: s[0], reverse=True)
         top = [c for hits, c in scored[:2] if hits > 0] or parts[:1]
         assert got.get(p) == ("\n\n".join(top)[:1800] if mine else None), p
+
+
+def test_many_questions_of_one_guide_come_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK", 7)
+    rng = random.Random(3)
+    text = "\n".join(f"# part {k}\n" + " ".join(f"word{rng.randint(0, 40)}" for _ in range(20)) for k in range(12))
+    guides = spark.createDataFrame([(1, text), (2, "# other\n" + "word1 " * 20)], "guide_id long, description string")
+    asked = [(1, f"word{k} word{k + 3} again") for k in range(40)] * 3 + [(2, "word1"), (2, None), (None, "word1"), (3, "word1")]
+    df = spark.createDataFrame(asked, "guide_id long, question string").withColumn("words", F.lit("own"))
+    got = R.retrieve_chunks(df.repartition(5), guides, missing=F.concat(F.lit("none for "), F.coalesce(F.col("guide_id").cast("string"), F.lit("?"))))
+    assert got.columns == ["guide_id", "question", "words", "context"] and got.count() == len(asked)
+    known = {1: text, 2: "# other\n" + "word1 " * 20}
+    for r in got.collect():
+        wanted = python_context(known[r.guide_id], r.question or "") if r.guide_id in known else f"none for {r.guide_id or '?'}"
+        assert r.context == wanted
+    blocks = R.question_blocks(df.where("guide_id = 1").distinct().withColumn("k", F.col("question")), ["k"])
+    assert blocks.count() > 3 and blocks.agg(F.max(F.size("questions"))).first()[0] <= 20
