@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import DataFrame
 
@@ -21,6 +22,9 @@ from goldleaf.session import run_dir
 from goldleaf.sources.stored import exists
 from goldleaf.sources.testbed import TABLES, Testbed
 
+# One build at a time: a run has one driver, whose threads may ask for the same table.
+_building = RLock()
+
 
 class Gold:
     """The stored tables over one directory of inputs."""
@@ -42,8 +46,9 @@ class Gold:
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        if not exists(self.spark, f"{path}/_SUCCESS"):
-            self.builders[name]().write.mode("overwrite").parquet(path)
+        with _building:
+            if not exists(self.spark, f"{path}/_SUCCESS"):
+                self.builders[name]().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     @property
