@@ -56,11 +56,13 @@ def context_of_guides(questions: DataFrame, guides: DataFrame, by: str) -> DataF
     task keeps the best two chunks of a ``by``, so the guides may be any number.
     One without any text has no row.
     """
-    asked = F.array_distinct(long_words(F.lower(blank_to_empty(F.col("question"))), P.MIN_QUESTION_WORD_CHARS))
+    words = F.array_distinct(long_words(F.lower(blank_to_empty(F.col("question"))), P.MIN_QUESTION_WORD_CHARS))
+    # stored: Spark knows the size, and where it is small it sends the questions to the guides and not the texts about
+    asked = materialize(questions.select(by, words.alias("asked")), "place-questions")
     parts = guides.where(blank_to_empty(F.col("description")) != "").select(
         by, "guide_id", F.posexplode_outer(chunks(F.col("description"))).alias("chunk_no", "chunk")
     )
-    scored = parts.join(questions.select(by, asked.alias("asked")), by).select(
+    scored = parts.join(asked, by).select(
         by,
         F.coalesce(F.size(F.array_intersect("asked", F.split(F.lower("chunk"), r"\s+"))), F.lit(0)).alias("hits"),
         F.col("chunk").isNull().alias("no_chunk"),
