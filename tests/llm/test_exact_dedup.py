@@ -31,6 +31,24 @@ def test_equal_hashes_end_the_doubling(spark, monkeypatch):
     assert depth == 4 and cells.count() == 1
 
 
+def test_rows_find_their_entries_through_a_doubled_directory(spark):
+    """The query's own path: buckets split until they fit, and a changed directory would lose rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    prints = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("text_sha256"))
+    depth, cells, index = X.build_index(docs.fillna({"text": ""}), prints, 7)
+    fill = index.groupBy("bucket", "depth").agg(F.countDistinct("hash").alias("n")).collect()
+    assert depth > 3 and len(fill) > 8 and max(r.n for r in fill) <= 7 and len({r.depth for r in fill}) > 1
+    assert cells.count() <= 2**depth and cells.select("bucket").distinct().count() == len(fill)
+    assert index.agg(F.sum("group_size")).first()[0] == docs.count()
+
+
+def test_copies_in_all_parts_are_one_entry(spark):
+    docs = spark.createDataFrame([(k, f"text {k % 3}") for k in range(600)], "doc_id bigint, text string")
+    got = X.exact_duplicates(docs, 1).collect()
+    assert {(r.doc_id % 3, r.keep_id, r.group_size) for r in got} == {(0, 597, 200), (1, 598, 200), (2, 599, 200)}
+    assert sorted(r.doc_id for r in got if r.kept) == [597, 598, 599]
+
+
 def test_colliding_texts_are_chained(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id bigint, text string")
     with pytest.MonkeyPatch.context() as patch:
