@@ -42,15 +42,22 @@ SHARD_BYTES = 1 << 20
 U64, I64 = np.uint64, np.int64
 
 
-def _least_of(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of every ``width`` neighbours."""
+def _first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of every ``width`` neighbours is, the first of equal ones."""
     n = len(values) - width + 1
     grid = np.full(-(-len(values) // width) * width, np.iinfo(U64).max, U64)
     grid[: len(values)] = values
     grid = grid.reshape(-1, width)
-    forward = np.minimum.accumulate(grid, axis=1).ravel()
-    backward = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
+    at = np.arange(grid.size).reshape(-1, width)
+    # From the left a later value must be less to be taken, from the right it may be equal.
+    new = np.ones(grid.shape, bool)
+    new[:, 1:] = grid[:, 1:] < np.minimum.accumulate(grid, axis=1)[:, :-1]
+    left = np.maximum.accumulate(np.where(new, at, 0), axis=1).ravel()
+    back = grid[:, ::-1]
+    new[:, 1:] = back[:, 1:] <= np.minimum.accumulate(back, axis=1)[:, :-1]
+    right = np.minimum.accumulate(np.where(new, at[:, ::-1], grid.size), axis=1)[:, ::-1].ravel()
+    a, b = right[:n], left[width - 1 : width - 1 + n]
+    return np.where(values[a] <= values[b], a, b)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, key: int) -> tuple[np.ndarray, ...]:
@@ -61,9 +68,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, key: int) -> tup
     hashes = Hasher(data)
     at = np.arange(len(data) - key + 1)
     keys = hashes(at, at + key)
-    # The place in the block breaks ties, the first one wins.
-    low = U64((1 << int(len(data)).bit_length()) - 1)
-    least = (_least_of((keys & ~low) | at.astype(U64), length - key + 1) & low).astype(I64)
+    # All bits of a key count, and the first of equal ones wins, so an anchor depends on its string alone.
+    least = _first_least(keys, length - key + 1)
     # Starts of strings that don't leave their text; starts of one anchor follow each other.
     starts = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(offsets[:-1], offsets[1:])])
     if not len(starts):
@@ -227,10 +233,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_
 
     Spans may overlap.
     """
-    found = map_arrow(
-        docs, partial(_anchor_rows, length=length, key=key), "row bigint, begin int, end int, key bigint, context bigint"
+    found = materialize(
+        map_arrow(
+            docs, partial(_anchor_rows, length=length, key=key), "row bigint, begin int, end int, key bigint, context bigint"
+        ),
+        "places",
     )
-    often = found.groupBy("key").count().where("count > 1").select("key")
+    # Stored, so that both sides of the join are plain exchanges and a hot key's rows can be split.
+    often = materialize(found.groupBy("key").count().where("count > 1").select("key"), "often")
     shared = materialize(found.join(often.hint("merge"), "key"), "anchors")
     classes = materialize(
         shared.groupBy("key", "context").agg(

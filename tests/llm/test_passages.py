@@ -50,6 +50,26 @@ def test_equals_brute_force(spark, shard_contexts):
     assert got == brute([t.encode() for t in texts], 30)
 
 
+def test_anchors_depend_on_their_string_alone():
+    """The same text in blocks of different sizes, with periods in which keys are equal."""
+    r = random.Random(6)
+    text = ("".join(r.choices("abcd", k=700)) + "ab" * 150 + "x" * 90 + "".join(r.choices("ab", k=400))).encode()
+    found = []
+    for before in (0, 1, 37, 70_000):
+        data = np.frombuffer(bytes(r.choices(range(256), k=before)) + text, np.uint8)
+        at, begin, end, keys, contexts = P.anchors(data, np.array([0, before, len(data)]), 30, 12)
+        found.append([c[at == 1].tolist() for c in (begin, end, keys, contexts)])
+    assert len(found[0][0]) > 50 and all(f == found[0] for f in found)
+
+
+def test_the_first_least_of_neighbours():
+    r = random.Random(8)
+    for n, width in ((1, 1), (5, 5), (40, 7), (203, 10)):
+        values = [r.choice([0, 1, 2, 3, 2**64 - 1]) for _ in range(n)]
+        want = [k + min(range(width), key=lambda j: values[k + j]) for k in range(n - width + 1)]
+        assert P._first_least(np.array(values, np.uint64), width).tolist() == want
+
+
 def test_suffix_array_and_common_prefixes():
     r = random.Random(4)
     strings = ["".join(r.choices("ab", k=r.randint(1, 70))).encode() for _ in range(60)]
