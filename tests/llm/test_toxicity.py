@@ -74,3 +74,56 @@ def test_a_fit_on_a_bounded_draw_is_the_same_in_any_run(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert (models[0].column == models[1].column).all() and models[0].bias == models[1].bias
     assert (models[0].weights == models[1].weights).all() and len(models[0].weights) > 10
+
+
+def test_a_fit_equals_descent_on_the_loss_by_differences(monkeypatch):
+    """The slopes of the loss, its penalty included, come from differences of the loss itself, over dense rows."""
+    monkeypatch.setattr(T, "FEWEST_TEXTS", 2)
+    monkeypatch.setattr(T, "EVIDENCE", 0.5)
+    monkeypatch.setattr(T, "STEPS", 60)
+    r = np.random.default_rng(5)
+    toxic = r.random(80) < 0.4
+    rows = [np.flatnonzero(r.random(8) < np.where(t, np.linspace(0.1, 0.9, 8), np.linspace(0.9, 0.1, 8))).astype(np.int32) for t in toxic]
+    changed = [None if k % 3 else np.setdiff1d(np.append(x, 7), [0]).astype(np.int32) for k, x in enumerate(rows)]
+    model = T.fit(toxic, rows, changed, prior=0.2, penalty=0.7)
+    used = np.flatnonzero(model.column >= 0)
+    assert len(used) > 3
+
+    def dense(lists):
+        return np.array([[float(f in x) for f in used] for x in lists])
+
+    x = dense(rows)
+    one, two = dense([a for a, b in zip(rows, changed) if b is not None]), dense([b for b in changed if b is not None])
+
+    def loss(w):
+        p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+        fitted = -np.where(toxic, np.log(p), np.log(1 - p)).mean()
+        return fitted + T.RIDGE / 2 * (w[:-1] ** 2).sum() + 0.7 * ((one @ w[:-1] - two @ w[:-1]) ** 2).mean()
+
+    w, squares = np.zeros(len(used) + 1), np.full(len(used) + 1, 1e-8)
+    for _ in range(60):
+        steps = np.eye(len(w)) * 1e-5
+        slope = np.array([(loss(w + s) - loss(w - s)) / 2e-5 for s in steps])
+        squares += slope**2
+        w = w - 0.5 * slope / np.sqrt(squares)
+    assert np.allclose(model.weights, w[:-1], atol=1e-4)
+    shift = np.log(T.TOXIC_WEIGHT * 0.2 / 0.8) - np.log(toxic.sum() / (~toxic).sum())
+    assert abs(model.bias - w[-1] - shift) < 1e-4
+
+
+def test_scores_equal_sums_over_features(spark):
+    """Each distinct feature of a text counts once."""
+    texts = [prose(k, 12) + (" again again" if k % 2 else "") for k in range(20)] + ["", "Again"]
+    found = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        found.append({int(f) for f in T.features(data, np.array([0, len(data)]))[1]})
+    known = sorted(set().union(*found))[::2]
+    column = np.full(1 << T.HASH_BITS, -1, np.int64)
+    column[known] = np.arange(len(known))
+    weights = np.linspace(-1, 1, len(known))
+    model = T.Model(column, weights, -0.3)
+    got = {r.doc_id: r.score for r in T.score(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()}
+    for k, f in enumerate(found):
+        total = -0.3 + sum(weights[known.index(x)] for x in f if x in set(known))
+        assert abs(got[k] - 1 / (1 + np.exp(-total))) < 1e-9
