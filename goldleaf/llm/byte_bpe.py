@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.llm.blocks import Block, blocks
 from goldleaf.llm.remembered import Remembered
-from goldleaf.llm.tasks import map_arrow
+from goldleaf.llm.tasks import kept, map_arrow
 
 REMEMBERED = 400_000
 WIDEST = 32
@@ -261,7 +261,7 @@ class Vocabulary:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
-@lru_cache(2)
+@kept(2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 

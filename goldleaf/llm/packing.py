@@ -13,7 +13,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 from goldleaf.llm.bins import Pattern, pack
 from goldleaf.llm.blocks import Block, blocks
 from goldleaf.llm.remembered import Remembered
-from goldleaf.llm.tasks import map_arrow
+from goldleaf.llm.tasks import kept, map_arrow
 from goldleaf.sources.tables import materialize
 
 CAPACITY = 4096
@@ -86,7 +86,7 @@ class Words:
         return flat, firsts
 
 
-@lru_cache(2)
+@kept(2)
 def vocabulary(path: str) -> Words:
     return Words(path)
 
