@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,29 +73,38 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
     return [(pattern, bins) for held in room for pattern, bins in held.items()]
 
 
-def reached(counts: np.ndarray, room: int) -> tuple[array, array]:
-    """The sizes up to ``room`` in rising order, and for each sum up to ``room`` the
-    first place among them up to which items make that sum; -1 for the sum 0, and
-    one beyond the last if none do."""
-    sizes = array("i", np.flatnonzero(counts[: room + 1]).tolist())
-    first = array("i", [len(sizes)]) * (room + 1)
-    first[0] = -1
-    sums, all_sums = 1, (1 << room + 1) - 1
-    for i, size in enumerate(sizes):
-        more, left, step = sums, min(int(counts[size]), room // size), 1
-        while left:
-            some = min(step, left)
-            more |= more << some * size & all_sums
-            left, step = left - some, 2 * step
-        new = more & ~sums
-        while new:
-            last = new & -new
-            first[last.bit_length() - 1] = i
-            new ^= last
-        sums = more
-        if sums == all_sums:
-            break
-    return sizes, first
+class Sums:
+    """Sizes in rising order, and the sums that the items up to each of them make, as bits.
+
+    Counts change little from one look to the next: what smaller sizes than the
+    first changed one make is taken over.
+    """
+
+    def __init__(self, capacity: int) -> None:
+        self.most = capacity // np.maximum(np.arange(capacity + 1), 1)
+        self.useful = np.zeros(capacity + 1, np.int64)
+        self.sizes, self.made, self.there = array("i"), [], 0
+
+    def of(self, counts: np.ndarray) -> tuple[array, list[int], int]:
+        """The sizes; the sums, which end where all are made; and the set of sizes as bits."""
+        useful = np.minimum(counts, self.most)
+        changed = np.flatnonzero(useful != self.useful)
+        if len(changed):
+            made = self.made[: bisect_left(self.sizes, int(changed[0]))]
+            sizes, numbers = array("i", np.flatnonzero(useful).tolist()), useful.tolist()
+            sums, all_sums = made[-1] if made else 1, (1 << len(useful)) - 1
+            for size in sizes[len(made) :]:
+                if sums == all_sums:
+                    break
+                left, step = numbers[size], 1
+                while left:
+                    some = min(step, left)
+                    sums |= sums << some * size & all_sums
+                    left, step = left - some, 2 * step
+                made.append(sums)
+            there = int.from_bytes(np.packbits(useful > 0, bitorder="little").tobytes(), "little")
+            self.useful, self.sizes, self.made, self.there = useful, sizes, made, there
+        return self.sizes, self.made, self.there
 
 
 def dominated(items: tuple[int, ...], waste: int, others: int) -> bool:
@@ -122,29 +132,32 @@ def dominated(items: tuple[int, ...], waste: int, others: int) -> bool:
     return bool((larger | raised(several, waste)) & others)
 
 
-def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[tuple[int, ...], bool]]:
+def fillings(counts: np.ndarray, room: int, sums: Sums | None = None) -> Iterator[tuple[tuple[int, ...], bool]]:
     """All fillings of ``room``, least waste first, of equal waste the largest items first.
 
     With each, whether it is dominated.  ``counts`` must be the same whenever the
     next one is asked for.
     """
-    sizes, first = reached(counts, room)
+    sizes, made, there = (sums or Sums(len(counts) - 1)).of(counts)
+    fitting = bisect_right(sizes, room)
+    there &= (1 << room + 1) - 1
 
     def exactly(last: int, total: int) -> Iterator[tuple[int, ...]]:
         if not total:
             yield ()
             return
-        for i in range(last, first[total] - 1, -1):
+        first = bisect_left(made, 1, key=lambda some: some >> total & 1)
+        for i in range(last, first - 1, -1):
             size = sizes[i]
+            smaller = made[min(i, len(made)) - 1] if i else 1
             for n in range(min(int(counts[size]), total // size), 0, -1):
-                if first[total - n * size] < i:
+                if smaller >> total - n * size & 1:
                     for rest in exactly(i - 1, total - n * size):
                         yield (size,) * n + rest
 
-    there = sum(1 << size for size in sizes)
     for waste in range(room + 1):
-        if first[room - waste] < len(sizes):
-            for items in exactly(len(sizes) - 1, room - waste):
+        if waste == room or (made and made[-1] >> room - waste & 1):
+            for items in exactly(fitting - 1, room - waste):
                 gone = sum(1 << size for size in set(items) if items.count(size) == counts[size])
                 yield items, dominated(items, waste, there & ~gone)
 
@@ -160,6 +173,7 @@ def pack(counts: np.ndarray, capacity: int, nodes: int = NODES) -> list[Pattern]
     fewest, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     left, trail, bins, waste = counts.copy(), [], 0, 0
     searched: set[bytes] = set()
+    sums = Sums(capacity)
 
     def children() -> Iterator[tuple[Pattern, bool]]:
         """Patterns of the largest size left and how often to use each, most often first;
@@ -167,7 +181,7 @@ def pack(counts: np.ndarray, capacity: int, nodes: int = NODES) -> list[Pattern]
         largest = int(np.flatnonzero(left)[-1])
         others = left.copy()
         others[largest] -= 1
-        for items, worse in fillings(others, capacity - largest):
+        for items, worse in fillings(others, capacity - largest, sums):
             pattern = (largest, *items)
             if worse:
                 yield (pattern, 0), True

@@ -37,6 +37,15 @@ SALTED_ROWS = 50_000
 # The words of the vocabulary file, after lower-casing; and the same in ASCII.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 ASCII_WORD = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+# And in letters up to U+017F, which most texts in Latin script stay with.
+_LATIN = {kind: "".join(chr(c) for c in range(128, 0x180) if unicodedata.category(chr(c))[0] == kind) for kind in "LN"}
+LATIN_WORD = re.compile(
+    rf"'(?:[stmd]|re|ve|ll)|[a-z{_LATIN['L']}]+|[0-9{_LATIN['N']}]|[^\t-\r \x85\xa0a-z0-9{_LATIN['L']}{_LATIN['N']}]+"
+)
+BEYOND_LATIN = re.compile("[^\0-\u017f]")
+# The vocabulary file spells words with a character for each byte: its own, or one from U+0100 on.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {byte: 256 + k for k, byte in enumerate(sorted({*range(256)} - {*_OWN}))}
 # Texts with these go through the tokenizer as they are: special tokens, a letter
 # whose lower case depends on its place, and controls that count as blank in some libraries only.
 UNUSUAL = ["<|startoftext|>", "<|endoftext|>", "\u03a3", "\x1c", "\x1d", "\x1e", "\x1f"]
@@ -45,14 +54,23 @@ UNUSUAL = ["<|startoftext|>", "<|endoftext|>", "\u03a3", "\x1c", "\x1d", "\x1e",
 def split(text: str) -> list[str]:
     if text.isascii():
         return ASCII_WORD.findall(text.lower())
-    return WORD.findall(unicodedata.normalize("NFC", text).lower())
+    text = unicodedata.normalize("NFC", text).lower()
+    return (WORD if BEYOND_LATIN.search(text) else LATIN_WORD).findall(text)
+
+
+def spelled(word: str) -> str:
+    """A word in the characters of the vocabulary file."""
+    if word.isascii() and word.isprintable():
+        return word
+    return word.encode().decode("latin-1").translate(BYTES)
 
 
 class Words:
-    """Ids of texts, by remembered words; new words are tokenized together."""
+    """Ids of texts, by remembered words; new words in Latin letters go to its model one by one, others together."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -62,12 +80,19 @@ class Words:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(self.exactly(" ".join(words)), np.int64)
-        cuts = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
-        if len(cuts) != len(words) + 1:  # a word that doesn't stand alone
-            each = [self.exactly(w) for w in words]
-            return np.array(list(chain.from_iterable(each)), np.int64), np.array([len(e) for e in each])
-        return ids, np.diff(cuts)
+        # Beyond Latin letters the tokenizer may know other characters than ``regex`` and split a word again.
+        each = [None if BEYOND_LATIN.search(word) else [token.id for token in self.model.tokenize(spelled(word))] for word in words]
+        others = [i for i, ids in enumerate(each) if ids is None]
+        if others:
+            ids = np.array(self.exactly(" ".join([words[i] for i in others])), np.int64)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(others):
+                parts = [part.tolist() for part in np.split(ids, cuts[:-1])]
+            else:  # a word that doesn't stand alone
+                parts = [self.exactly(words[i]) for i in others]
+            for i, part in zip(others, parts):
+                each[i] = part
+        return np.array(list(chain.from_iterable(each)), np.int64), np.array([len(e) for e in each])
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block, and the first id of each text (one more than texts)."""

@@ -4,11 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from awkward import documents, rows
 from tokenizers import Tokenizer
 
 from goldleaf.llm import packing as K
-from goldleaf.llm.bins import best_fit, fillings, lower_bound, pack
+from goldleaf.llm.bins import Sums, best_fit, fillings, lower_bound, pack
+from goldleaf.llm.blocks import blocks
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,6 +55,42 @@ def test_awkward_rows(spark):
     assert K.pack_documents(documents(spark, False), PATH).count() == 0
 
 
+def test_words_in_latin_letters_need_no_whole_tokenizer(monkeypatch):
+    """Every character up to U+0250, alone and inside words; the tokenizer itself runs for other scripts only."""
+    words = K.Words(PATH)
+    r = random.Random(7)
+    parts = [chr(c) for c in range(0x250) if chr(c) not in K.UNUSUAL]
+    texts = ["".join(r.choices(parts, k=r.randint(1, 30))) for _ in range(3000)]
+    texts += [f"a{c}b '{c} {c}{c} 1{c}x" for c in parts] + ["\u00e9\u4e2d \u0416\u0436 e\u0301 \u0558"]
+    library = Tokenizer.from_file(PATH)
+    got = lambda some: [x.tolist() for x in np.split(*encoded(words, some))]
+    assert got(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(words, "exactly", None)
+    words.known.forget()
+    some = [t for t in texts if max(t) < "\u0180" and "\u0130" not in t]
+    assert got(some) == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def encoded(words, texts):
+    (block,) = blocks(iter([pa.RecordBatch.from_pydict({"text": texts})]))
+    ids, firsts = words.encode(block)
+    return ids, firsts[1:-1]
+
+
+def test_sums_after_changes_are_those_of_new_counts():
+    r = random.Random(5)
+    kept, counts = Sums(60), np.zeros(61, np.int64)
+    for _ in range(300):
+        counts[r.randint(1, 60)] = r.choice([0, 0, 1, 2, 9])
+        sizes, made, there = kept.of(counts)
+        fresh = Sums(60).of(counts)
+        assert (list(sizes), made, there) == (list(fresh[0]), *fresh[1:]) and list(sizes) == np.flatnonzero(counts).tolist()
+        each = [0]
+        for size in sizes:
+            each = {a + n * size for a in each for n in range(counts[size] + 1) if a + n * size <= 60}
+        assert sum(1 << a for a in each) == (made[-1] if made else 1)
+
+
 def fewest(sizes, capacity):
     """Exhaustive search over bins of a few items."""
     best = [len(sizes)]
