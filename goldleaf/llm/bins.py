@@ -106,6 +106,10 @@ class Sums:
             self.useful, self.sizes, self.made, self.there = useful, sizes, made, there
         return self.sizes, self.made, self.there
 
+    def makes(self, counts: np.ndarray, total: int) -> bool:
+        _, made, _ = self.of(counts)
+        return bool(made and made[-1] >> total & 1)
+
 
 def dominated(items: tuple[int, ...], waste: int, others: int) -> bool:
     """Whether an item of ``others``, a set of sizes as bits, can take the place of some of ``items``.
@@ -138,25 +142,29 @@ def fillings(counts: np.ndarray, room: int, sums: Sums | None = None) -> Iterato
     With each, whether it is dominated.  ``counts`` must be the same whenever the
     next one is asked for.
     """
-    sizes, made, there = (sums or Sums(len(counts) - 1)).of(counts)
-    fitting = bisect_right(sizes, room)
-    there &= (1 << room + 1) - 1
+    sums = sums or Sums(len(counts) - 1)
+    fitting = bisect_right(sums.of(counts)[0], room)
+    there = sums.there & (1 << room + 1) - 1
 
     def exactly(last: int, total: int) -> Iterator[tuple[int, ...]]:
         if not total:
             yield ()
             return
+        sizes, made, _ = sums.of(counts)
         first = bisect_left(made, 1, key=lambda some: some >> total & 1)
         for i in range(last, first - 1, -1):
             size = sizes[i]
-            smaller = made[min(i, len(made)) - 1] if i else 1
             for n in range(min(int(counts[size]), total // size), 0, -1):
+                smaller = made[min(i, len(made)) - 1] if i else 1
                 if smaller >> total - n * size & 1:
+                    # A search that waits holds no sums: there may be thousands of them.
+                    sizes = made = smaller = None
                     for rest in exactly(i - 1, total - n * size):
                         yield (size,) * n + rest
+                    sizes, made, _ = sums.of(counts)
 
     for waste in range(room + 1):
-        if waste == room or (made and made[-1] >> room - waste & 1):
+        if waste == room or sums.makes(counts, room - waste):
             for items in exactly(fitting - 1, room - waste):
                 gone = sum(1 << size for size in set(items) if items.count(size) == counts[size])
                 yield items, dominated(items, waste, there & ~gone)

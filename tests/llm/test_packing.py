@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -91,6 +92,21 @@ def test_sums_after_changes_are_those_of_new_counts():
         assert sum(1 << a for a in each) == (made[-1] if made else 1)
 
 
+def test_waiting_searches_hold_no_sums():
+    r = np.random.default_rng(4)
+    counts, kept, waiting = r.integers(0, 9, 4097), Sums(4096), []
+    counts[:200] = 0
+    tracemalloc.start()
+    for _ in range(40):
+        counts = np.maximum(counts - (r.random(4097) < 0.01), 0)
+        waiting.append(fillings(counts, 3000, kept))
+        next(waiting[-1])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 40 * 100_000  # with the 2 MB of sums of each it would be 80 MB
+    assert all(sum(next(w)[0]) <= 3000 for w in waiting)
+
+
 def fewest(sizes, capacity):
     """Exhaustive search over bins of a few items."""
     best = [len(sizes)]
